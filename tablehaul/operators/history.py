@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablehaul.errors import LoadError
@@ -80,6 +80,13 @@ def with_duration(h: DataFrame, now: dt.datetime) -> DataFrame:
     })
 
 
+def _round(state: DataFrame) -> tuple[DataFrame, int]:
+    """Write one round's state and count, in the same pass, the runs that have not reached their root."""
+    seen = Observation()
+    written = materialize(state.observe(seen, F.count_if(F.col("root_uuid").isNull()).alias("left")), "ancestry")
+    return written, seen.get["left"]
+
+
 def ancestry(h: DataFrame, flag: Column | None = None) -> DataFrame:
     """``uuid, root_uuid, depth, path, flagged`` for every run.
 
@@ -93,28 +100,27 @@ def ancestry(h: DataFrame, flag: Column | None = None) -> DataFrame:
                      F.coalesce(flag if flag is not None else F.lit(False), F.lit(False)).alias("flag"))
     parents = nodes.select(F.col("uuid").alias("up"), F.col("flag").alias("up_flag"))
     found = F.col("up_flag").isNotNull()
-    state = materialize(nodes.join(parents, "up", "left").select(
+    state, left = _round(nodes.join(parents, "up", "left").select(
         "uuid",
         F.when(found, F.col("up")).alias("up"),
         F.when(~found, F.col("uuid")).alias("root_uuid"),
         F.when(found, 1).otherwise(0).alias("depth"),
         F.array("sequence_num").alias("path"),
-        F.coalesce("up_flag", F.lit(False)).alias("flagged")), "ancestry")
+        F.coalesce("up_flag", F.lit(False)).alias("flagged")))
     settled, active = [state.where("root_uuid IS NOT NULL")], state.where("root_uuid IS NULL")
-    left = active.count()
     while left:
         known = reduce(DataFrame.unionByName, settled).unionByName(active)
         above = known.select(F.col("uuid").alias("up"), F.col("up").alias("next_up"),
                              F.col("root_uuid").alias("next_root"), F.col("depth").alias("next_depth"),
                              F.col("path").alias("next_path"), F.col("flagged").alias("next_flagged"))
-        state = materialize(active.drop("root_uuid").join(above, "up").select(
+        before = left
+        state, left = _round(active.drop("root_uuid").join(above, "up").select(
             "uuid", F.col("next_up").alias("up"), F.col("next_root").alias("root_uuid"),
             (F.col("depth") + F.col("next_depth")).alias("depth"),
             F.concat("next_path", "path").alias("path"),
-            (F.col("flagged") | F.col("next_flagged")).alias("flagged")), "ancestry")
+            (F.col("flagged") | F.col("next_flagged")).alias("flagged")))
         settled.append(state.where("root_uuid IS NOT NULL"))
         active = state.where("root_uuid IS NULL")
-        before, left = left, active.count()
         if left == before:
             raise LoadError(f"{left} runs are their own ancestors")
     return reduce(DataFrame.unionByName, settled).drop("up")

@@ -13,8 +13,9 @@ A writer returns an audit DataFrame. Written rows are counted by the write itsel
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -74,13 +75,18 @@ def append_by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 # ---------------------------------------------------------------- staging
 
 def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructType, location: str,
-                 partition_by: Sequence[str] = ()) -> None:
-    """Fill ``location`` with ``df`` through a stage table; the files stay when the stage's entry is dropped."""
+                 partition_by: Sequence[str] = ()) -> dict[str, str]:
+    """Fill ``location`` with ``df`` through a stage table; the files stay when the stage's entry is dropped.
+
+    Returns the folder of every partition written, by the value's text.
+    """
     stage = unique(f"{table.replace('`', '')}_stage")
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {quoted(stage)} ({ddl_of(schema)}) USING parquet {parts} LOCATION '{location}'")
     try:
         df.select(spark.table(stage).columns).write.insertInto(stage)
+        names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {quoted(stage)}").collect()] if partition_by else []
+        return {unquote(name.split("=", 1)[1]): f"{location}/{name}" for name in names}
     except Exception:
         remove_dir(spark, location)
         raise
@@ -138,6 +144,11 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str, schema: Struct
 
 # ---------------------------------------------------------------- partition replace
 
+def _text(value: object) -> str:
+    """A partition value as it stands in a folder name."""
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def partition_exists(spark: SparkSession, table: str, column: str, value: object) -> bool:
     """Whether a partition was ever loaded, even with no rows."""
     if not table_exists(spark, table):
@@ -146,10 +157,6 @@ def partition_exists(spark: SparkSession, table: str, column: str, value: object
     return not found.isEmpty()
 
 
-def _is(column: str, value: object) -> Column:
-    return F.col(column).eqNullSafe(F.lit(value))
-
-
 def _only(df: DataFrame, column: str, value: object) -> DataFrame:
     """Drop the partition column after making sure that it holds nothing but ``value``."""
     present = {name.lower(): name for name in df.columns}.get(column.lower())
@@ -157,7 +164,8 @@ def _only(df: DataFrame, column: str, value: object) -> DataFrame:
         return df
     message = F.concat(F.lit(f"Row outside partition {column}={value}: "), F.coalesce(F.col(present).cast("string"),
                                                                                         F.lit("null")))
-    return df.where(F.when(_is(present, value), True).otherwise(F.raise_error(message).cast("boolean"))).drop(present)
+    fits = F.col(present).eqNullSafe(F.lit(value))
+    return df.where(F.when(fits, True).otherwise(F.raise_error(message).cast("boolean"))).drop(present)
 
 
 def _checked_target(spark: SparkSession, table: str, column: str, schema: StructType | str | None,
@@ -211,14 +219,15 @@ def replace_partition(spark: SparkSession, df: DataFrame, table: str, column: st
         raise LoadError("A value is required for the partition column")
     schema, recreate = _checked_target(spark, table, column, schema)
     body = _without(schema, column)
-    before = spark.table(table).where(_is(column, value)).count() if partition_exists(spark, table, column, value) \
-        else 0
+    before = 0
+    if partition_exists(spark, table, column, value):
+        before = spark.table(table).where(F.col(column) == F.lit(value)).count()
     rows, seen = counted(by_name(_only(df, column, value), body))
     kept = None
     if keep is not None:
         old_rows, kept = counted(by_name(_only(keep, column, value), body))
         rows = old_rows.unionByName(rows)
-    fresh = f"{base_location(spark, table)}/{unique('load')}/{column}={value}"
+    fresh = f"{base_location(spark, table)}/{unique('load')}"
     _write_stage(spark, rows, table, body, fresh)
     _switch(spark, table, schema, column, {value: fresh}, recreate)
     added = seen.get["rows"]
@@ -244,17 +253,18 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, column: s
         before = dict(spark.table(table).where(F.col(column).isin(values)).groupBy(column).count().collect())
     rows = by_name(df, schema)
     fresh = f"{base_location(spark, table)}/{unique('load')}"
-    _write_stage(spark, _evenly(rows, column) if rebalance else rows, table, schema, fresh, [column])
-    # The partition column alone is read back, so only folder names and file footers are.
-    only = StructType([f for f in schema.fields if f.name.lower() == column.lower()])
-    written = dict(spark.read.schema(only).parquet(fresh).groupBy(column).count().collect())
-    strangers = [v for v in written if v not in values]
+    folders = _write_stage(spark, _evenly(rows, column) if rebalance else rows, table, schema, fresh, [column])
+    strangers = set(folders) - {_text(v) for v in values}
     if strangers:
         remove_dir(spark, fresh)
-        raise LoadError(f"Rows outside the listed partitions of {table}: {column} in {strangers}")
-    locations = {v: f"{fresh}/{column}={v}" for v in values}
-    for value in values:
-        if value not in written:
+        raise LoadError(f"Rows outside the listed partitions of {table}: {column} in {', '.join(sorted(strangers))}")
+    # The partition column alone is read back, so only folder names and file footers are.
+    only = StructType([f for f in schema.fields if f.name.lower() == column.lower()])
+    written = dict(spark.read.schema(only).parquet(fresh).groupBy(column).count().collect()) if folders else {}
+    locations = {}
+    for number, value in enumerate(values):
+        locations[value] = folders.get(_text(value)) or f"{fresh}/empty_{number}"
+        if _text(value) not in folders:
             make_dir(spark, locations[value])
     _switch(spark, table, schema, column, locations, recreate)
     out = [(table, f"{column}={v}", "replace partition", before.get(v, 0), before.get(v, 0), written.get(v, 0),

@@ -19,7 +19,7 @@ from tablehaul.functions.dates import ntz, same_zone_literal
 from tablehaul.operators.schema import (as_schema, ensure_table, literal, same_schema, schema_of, table_exists)
 from tablehaul.operators.sinks import append_by_name, audit, partition_exists, replace_partition
 from tablehaul.sources.extract import scalar_timestamp
-from tablehaul.workspace import materialize
+from tablehaul.workspace import intermediate, materialize
 
 LOG_SCHEMA = ("table_name string, partition_num string, starting_watermark timestamp_ntz, "
               "ending_watermark timestamp_ntz, completed_datetime timestamp_ntz")
@@ -76,13 +76,16 @@ def delta(source: DataFrame, changes: DataFrame, key: Sequence[str], changed_at:
           new: dt.datetime | None, *, dedup: bool = True) -> DataFrame:
     """The rows to load: all when there is no previous mark, else those whose key changed in the window.
 
-    With ``dedup=False`` a key that is logged several times repeats its rows.
+    With ``dedup=False`` a key that is logged several times repeats its rows. The keys are written out first: only with
+    their size known can Spark send a small set to every task instead of shuffling the source.
     """
     if previous is None:
         return source
     if dedup:
-        return source.join(changed_keys(changes, key, changed_at, previous, new), list(key), "left_semi")
-    return source.join(in_window(changes, changed_at, previous, new).select(*key), list(key))
+        changed = changed_keys(changes, key, changed_at, previous, new)
+        return source.join(materialize(changed, "changed_keys"), list(key), "left_semi")
+    window = in_window(changes, changed_at, previous, new).select(*key)
+    return source.join(materialize(window, "changed_rows"), list(key))
 
 
 def _marked(df: DataFrame, mark: str | None, kind: str) -> DataFrame:
@@ -146,12 +149,15 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
     else:
         # Written once because both sides need it, and so that the joins know its size.
         window = in_window(changes, changed_at, previous, new).select(*keys)
-        changed = materialize(window.distinct(), "changed_keys")
-        if isinstance(source, DataFrame):
-            rows = rows.join(changed, keys, "left_semi") if dedup else rows.join(window, keys)
-        current = spark.table(target).where(F.col(column) == F.lit(value))
-        kept = current.join(changed, keys, "left_anti")
-        done = replace_partition(spark, _marked(rows, mark, DELTA), target, column, value, schema=schema, keep=kept)
+        with intermediate(window.distinct(), "changed_keys") as changed:
+            if isinstance(source, DataFrame):
+                rows = rows.join(changed, keys, "left_semi") if dedup else rows.join(window, keys)
+                # Few rows from many tasks: gather them in files of a good size.
+                rows = rows.hint("rebalance")
+            current = spark.table(target).where(F.col(column) == F.lit(value))
+            kept = current.join(changed, keys, "left_anti")
+            done = replace_partition(spark, _marked(rows, mark, DELTA), target, column, value, schema=schema,
+                                     keep=kept)
         kind = DELTA
     if new is not None:
         record_watermark(spark, log_table, target, value, previous, new)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediate(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As ``materialize``, for use within one job: the files are gone afterwards."""
+    kept = materialize(df, label)
+    path = _created[-1]
+    try:
+        yield kept
+    finally:
+        _created.remove(path)
+        remove_dir(df.sparkSession, path)
+
+
 def scratch_database(spark: SparkSession) -> str:
     """Create an empty database of its own below the shared folder and return its name."""
     name = unique("scratch")
