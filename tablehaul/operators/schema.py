@@ -52,15 +52,22 @@ def literal(value: object) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def qualified(spark: SparkSession, table: str) -> str:
+    """The table's name with its database, so that no temporary view is meant."""
+    plain = table.replace("`", "")
+    return plain if "." in plain else f"{spark.catalog.currentDatabase()}.{plain}"
+
+
 def base_location(spark: SparkSession, table: str) -> str:
-    """The folder that holds every version of a table's files."""
-    *database, name = table.split(".")
-    database = database[-1].strip("`") if database else spark.catalog.currentDatabase()
-    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name.strip('`')}"
+    """The folder that holds every version of a table's files; no table's own folder lies above or below it."""
+    database, name = qualified(spark, table).rsplit(".", 1)
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}__loads"
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
+    """Whether there is a table, not a view, of this name."""
+    name = qualified(spark, table)
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW"
 
 
 def schema_of(spark: SparkSession, table: str) -> StructType:
@@ -85,11 +92,18 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def location_of(spark: SparkSession, table: str, partition: tuple[str, object] | None = None) -> str:
+def _described(spark: SparkSession, table: str, partition: tuple[str, object] | None = None) -> dict:
     clause = f"PARTITION (`{partition[0]}` = {literal(partition[1])})" if partition else ""
-    row = spark.sql(f"DESCRIBE EXTENDED {quoted(table)} {clause} AS JSON").first()
-    described = json.loads(row[0])
-    return (described.get("partition_information") or described).get("location") or described["location"]
+    return json.loads(spark.sql(f"DESCRIBE EXTENDED {quoted(table)} {clause} AS JSON").first()[0])
+
+
+def location_of(spark: SparkSession, table: str, partition: tuple[str, object] | None = None) -> str:
+    return _described(spark, table, partition)["location"]
+
+
+def format_of(spark: SparkSession, table: str) -> str:
+    """The file format of a table."""
+    return _described(spark, table).get("provider", "").lower()
 
 
 def _pairs(schema: StructType) -> set[tuple[str, str]]:
@@ -128,7 +142,7 @@ def create_table(spark: SparkSession, table: str, schema: StructType | str,
     The table is external to the catalog, so that swapping in a new version is a metadata change and dropping the entry
     never touches files that are still being written.
     """
-    schema = as_schema(schema)
+    table, schema = qualified(spark, table), as_schema(schema)
     known = {f.name.lower() for f in schema.fields}
     for column in partition_by:
         if column.lower() not in known:
@@ -141,9 +155,9 @@ def create_table(spark: SparkSession, table: str, schema: StructType | str,
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drop a table if it exists, with all versions of its files."""
     if table_exists(spark, table):
-        base = base_location(spark, table)
+        table = qualified(spark, table)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
-        remove_dir(spark, base)
+        remove_dir(spark, base_location(spark, table))
 
 
 def ensure_table(spark: SparkSession, table: str, schema: StructType | str, *, if_exists: str = "keep",
@@ -156,7 +170,7 @@ def ensure_table(spark: SparkSession, table: str, schema: StructType | str, *, i
     wanted = {choice.lower(): choice for choice in IF_EXISTS}.get(if_exists.lower())
     if wanted is None:
         raise LoadError(f"if_exists must be one of {', '.join(IF_EXISTS)}")
-    schema = as_schema(schema)
+    table, schema = qualified(spark, table), as_schema(schema)
     if not table_exists(spark, table):
         create_table(spark, table, schema, partition_by)
         return "created"

@@ -63,32 +63,45 @@ def lookup_any_key(facts: DataFrame, dim: DataFrame, value: str, keys: Sequence[
     return joined.select(*[facts[c] for c in facts.columns], found.alias(returns))
 
 
-# One step opens every container reached so far: entries of objects and items of arrays get their path, containers
-# among them stay to be opened, the rest are leaves. A row needs at most as many steps as it has opening brackets.
-_FLATTEN = r"""
-aggregate(
-  sequence(0, length(regexp_replace({json}, '[^\\[{{]', ''))),
-  cast(if(try_cast({doc} AS map<string, variant>) IS NULL AND try_cast({doc} AS array<variant>) IS NULL,
-          named_struct('open', array(), 'leaves', array(named_struct('path', '', 'v', {doc}))),
-          named_struct('open', array(named_struct('path', '', 'v', {doc})), 'leaves', array()))
-       AS struct<open: array<struct<path: string, v: variant>>, leaves: array<struct<path: string, v: variant>>>),
-  (state, step) -> if(size(state.open) = 0, state,
-    transform(array(flatten(transform(state.open, node -> coalesce(
-        transform(map_entries(try_cast(node.v AS map<string, variant>)),
-                  e -> named_struct('path', if(node.path = '', e.key, concat(node.path, '.', e.key)),
-                                    'v', e.value)),
-        transform(try_cast(node.v AS array<variant>),
-                  (item, i) -> named_struct('path', concat(node.path, '[', i, ']'), 'v', item)))))),
-      found -> named_struct(
-        'open', filter(found, n -> try_cast(n.v AS map<string, variant>) IS NOT NULL
-                                   OR try_cast(n.v AS array<variant>) IS NOT NULL),
-        'leaves', concat(state.leaves,
-                         filter(found, n -> try_cast(n.v AS map<string, variant>) IS NULL
-                                            AND try_cast(n.v AS array<variant>) IS NULL))))[0]),
-  state -> state.leaves)
+# Levels of a document that are opened by generators, which is fast; what is nested deeper is opened by a loop inside one
+# expression, which takes any depth.
+_FAST_LEVELS = 4
+
+_CONTAINER = "(try_cast({v} AS map<string, variant>) IS NOT NULL OR try_cast({v} AS array<variant>) IS NOT NULL)"
+_BELOW = """coalesce(
+  transform(map_entries(try_cast({v} AS map<string, variant>)),
+            e -> named_struct('path', if({path} = '', e.key, concat({path}, '.', e.key)), 'v', e.value)),
+  transform(try_cast({v} AS array<variant>),
+            (item, i) -> named_struct('path', concat({path}, '[', i, ']'), 'v', item)))"""
+
+# Each step replaces the containers found so far by what they hold. A value needs at most as many steps as it has
+# opening brackets.
+_DEEPER = f"""
+if({_CONTAINER.format(v='_v')}, aggregate(
+  sequence(1, length(regexp_replace(cast(_v AS string), '[^\\\\[{{]', ''))),
+  named_struct('open', array(named_struct('path', _path, 'v', _v)),
+               'leaves', cast(array() AS array<struct<path: string, v: variant>>)),
+  (state, step) -> if(size(state.open) = 0, state, transform(
+    array(flatten(transform(state.open, n -> {_BELOW.format(v='n.v', path='n.path')}))),
+    found -> named_struct('open', filter(found, n -> {_CONTAINER.format(v='n.v')}),
+                          'leaves', concat(state.leaves, filter(found, n -> NOT {_CONTAINER.format(v='n.v')}))))[0]),
+  state -> state.leaves), NULL)
 """
 
 
+def _open_one_level(rows: DataFrame, id_col: str) -> DataFrame:
+    inside = rows.sparkSession.tvf.variant_explode_outer(F.col("_v").outer()).toDF("_pos", "_key", "_value")
+    path = (F.when(F.col("_pos").isNull(), F.col("_path"))
+            .when(F.col("_key").isNull(), F.concat("_path", F.lit("["), F.col("_pos"), F.lit("]")))
+            .when(F.col("_path") == "", F.col("_key"))
+            .otherwise(F.concat("_path", F.lit("."), F.col("_key"))))
+    # A value with nothing inside stays as it is: a leaf, or an empty container, which has no leaves.
+    value = F.when(F.col("_pos").isNull(), F.col("_v")).otherwise(F.col("_value"))
+    empty = F.col("_pos").isNull() & F.expr(_CONTAINER.format(v="_v"))
+    return (rows.lateralJoin(inside).where(~empty)
+            .select(id_col, path.alias("_path"), value.alias("_v")))
+
+
 def flatten_json(df: DataFrame, id_col: str, json_col: str, *, text_only: bool = False,
                  skip_malformed: bool = False) -> DataFrame:
     """One row ``(id, path, value)`` per leaf of a JSON column, at any depth: ``a.b``, ``a.list[0]``.
@@ -97,9 +110,13 @@ def flatten_json(df: DataFrame, id_col: str, json_col: str, *, text_only: bool =
     it is to be skipped. Runs inside the scan's tasks without a shuffle.
     """
     parse = "try_parse_json" if skip_malformed else "parse_json"
-    docs = df.select(F.col(id_col), F.col(json_col).alias("_json"), F.expr(f"{parse}(`{json_col}`)").alias("_doc"))
-    docs = docs.where(F.col("_doc").isNotNull())
-    leaves = docs.select(id_col, F.expr(f"inline({_FLATTEN.format(json='_json', doc='_doc')})"))
+    rows = (df.select(F.col(id_col), F.lit("").alias("_path"), F.expr(f"{parse}(`{json_col}`)").alias("_v"))
+            .where(F.col("_v").isNotNull()))
+    for _ in range(_FAST_LEVELS):
+        rows = _open_one_level(rows, id_col)
+    deep = F.expr(_CONTAINER.format(v="_v"))
+    leaves = (rows.select("*", F.expr(f"inline_outer({_DEEPER})")).where(~deep | F.col("path").isNotNull())
+              .select(id_col, F.coalesce("path", "_path").alias("path"), F.coalesce("v", "_v").alias("v")))
     if text_only:
         leaves = leaves.where(F.expr("schema_of_variant(v) = 'STRING'"))
     return leaves.select(id_col, "path", F.col("v").cast("string").alias("value"))

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablehaul.errors import LoadError
-from tablehaul.operators.schema import (as_schema, base_location, create_table, ddl_of, literal, location_of,
-                                        partition_columns, quoted, same_schema, schema_of, table_exists)
+from tablehaul.operators.schema import (as_schema, base_location, create_table, ddl_of, format_of, literal,
+                                        location_of, partition_columns, qualified, quoted, same_schema, schema_of,
+                                        table_exists)
 from tablehaul.workspace import child_dirs, make_dir, remove_dir, unique
 
 AUDIT = ("table string, partition string, action string, rows_before long, rows_removed long, rows_added long, "
@@ -58,6 +59,7 @@ def by_name(df: DataFrame, schema: StructType) -> DataFrame:
 
 def append_by_position(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Append column *i* of the data to column *i* of the table, whatever the names."""
+    table = qualified(spark, table)
     if not table_exists(spark, table):
         raise LoadError(f"Table {table} does not exist and no schema was given")
     rows, seen = counted(df)
@@ -67,6 +69,7 @@ def append_by_position(spark: SparkSession, df: DataFrame, table: str) -> DataFr
 
 def append_by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Append by column label."""
+    table = qualified(spark, table)
     if not table_exists(spark, table):
         raise LoadError(f"Table {table} does not exist and no schema was given")
     return append_by_position(spark, by_name(df, schema_of(spark, table)), table)
@@ -74,15 +77,23 @@ def append_by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 
 # ---------------------------------------------------------------- staging
 
-def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructType, location: str,
+def _format_for(spark: SparkSession, table: str, anew: bool) -> str:
+    """The file format to stage in: the target's own, parquet for a new one."""
+    kind = "parquet" if anew else format_of(spark, table)
+    if kind not in ("parquet", "orc"):
+        raise LoadError(f"Only parquet and ORC tables can be replaced; {table} is {kind}")
+    return kind
+
+
+def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructType, location: str, kind: str,
                  partition_by: Sequence[str] = ()) -> dict[str, str]:
     """Fill ``location`` with ``df`` through a stage table; the files stay when the stage's entry is dropped.
 
     Returns the folder of every partition written, by the value's text.
     """
-    stage = unique(f"{table.replace('`', '')}_stage")
+    stage = unique(f"{table}_stage")
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {quoted(stage)} ({ddl_of(schema)}) USING parquet {parts} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {quoted(stage)} ({ddl_of(schema)}) USING {kind} {parts} LOCATION '{location}'")
     try:
         df.select(spark.table(stage).columns).write.insertInto(stage)
         names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {quoted(stage)}").collect()] if partition_by else []
@@ -94,12 +105,13 @@ def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructT
         spark.sql(f"DROP TABLE IF EXISTS {quoted(stage)}")
 
 
-def _sweep(spark: SparkSession, table: str, keep: str) -> None:
-    """Remove all versions of a table's files but one."""
+def _other_versions(spark: SparkSession, table: str, keep: str) -> list[str]:
+    """The folders of a table's files that a new version makes useless."""
     base = base_location(spark, table)
-    for name in child_dirs(spark, base):
-        if name != keep.rstrip("/").rsplit("/", 1)[-1]:
-            remove_dir(spark, f"{base}/{name}")
+    folders = [f"{base}/{name}" for name in child_dirs(spark, base)]
+    if table_exists(spark, table):
+        folders.append(location_of(spark, table))
+    return [folder for folder in folders if folder.rsplit("/", 1)[-1] != keep.rsplit("/", 1)[-1]]
 
 
 def _without(schema: StructType, column: str) -> StructType:
@@ -116,6 +128,7 @@ def _evenly(df: DataFrame, column: str) -> DataFrame:
 def replace_table(spark: SparkSession, df: DataFrame, table: str, schema: StructType | str | None = None, *,
                   partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a whole table, creating it or changing its columns as needed."""
+    table = qualified(spark, table)
     exists = table_exists(spark, table)
     if schema is None and not exists:
         raise LoadError(f"Table {table} does not exist and no schema was given")
@@ -123,21 +136,24 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str, schema: Struct
     schema = as_schema(schema) if schema is not None else old
     if exists and schema is old:
         partition_by = partition_columns(spark, table)
+    in_place = (exists and not partition_by and not partition_columns(spark, table) and old.names == schema.names
+                and same_schema(old, schema))
     fresh = f"{base_location(spark, table)}/{unique('load')}"
     rows = by_name(df, schema)
     if len(partition_by) == 1:
         rows = _evenly(rows, partition_by[0])
     rows, seen = counted(rows)
-    _write_stage(spark, rows, table, schema, fresh, partition_by)
-    if exists and not partition_by and not partition_columns(spark, table) and old.names == schema.names \
-            and same_schema(old, schema):
+    _write_stage(spark, rows, table, schema, fresh, _format_for(spark, table, not in_place), partition_by)
+    stale = _other_versions(spark, table, fresh)
+    if in_place:
         spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{fresh}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
         create_table(spark, table, schema, partition_by, fresh)
         if partition_by:
             spark.sql(f"ALTER TABLE {quoted(table)} RECOVER PARTITIONS")
-    _sweep(spark, table, fresh)
+    for folder in stale:
+        remove_dir(spark, folder)
     added = seen.get["rows"]
     return audit(spark, table, "replace", added=added, after=added)
 
@@ -191,7 +207,7 @@ def _switch(spark: SparkSession, table: str, schema: StructType, column: str, lo
     if recreate:
         base = base_location(spark, table)
         fresh = next(iter(locations.values()))[len(base) + 1:].split("/")[0]
-        stale = [f"{base}/{name}" for name in child_dirs(spark, base) if name != fresh]
+        stale = _other_versions(spark, table, fresh)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
         create_table(spark, table, schema, [column])
     added = []
@@ -217,6 +233,7 @@ def replace_partition(spark: SparkSession, df: DataFrame, table: str, column: st
     """
     if value is None:
         raise LoadError("A value is required for the partition column")
+    table = qualified(spark, table)
     schema, recreate = _checked_target(spark, table, column, schema)
     body = _without(schema, column)
     before = 0
@@ -228,7 +245,7 @@ def replace_partition(spark: SparkSession, df: DataFrame, table: str, column: st
         old_rows, kept = counted(by_name(_only(keep, column, value), body))
         rows = old_rows.unionByName(rows)
     fresh = f"{base_location(spark, table)}/{unique('load')}"
-    _write_stage(spark, rows, table, body, fresh)
+    _write_stage(spark, rows, table, body, fresh, _format_for(spark, table, recreate))
     _switch(spark, table, schema, column, {value: fresh}, recreate)
     added = seen.get["rows"]
     held = kept.get["rows"] if kept is not None else 0
@@ -246,6 +263,7 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, column: s
     values = list(dict.fromkeys(values))
     if not values or any(v is None for v in values):
         raise LoadError("A value is required for the partition column")
+    table = qualified(spark, table)
     schema, recreate = _checked_target(spark, table, column, schema)
     exists = table_exists(spark, table)
     before = {}
@@ -253,14 +271,15 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, column: s
         before = dict(spark.table(table).where(F.col(column).isin(values)).groupBy(column).count().collect())
     rows = by_name(df, schema)
     fresh = f"{base_location(spark, table)}/{unique('load')}"
-    folders = _write_stage(spark, _evenly(rows, column) if rebalance else rows, table, schema, fresh, [column])
+    kind = _format_for(spark, table, recreate)
+    folders = _write_stage(spark, _evenly(rows, column) if rebalance else rows, table, schema, fresh, kind, [column])
     strangers = set(folders) - {_text(v) for v in values}
     if strangers:
         remove_dir(spark, fresh)
         raise LoadError(f"Rows outside the listed partitions of {table}: {column} in {', '.join(sorted(strangers))}")
     # The partition column alone is read back, so only folder names and file footers are.
     only = StructType([f for f in schema.fields if f.name.lower() == column.lower()])
-    written = dict(spark.read.schema(only).parquet(fresh).groupBy(column).count().collect()) if folders else {}
+    written = dict(spark.read.schema(only).format(kind).load(fresh).groupBy(column).count().collect()) if folders else {}
     locations = {}
     for number, value in enumerate(values):
         locations[value] = folders.get(_text(value)) or f"{fresh}/empty_{number}"

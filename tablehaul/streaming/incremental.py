@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 
 from tablehaul.errors import LoadError
 from tablehaul.functions.dates import ntz, same_zone_literal
-from tablehaul.operators.schema import (as_schema, ensure_table, literal, same_schema, schema_of, table_exists)
+from tablehaul.operators.schema import (as_schema, ensure_table, literal, qualified, same_schema, schema_of,
+                                        table_exists)
 from tablehaul.operators.sinks import append_by_name, audit, partition_exists, replace_partition
 from tablehaul.sources.extract import scalar_timestamp
 from tablehaul.workspace import intermediate, materialize
@@ -44,7 +45,8 @@ def previous_watermark(spark: SparkSession, log_table: str, table: str, value: o
     """The highest recorded mark of one partition; null when there is no log or no entry. Other errors are raised."""
     if not table_exists(spark, log_table):
         return None
-    log = spark.table(log_table).where((F.col("table_name") == table) & (F.col("partition_num") == literal(value)))
+    table = qualified(spark, table)
+    log = spark.table(qualified(spark, log_table)).where((F.col("table_name") == table) & (F.col("partition_num") == literal(value)))
     return scalar_timestamp(log.agg(F.max("ending_watermark")))
 
 
@@ -52,7 +54,7 @@ def record_watermark(spark: SparkSession, log_table: str, table: str, value: obj
                      new: dt.datetime) -> None:
     ensure_table(spark, log_table, LOG_SCHEMA)
     entry = spark.range(1, numPartitions=1).select(
-        F.lit(table).alias("table_name"), F.lit(literal(value)).alias("partition_num"),
+        F.lit(qualified(spark, table)).alias("table_name"), F.lit(literal(value)).alias("partition_num"),
         ntz(previous).alias("starting_watermark"), ntz(new).alias("ending_watermark"),
         F.localtimestamp().alias("completed_datetime"))
     append_by_name(spark, entry, log_table)
@@ -117,6 +119,7 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
     if not keys or not changed_at:
         raise LoadError("An incremental load needs the change log's key and time columns")
 
+    target, log_table = qualified(spark, target), qualified(spark, log_table)
     new = new_watermark(changes, changed_at)
     previous = previous_watermark(spark, log_table, target, value)
     if not partition_exists(spark, target, column, value):

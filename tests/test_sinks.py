@@ -160,3 +160,44 @@ def test_one_key_with_a_third_of_the_rows_is_written_whole(spark, db):
     data = spark.range(30000).selectExpr("int(id) AS k", "'x' AS name", "int(if(id % 3 = 0, 0, id % 50)) AS p")
     sinks.replace_partitions(spark, data, table, "p", range(50), schema=SCHEMA)
     assert values(spark.table(table).groupBy("p").count()) == values(data.groupBy("p").count())
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_tables_made_by_plain_sql(spark, db, kind):
+    """Managed tables keep their format, and their own folder is not where new versions are staged."""
+    spark.sql(f"CREATE TABLE {db}.flat USING {kind} AS SELECT 1 AS k, 'a' AS name")
+    old = location_of(spark, f"{db}.flat")
+    sinks.replace_table(spark, rows(spark, (2, "b")), f"{db}.flat")
+    assert values(spark.table(f"{db}.flat")) == [(2, "b")]
+    assert location_of(spark, f"{db}.flat") != old
+    sinks.replace_table(spark, rows(spark, (3, "c")).withColumn("more", F.lit(1)), f"{db}.flat",
+                        "k int, name string, more int")
+    assert values(spark.table(f"{db}.flat")) == [(3, "c", 1)]
+
+    spark.sql(f"CREATE TABLE {db}.parts USING {kind} PARTITIONED BY (p) AS SELECT 1 AS k, 'a' AS name, 1 AS p")
+    spark.sql(f"INSERT INTO {db}.parts VALUES (2, 'b', 2)")
+    sinks.replace_partition(spark, rows(spark, (5, "e")), f"{db}.parts", "p", 1)
+    sinks.replace_partitions(spark, rows(spark, (6, "f")).withColumn("p", F.lit(3)), f"{db}.parts", "p", [3])
+    assert values(spark.table(f"{db}.parts")) == [(2, "b", 2), (5, "e", 1), (6, "f", 3)]
+    sinks.replace_partition(spark, rows(spark, (7, "g")), f"{db}.parts", "p", 1, schema="k bigint, name string, p int")
+    assert values(spark.table(f"{db}.parts")) == [(7, "g", 1)]
+
+
+def test_other_formats_are_refused(spark, db):
+    spark.sql(f"CREATE TABLE {db}.t USING json AS SELECT 1 AS k")
+    with pytest.raises(LoadError, match="json"):
+        sinks.replace_table(spark, spark.sql("SELECT 2 AS k"), f"{db}.t")
+    assert values(spark.table(f"{db}.t")) == [(1,)]
+
+
+def test_a_view_of_the_same_name_is_not_the_table(spark, db):
+    spark.sql(f"USE {db}")
+    try:
+        spark.sql("CREATE OR REPLACE TEMPORARY VIEW same AS SELECT 0 AS k, 'view' AS name")
+        assert not table_exists(spark, "same")
+        sinks.replace_table(spark, rows(spark, (1, "a")), "same", "k int, name string")
+        sinks.append_by_name(spark, rows(spark, (2, "b")), "same")
+        assert values(spark.table(f"{db}.same")) == [(1, "a"), (2, "b")]
+    finally:
+        spark.catalog.dropTempView("same")
+        spark.sql("USE default")
