@@ -48,7 +48,7 @@ def duration_seconds(started: Column, ended: Column) -> Column:
 
 def format_duration(started: Column, seconds: Column) -> Column:
     """``2h 03m 04s``, ``3m 04s`` or ``4s``; ``-`` when not started."""
-    hours = F.expr("0") + F.floor(seconds / 3600)
+    hours = F.floor(seconds / 3600)
     minutes = F.floor((seconds % 3600) / 60)
     rest = seconds % 60
     return (F.when(started.isNull(), F.lit("-"))

@@ -87,38 +87,39 @@ def _round(state: DataFrame) -> tuple[DataFrame, int]:
     return written, seen.get["left"]
 
 
-def ancestry(h: DataFrame, flag: Column | None = None) -> DataFrame:
-    """``uuid, root_uuid, depth, path, flagged`` for every run.
+def ancestry(h: DataFrame, flag: Column | None = None, *, paths: bool = False) -> DataFrame:
+    """``uuid, root_uuid, depth, flag, flagged`` for every run, and ``path`` if asked for.
 
-    ``path`` lists the sequence numbers from the root down, so sorting by it walks the tree in order. ``flagged`` tells
-    whether ``flag`` holds for any run above this one. A run whose parent is not in the history counts as a root.
+    ``flag`` tells whether the condition holds for the run itself, ``flagged`` whether it holds for any run above it.
+    ``path`` lists the sequence numbers from the root down, so sorting by it walks the tree in order. A run whose
+    parent is not in the history counts as a root.
 
     Each round doubles the distance that is known, so a tree of depth d takes about log2(d) rounds, and runs that have
     reached their root are not joined again. Every round is written once to the shared folder.
     """
-    nodes = h.select("uuid", F.col(PARENT).alias("up"), "sequence_num",
-                     F.coalesce(flag if flag is not None else F.lit(False), F.lit(False)).alias("flag"))
+    condition = F.coalesce(flag if flag is not None else F.lit(False), F.lit(False))
+    place = [F.array("sequence_num").alias("path")] if paths else []
+    nodes = h.select("uuid", F.col(PARENT).alias("up"), condition.alias("flag"), *place)
     parents = nodes.select(F.col("uuid").alias("up"), F.col("flag").alias("up_flag"))
     found = F.col("up_flag").isNotNull()
+    carried = ["flag", "path"] if paths else ["flag"]
     state, left = _round(nodes.join(parents, "up", "left").select(
         "uuid",
         F.when(found, F.col("up")).alias("up"),
         F.when(~found, F.col("uuid")).alias("root_uuid"),
         F.when(found, 1).otherwise(0).alias("depth"),
-        F.array("sequence_num").alias("path"),
-        F.coalesce("up_flag", F.lit(False)).alias("flagged")))
+        F.coalesce("up_flag", F.lit(False)).alias("flagged"), *carried))
     settled, active = [state.where("root_uuid IS NOT NULL")], state.where("root_uuid IS NULL")
     while left:
         known = reduce(DataFrame.unionByName, settled).unionByName(active)
-        above = known.select(F.col("uuid").alias("up"), F.col("up").alias("next_up"),
-                             F.col("root_uuid").alias("next_root"), F.col("depth").alias("next_depth"),
-                             F.col("path").alias("next_path"), F.col("flagged").alias("next_flagged"))
+        above = known.drop("flag").select([F.col(c).alias("up" if c == "uuid" else f"next_{c}")
+                                           for c in known.columns if c != "flag"])
         before = left
+        longer = [F.concat("next_path", "path").alias("path")] if paths else []
         state, left = _round(active.drop("root_uuid").join(above, "up").select(
-            "uuid", F.col("next_up").alias("up"), F.col("next_root").alias("root_uuid"),
+            "uuid", F.col("next_up").alias("up"), F.col("next_root_uuid").alias("root_uuid"),
             (F.col("depth") + F.col("next_depth")).alias("depth"),
-            F.concat("next_path", "path").alias("path"),
-            (F.col("flagged") | F.col("next_flagged")).alias("flagged")))
+            (F.col("flagged") | F.col("next_flagged")).alias("flagged"), "flag", *longer))
         settled.append(state.where("root_uuid IS NOT NULL"))
         active = state.where("root_uuid IS NULL")
         if left == before:
@@ -128,7 +129,7 @@ def ancestry(h: DataFrame, flag: Column | None = None) -> DataFrame:
 
 def tree(h: DataFrame) -> DataFrame:
     """Every run with its root, depth and place in the tree; order by ``root_uuid, path`` to print it."""
-    return h.join(ancestry(h).select("uuid", "root_uuid", "depth", "path"), "uuid")
+    return h.join(ancestry(h, paths=True).select("uuid", "root_uuid", "depth", "path"), "uuid")
 
 
 def root_of(h: DataFrame) -> DataFrame:
@@ -138,10 +139,9 @@ def root_of(h: DataFrame) -> DataFrame:
 
 def progress(h: DataFrame) -> DataFrame:
     """For every root: how many of its descendants there are and how many have come to an end."""
-    below = h.select("uuid", "status").join(ancestry(h).select("uuid", "root_uuid", "depth"), "uuid")
-    ended = (F.col("depth") > 0) & F.col("status").isin(*TERMINAL)
-    return (below.groupBy("root_uuid")
-            .agg(F.count_if(ended).alias("complete"), F.count_if(F.col("depth") > 0).alias("total")))
+    places = ancestry(h, F.col("status").isin(*TERMINAL))
+    return (places.groupBy("root_uuid").agg(F.count_if((F.col("depth") > 0) & F.col("flag")).alias("complete"),
+                                            F.count_if(F.col("depth") > 0).alias("total")))
 
 
 def child_errors(h: DataFrame) -> DataFrame:
@@ -155,13 +155,12 @@ def leaf_failures(h: DataFrame) -> DataFrame:
 
     Below such a run nothing more is reported.
     """
-    failed = h.where(F.col("status") == "FAILED")
-    with_failed_child = failed.where(F.col(PARENT).isNotNull()).select(F.col(PARENT).alias("uuid")).distinct()
-    causes = failed.join(with_failed_child, "uuid", "left_anti")
-    marked = h.select("uuid", PARENT, "sequence_num").join(
-        causes.select("uuid", F.lit(True).alias("cause")), "uuid", "left")
-    below_cause = ancestry(marked, F.col("cause")).where("flagged").select("uuid")
-    return causes.join(below_cause, "uuid", "left_anti")
+    failed = F.col("status") == "FAILED"
+    with_failed_child = (h.where(failed & F.col(PARENT).isNotNull())
+                         .select(F.col(PARENT).alias("uuid"), F.lit(True).alias("explained")).distinct())
+    judged = h.select("uuid", PARENT, "status").join(with_failed_child, "uuid", "left")
+    causes = ancestry(judged, failed & F.col("explained").isNull()).where("flag AND NOT flagged")
+    return h.join(causes.select("uuid"), "uuid", "left_semi")
 
 
 def remaining(h: DataFrame, root: str | None = None) -> DataFrame:
@@ -174,7 +173,7 @@ def remaining(h: DataFrame, root: str | None = None) -> DataFrame:
         h = h.withColumn(PARENT, F.when(F.col("uuid") != root, F.col(PARENT)))
     parents = h.where(F.col(PARENT).isNotNull()).select(F.col(PARENT).alias("uuid")).distinct()
     steps = h.where(~F.col("status").eqNullSafe("SUCCEEDED")).join(parents, "uuid", "left_anti")
-    places = ancestry(h, F.col("status") == "SUCCEEDED").where(~F.col("flagged"))
+    places = ancestry(h, F.col("status") == "SUCCEEDED", paths=True).where(~F.col("flagged"))
     if root is not None:
         places = places.where(F.col("root_uuid") == root)
     return steps.join(places.select("uuid", "root_uuid", "depth", "path"), "uuid")

@@ -77,6 +77,12 @@ def append_by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 
 # ---------------------------------------------------------------- staging
 
+def _partitions(spark: SparkSession, table: str) -> dict[str, str]:
+    """The partitions of a table: the value's text and the folder name made of it."""
+    names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()]
+    return {unquote(name.split("=", 1)[1]): name for name in names}
+
+
 def _format_for(spark: SparkSession, table: str, anew: bool) -> str:
     """The file format to stage in: the target's own, parquet for a new one."""
     kind = "parquet" if anew else format_of(spark, table)
@@ -96,8 +102,7 @@ def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructT
     spark.sql(f"CREATE TABLE {quoted(stage)} ({ddl_of(schema)}) USING {kind} {parts} LOCATION '{location}'")
     try:
         df.select(spark.table(stage).columns).write.insertInto(stage)
-        names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {quoted(stage)}").collect()] if partition_by else []
-        return {unquote(name.split("=", 1)[1]): f"{location}/{name}" for name in names}
+        return {value: f"{location}/{name}" for value, name in _partitions(spark, stage).items()} if partition_by else {}
     except Exception:
         remove_dir(spark, location)
         raise
@@ -160,7 +165,7 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str, schema: Struct
 
 # ---------------------------------------------------------------- partition replace
 
-def _text(value: object) -> str:
+def partition_text(value: object) -> str:
     """A partition value as it stands in a folder name."""
     return str(value).lower() if isinstance(value, bool) else str(value)
 
@@ -210,9 +215,9 @@ def _switch(spark: SparkSession, table: str, schema: StructType, column: str, lo
         stale = _other_versions(spark, table, fresh)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
         create_table(spark, table, schema, [column])
-    added = []
+    added, present = [], _partitions(spark, table)
     for value, location in locations.items():
-        if partition_exists(spark, table, column, value):
+        if partition_text(value) in present:
             stale.append(location_of(spark, table, (column, value)))
             spark.sql(f"ALTER TABLE {quoted(table)} PARTITION (`{column}` = {literal(value)}) "
                       f"SET LOCATION '{location}'")
@@ -273,7 +278,7 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, column: s
     fresh = f"{base_location(spark, table)}/{unique('load')}"
     kind = _format_for(spark, table, recreate)
     folders = _write_stage(spark, _evenly(rows, column) if rebalance else rows, table, schema, fresh, kind, [column])
-    strangers = set(folders) - {_text(v) for v in values}
+    strangers = set(folders) - {partition_text(v) for v in values}
     if strangers:
         remove_dir(spark, fresh)
         raise LoadError(f"Rows outside the listed partitions of {table}: {column} in {', '.join(sorted(strangers))}")
@@ -282,8 +287,8 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, column: s
     written = dict(spark.read.schema(only).format(kind).load(fresh).groupBy(column).count().collect()) if folders else {}
     locations = {}
     for number, value in enumerate(values):
-        locations[value] = folders.get(_text(value)) or f"{fresh}/empty_{number}"
-        if _text(value) not in folders:
+        locations[value] = folders.get(partition_text(value)) or f"{fresh}/empty_{number}"
+        if partition_text(value) not in folders:
             make_dir(spark, locations[value])
     _switch(spark, table, schema, column, locations, recreate)
     out = [(table, f"{column}={v}", "replace partition", before.get(v, 0), before.get(v, 0), written.get(v, 0),

@@ -16,9 +16,8 @@ from pyspark.sql.types import StructType
 
 from tablehaul.errors import LoadError
 from tablehaul.functions.dates import ntz, same_zone_literal
-from tablehaul.operators.schema import (as_schema, ensure_table, literal, qualified, same_schema, schema_of,
-                                        table_exists)
-from tablehaul.operators.sinks import append_by_name, audit, partition_exists, replace_partition
+from tablehaul.operators.schema import as_schema, ensure_table, qualified, same_schema, schema_of, table_exists
+from tablehaul.operators.sinks import append_by_name, audit, partition_exists, partition_text, replace_partition
 from tablehaul.sources.extract import scalar_timestamp
 from tablehaul.workspace import intermediate, materialize
 
@@ -46,7 +45,7 @@ def previous_watermark(spark: SparkSession, log_table: str, table: str, value: o
     if not table_exists(spark, log_table):
         return None
     table = qualified(spark, table)
-    log = spark.table(qualified(spark, log_table)).where((F.col("table_name") == table) & (F.col("partition_num") == literal(value)))
+    log = spark.table(qualified(spark, log_table)).where((F.col("table_name") == table) & (F.col("partition_num") == partition_text(value)))
     return scalar_timestamp(log.agg(F.max("ending_watermark")))
 
 
@@ -54,7 +53,7 @@ def record_watermark(spark: SparkSession, log_table: str, table: str, value: obj
                      new: dt.datetime) -> None:
     ensure_table(spark, log_table, LOG_SCHEMA)
     entry = spark.range(1, numPartitions=1).select(
-        F.lit(qualified(spark, table)).alias("table_name"), F.lit(literal(value)).alias("partition_num"),
+        F.lit(qualified(spark, table)).alias("table_name"), F.lit(partition_text(value)).alias("partition_num"),
         ntz(previous).alias("starting_watermark"), ntz(new).alias("ending_watermark"),
         F.localtimestamp().alias("completed_datetime"))
     append_by_name(spark, entry, log_table)

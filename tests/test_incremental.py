@@ -176,3 +176,37 @@ def test_the_window_reaches_the_scan(spark, tmp_path):
     kept = inc.in_window(spark.read.parquet(path), "last_updated", T1, T1)
     assert "PushedFilters: [IsNotNull(last_updated), GreaterThanOrEqual(last_updated" in plan(kept)
     assert kept.count() == 1
+
+
+@pytest.fixture(params=["shuffled", "broadcast"])
+def joins(request, spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if request.param == "shuffled":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_one_key_with_a_third_of_the_rows(spark, db, joins):
+    """A hot key in the data and in the log, with and without a broadcast, against plain counting."""
+    rows = [(f"u{0 if i % 3 == 0 else i}", f"row {i}") for i in range(3000)]
+    entries = [(0, T2)] * 300 + [(i, T2) for i in range(1, 3000, 7)] + [(2, T1), (9999, T2)]
+    source = spark.createDataFrame(rows, "uuid string, name string")
+    load = Load(spark, db)
+    load(source, log(spark, (2, T1)))
+    done = load(source.withColumn("name", F.concat("name", F.lit(" new"))), log(spark, *entries))
+    changed = {f"u{k}" for k, t in entries}
+    moved = sum(key in changed for key, _ in rows)
+    assert (done.rows_before, done.rows_removed, done.rows_added, done.rows_after) == (3000, moved, moved, 3000)
+    want = sorted((key, name + " new" if key in changed else name) for key, name in rows)
+    assert values(spark.table(load.target), "uuid", "name") == sorted(want)
+
+
+def test_several_key_columns(spark, db):
+    source = spark.range(20).selectExpr("id % 4 AS a", "string(id) AS b", "'old' AS v")
+    changes = spark.createDataFrame([(1, "5", T1), (1, "6", T2)], "a bigint, b string, at timestamp_ntz")
+    args = dict(key=["a", "b"], changed_at="at", target=f"{db}.t", partition=("site", "north"), log_table=f"{db}.l")
+    inc.incremental_load(spark, source=source, changes=changes.where("b = '5'"), **args)
+    inc.incremental_load(spark, source=source.withColumn("v", F.lit("new")), changes=changes, **args)
+    assert values(spark.table(f"{db}.t").where("v = 'new'")) == [(1, "5", "new", "north")]
+    assert values(spark.table(f"{db}.l"), "partition_num") == [("north",), ("north",)]

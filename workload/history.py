@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tablehaul.operators import history as runs
+from tablehaul.workspace import materialize
 from workload.registry import given, query
 
 NOW = datetime(2003, 1, 1, 12, 0, 0)
@@ -134,6 +135,7 @@ WALK_SQL = f"""WITH RECURSIVE {NODES_SQL}, walk AS (
 
 
 def _tree(spark, sf):
+    """A stored history of four levels."""
     def node(prefix, key, parent_prefix, parent, status):
         above = F.concat(F.lit(parent_prefix), F.col(parent).cast("string")) if parent else F.lit(None).cast("string")
         return [F.concat(F.lit(prefix), F.col(key).cast("string")).alias("uuid"),
@@ -148,7 +150,7 @@ def _tree(spark, sf):
     customer = given(spark, sf, "customer").select(node("c", "c_custkey", "n", "c_nationkey", F.when(
         F.col("c_acctbal") < 0, "FAILED").when(F.col("c_custkey") % 4 == 0, "SUCCEEDED").otherwise("ABORTED")))
     orders = given(spark, sf, "orders").select(node("o", "o_orderkey", "c", "o_custkey", _order_status()))
-    return region.unionByName(nation).unionByName(customer).unionByName(orders)
+    return materialize(region.unionByName(nation).unionByName(customer).unionByName(orders), "history")
 
 
 @query(f"{WALK_SQL} SELECT uuid, root_uuid, depth, path FROM walk")
