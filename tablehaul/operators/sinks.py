@@ -23,7 +23,7 @@ from tablehaul.errors import LoadError
 from tablehaul.operators.schema import (as_schema, base_location, create_table, ddl_of, format_of, literal,
                                         location_of, partition_columns, qualified, quoted, same_schema, schema_of,
                                         table_exists)
-from tablehaul.workspace import child_dirs, make_dir, remove_dir, unique
+from tablehaul.workspace import child_dirs, make_dir, remove_dir, setting, unique
 
 AUDIT = ("table string, partition string, action string, rows_before long, rows_removed long, rows_added long, "
          "rows_after long")
@@ -101,7 +101,10 @@ def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructT
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {quoted(stage)} ({ddl_of(schema)}) USING {kind} {parts} LOCATION '{location}'")
     try:
-        df.select(spark.table(stage).columns).write.insertInto(stage)
+        # A task holds few partitions here, so it can keep a file open for each instead of sorting all its rows; should
+        # it meet more, Spark sorts the rest.
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4" if partition_by else "0"):
+            df.select(spark.table(stage).columns).write.insertInto(stage)
         return {value: f"{location}/{name}" for value, name in _partitions(spark, stage).items()} if partition_by else {}
     except Exception:
         remove_dir(spark, location)

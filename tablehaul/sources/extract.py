@@ -23,9 +23,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql("SELECT * FROM IDENTIFIER(:name)", args={"name": name})
 
 
+def _parameter(value: object) -> object:
+    if isinstance(value, dt.datetime):
+        return F.expr(f"TIMESTAMP_NTZ '{value.replace(tzinfo=None).isoformat(sep=' ')}'")
+    return value
+
+
 def extract(spark: SparkSession, sql: str, params: Mapping[str, object] | None = None) -> DataFrame:
-    """Rows of a select; ``:name`` parameters are typed values, null included."""
-    rows = spark.sql(sql, args=dict(params or {}))
+    """Rows of a select; ``:name`` parameters are typed values, null included. A datetime is taken as zoneless."""
+    rows = spark.sql(sql, args={name: _parameter(value) for name, value in (params or {}).items()})
     if not rows.columns:
         raise LoadError("The extract is not a select: it returns no columns")
     return rows
@@ -48,17 +54,22 @@ def staged_extract(spark: SparkSession, steps: Sequence[tuple[str, str]], final_
     return extract(spark, final_sql, params)
 
 
+def _first_column(df: DataFrame) -> DataFrame:
+    """The first column as ``value``, whatever the columns are called."""
+    return df.toDF("value", *[f"_{i}" for i in range(1, len(df.columns))]).select("value")
+
+
 def scalar(df: DataFrame) -> object | None:
     """First column of the first row; null when there is no row."""
-    row = df.select(df[df.columns[0]]).first() if len(df.columns) > 1 else df.first()
+    row = _first_column(df).first()
     return None if row is None else row[0]
 
 
 def scalar_timestamp(df: DataFrame) -> dt.datetime | None:
     """As ``scalar``, as a zoneless timestamp."""
-    return scalar(df.select(F.col(f"`{df.columns[0]}`").cast("timestamp_ntz").alias("value")))
+    return scalar(_first_column(df).select(F.col("value").cast("timestamp_ntz")))
 
 
 def gate(df: DataFrame) -> bool:
     """Whether a load may go on: the first column of the first row is true. Null or no row means no."""
-    return bool(scalar(df.limit(1).select(parse_flag(F.col(f"`{df.columns[0]}`")).alias("value"))))
+    return bool(scalar(_first_column(df).select(parse_flag(F.col("value")))))

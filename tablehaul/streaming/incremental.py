@@ -151,9 +151,9 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
     else:
         # Written once because both sides need it, and so that the joins know its size.
         window = in_window(changes, changed_at, previous, new).select(*keys)
-        with intermediate(window.distinct(), "changed_keys") as changed:
+        with intermediate(window.distinct() if dedup else window, "changed_keys") as changed:
             if isinstance(source, DataFrame):
-                rows = rows.join(changed, keys, "left_semi") if dedup else rows.join(window, keys)
+                rows = rows.join(changed, keys, "left_semi" if dedup else "inner")
                 # Few rows from many tasks: gather them in files of a good size.
                 rows = rows.hint("rebalance")
             current = spark.table(target).where(F.col(column) == F.lit(value))

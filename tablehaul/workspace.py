@@ -32,6 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the length of one action."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 _created: list[str] = []
 _scratch: list[str] = []
 

@@ -111,7 +111,7 @@ def test_zoneless_times_survive_any_session_zone(spark, db):
 
 @pytest.mark.parametrize("sql, expected", [
     ("SELECT true", True), ("SELECT 5, false", True), ("SELECT 'true'", True), ("SELECT 'false'", False),
-    ("SELECT 0", False), ("SELECT null", False), ("SELECT true WHERE false", False)])
+    ("SELECT 5, 5", True), ("SELECT 0", False), ("SELECT null", False), ("SELECT true WHERE false", False)])
 def test_gate(spark, sql, expected):
     assert gate(spark.sql(sql)) is expected
 
@@ -127,6 +127,15 @@ def test_parameters_and_names(spark, db):
         extract(spark, f"CREATE TABLE IF NOT EXISTS {db}.made (a INT) USING parquet")
 
 
+def test_a_datetime_parameter_is_zoneless(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = extract(spark, "SELECT :at AS at, typeof(:at) AS kind", {"at": datetime(2024, 1, 1, 10, 0, 0, 5)}).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(got) == (datetime(2024, 1, 1, 10, 0, 0, 5), "timestamp_ntz")
+
+
 def test_staged_extract_sees_earlier_steps_and_context(spark):
     run_context(spark, ["DECLARE OR REPLACE VARIABLE low INT DEFAULT 7"])
     got = staged_extract(spark, [("step_one", "SELECT id FROM range(10) WHERE id > low"),

@@ -48,7 +48,7 @@ def _staged(spark, marks):
         ("initial_rows", "SELECT c_custkey, c_name, 'initial-load' AS message FROM customer WHERE :previous IS NULL"),
         ("delta_rows", """SELECT c_custkey, c_name, 'incremental-load' AS message FROM customer
                           LEFT SEMI JOIN events ON c_custkey = user_id
-                          AND ts >= CAST(:previous AS TIMESTAMP_NTZ) AND ts <= CAST(:new AS TIMESTAMP_NTZ)
+                          AND ts >= :previous AND ts <= :new
                           WHERE :previous IS NOT NULL"""),
     ], "SELECT * FROM initial_rows UNION ALL SELECT * FROM delta_rows", marks)
 
