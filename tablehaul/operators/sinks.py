@@ -13,6 +13,7 @@ A writer returns an audit DataFrame. Written rows are counted by the write itsel
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -218,18 +219,22 @@ def _switch(spark: SparkSession, table: str, schema: StructType, column: str, lo
         stale = _other_versions(spark, table, fresh)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
         create_table(spark, table, schema, [column])
-    added, present = [], _partitions(spark, table)
-    for value, location in locations.items():
-        if partition_text(value) in present:
-            stale.append(location_of(spark, table, (column, value)))
-            spark.sql(f"ALTER TABLE {quoted(table)} PARTITION (`{column}` = {literal(value)}) "
-                      f"SET LOCATION '{location}'")
-        else:
-            added.append(f"PARTITION (`{column}` = {literal(value)}) LOCATION '{location}'")
+    present = _partitions(spark, table)
+    added = [f"PARTITION (`{column}` = {literal(value)}) LOCATION '{location}'"
+             for value, location in locations.items() if partition_text(value) not in present]
     if added:
         spark.sql(f"ALTER TABLE {quoted(table)} ADD {' '.join(added)}")
-    for location in stale:
-        remove_dir(spark, location)
+
+    def move(value: object) -> str:
+        old = location_of(spark, table, (column, value))
+        spark.sql(f"ALTER TABLE {quoted(table)} PARTITION (`{column}` = {literal(value)}) "
+                  f"SET LOCATION '{locations[value]}'")
+        return old
+
+    # Only catalog calls, which are slow one by one.
+    with ThreadPoolExecutor(8) as calls:
+        stale += calls.map(move, [value for value in locations if partition_text(value) in present])
+        list(calls.map(lambda folder: remove_dir(spark, folder), stale))
 
 
 def replace_partition(spark: SparkSession, df: DataFrame, table: str, column: str, value: object, *,
