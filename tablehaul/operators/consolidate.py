@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tablehaul.errors import LoadError
 from tablehaul.operators.shape import with_tags
-from tablehaul.operators.sinks import replace_partitions
+from tablehaul.operators.sinks import replace_partitions, replace_table
 
 Template = Callable[[Mapping[str, object]], DataFrame]
 
@@ -47,6 +48,28 @@ def fan_out(tables: Sequence[str], sources: Sequence[Mapping[str, object]],
     return {table: consolidate(lambda source, table=table: reader(table, source), sources, tags) for table in tables}
 
 
+def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, *, at_once: int = 1) -> DataFrame:
+    """Replace one table of ``database`` for each entry, with the entry's own columns; returns the audit rows.
+
+    One after the other, a failure stops the rest. With ``at_once`` above one, so many loads share the cluster, all are
+    tried, and the failures are reported together at the end.
+    """
+    def load(name: str) -> DataFrame:
+        return replace_table(spark, tables[name], f"{database}.{name}", tables[name].schema)
+
+    if not tables:
+        raise LoadError("At least one table is required")
+    if at_once == 1:
+        return reduce(DataFrame.unionByName, [load(name) for name in tables])
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: pool.submit(load, name) for name in tables}
+    failed = {name: job.exception() for name, job in running.items() if job.exception() is not None}
+    if failed:
+        raise LoadError(f"{len(failed)} of {len(tables)} tables failed: {', '.join(failed)}") from next(
+            iter(failed.values()))
+    return reduce(DataFrame.unionByName, [job.result() for job in running.values()])
+
+
 def slice_counts(df: DataFrame, tags: Sequence[str]) -> DataFrame:
     """Rows per combination of tags."""
     return df.groupBy(*tags).agg(F.count(F.lit(1)).alias("n"))

@@ -102,11 +102,15 @@ def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructT
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {quoted(stage)} ({ddl_of(schema)}) USING {kind} {parts} LOCATION '{location}'")
     try:
+        rows = df.select(spark.table(stage).columns)
+        if not partition_by:
+            rows.write.insertInto(stage)
+            return {}
         # A task holds few partitions here, so it can keep a file open for each instead of sorting all its rows; should
         # it meet more, Spark sorts the rest.
-        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4" if partition_by else "0"):
-            df.select(spark.table(stage).columns).write.insertInto(stage)
-        return {value: f"{location}/{name}" for value, name in _partitions(spark, stage).items()} if partition_by else {}
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4"):
+            rows.write.insertInto(stage)
+        return {value: f"{location}/{name}" for value, name in _partitions(spark, stage).items()}
     except Exception:
         remove_dir(spark, location)
         raise

@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, values
-from tablehaul import (DryRun, LoadError, bulk_import, consolidate, consolidate_partitions, fan_out, run_sql_steps,
-                       transfer, validate_extract)
+from tablehaul import (DryRun, LoadError, bulk_import, consolidate, consolidate_partitions, fan_out, load_tables,
+                       run_sql_steps, transfer, validate_extract)
 from tablehaul.operators.schema import table_exists
 
 SCHEMA = "uuid varchar(38), name varchar(100), description varchar(1000)"
@@ -132,3 +132,16 @@ def test_fan_out_needs_the_same_columns_from_every_source(spark, source):
     assert uneven["a"].columns == source.columns
     with pytest.raises(Exception):
         fan_out(["a"], [{"n": 1}, {"n": 2}], lambda table, s: source if s["n"] == 1 else source.drop("name"))
+
+
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_load_tables(spark, db, source, at_once):
+    tables = fan_out(["a", "b", "c"], [{"site": 1}, {"site": 2}], lambda table, s: source.limit(3), ["site"])
+    for _ in range(2):
+        done = load_tables(spark, tables, db, at_once=at_once)
+        assert values(done, "table", "rows_after") == [(f"{db}.{name}", 6) for name in "abc"]
+    assert values(spark.table(f"{db}.b").groupBy("site").count()) == [(1, 3), (2, 3)]
+    broken = {"a": source, "b": source.withColumn("name", F.raise_error(F.lit("broken source"))), "c": source}
+    with pytest.raises(Exception, match="broken source" if at_once == 1 else "1 of 3 tables failed: b"):
+        load_tables(spark, broken, db, at_once=at_once)
+    assert [count(spark, f"{db}.{name}") for name in "abc"] == [62, 6, 6 if at_once == 1 else 62]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablehaul.operators.consolidate import consolidate, consolidate_partitions, fan_out, slice_counts
+from tablehaul.operators.consolidate import consolidate, consolidate_partitions, fan_out, load_tables, slice_counts
 from tablehaul.operators.schema import create_table
 from tablehaul.operators.sinks import (append_by_name, append_by_position, replace_partition, replace_partitions,
                                        replace_table)
@@ -209,6 +209,21 @@ def fan_out_tables(spark, sf):
     return counts[0].unionByName(counts[1])
 
 
+@query("""
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, site FROM supplier, (VALUES ('a'), ('b')) s(site)
+WHERE (s_suppkey % 3 = 0) = (site = 'a')
+""")
+def fan_out_load(spark, sf):
+    def reader(table, source):
+        rows = given(spark, sf, table)
+        return rows.where((F.col(rows.columns[0]) % 3 == 0) == F.lit(source["site"] == "a"))
+
+    database = target(spark).split(".")[0]
+    loaded = fan_out(["customer", "part", "supplier"], [{"site": "a"}, {"site": "b"}], reader, ["site"])
+    load_tables(spark, loaded, database, at_once=3)
+    return spark.table(f"{database}.supplier")
+
+
 _TEXT = """
   SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS o_orderkey,
          CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE CAST(o_totalprice AS VARCHAR) END AS o_totalprice,
