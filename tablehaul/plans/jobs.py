@@ -14,7 +14,7 @@ from tablehaul.operators.sinks import (append_by_name, append_by_position, audit
 from tablehaul.operators.validate import validate_extract
 from tablehaul.sources.extract import gate, substitute
 from tablehaul.sources.listing import conform, missing_pages, parse_listing
-from tablehaul.streaming.incremental import incremental_load
+from tablehaul.streaming.incremental import Source, incremental_load
 
 
 class DryRun(LoadError):
@@ -25,17 +25,19 @@ class DryRun(LoadError):
         self.summary, self.failing = summary, failing
 
 
-def _prepared(rows: DataFrame, schema: StructType | None, extra_columns: Sequence[tuple[str, str, str]],
-              ) -> tuple[DataFrame, StructType | None]:
+def _shaped(rows: DataFrame, extra_columns: Sequence[tuple[str, str, str]]) -> DataFrame:
+    return with_extra_columns(rows, extra_columns) if extra_columns else rows
+
+
+def _extended(schema: StructType | None, extra_columns: Sequence[tuple[str, str, str]]) -> StructType | None:
     if not extra_columns:
-        return rows, schema
+        return schema
     if schema is None:
         raise LoadError("Extra columns can only be used when a schema is given")
-    added = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind, _ in extra_columns))
-    return with_extra_columns(rows, extra_columns), StructType(schema.fields + added.fields)
+    return StructType(schema.fields + StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t, _ in extra_columns)).fields)
 
 
-def bulk_import(spark: SparkSession, extract: DataFrame, table: str, *, schema: StructType | str | None = None,
+def bulk_import(spark: SparkSession, extract: Source, table: str, *, schema: StructType | str | None = None,
                 only_if: DataFrame | None = None, extra_columns: Sequence[tuple[str, str, str]] = (),
                 partition: tuple[str, object] | None = None, incremental: Mapping[str, object] | None = None,
                 drop_and_recreate: bool = True, test_only: bool = False) -> DataFrame:
@@ -44,8 +46,8 @@ def bulk_import(spark: SparkSession, extract: DataFrame, table: str, *, schema:
     * ``only_if``: skip, successfully and with the target untouched, unless its first value is true.
     * with ``schema``: replace the table, or with ``drop_and_recreate=False`` create it if absent and append.
     * without ``schema``: append by position to a table that must exist.
-    * ``partition``: replace that partition only; ``incremental`` adds ``incremental_load``'s arguments
-      (changes, key, changed_at, log_table, ...).
+    * ``partition``: replace that partition only, matching columns by name; ``incremental`` adds ``incremental_load``'s
+      arguments (changes, key, changed_at, log_table, ...). The extract may then be a function of the two marks.
     * ``test_only``: check every row against the schema, load nothing, and always end in ``DryRun``.
     """
     schema = as_schema(schema) if schema is not None else None
@@ -59,13 +61,18 @@ def bulk_import(spark: SparkSession, extract: DataFrame, table: str, *, schema:
             raise LoadError("A value is required for the partition column")
     elif incremental is not None:
         raise LoadError("An incremental load needs a partition")
+    if incremental is None and not isinstance(extract, DataFrame):
+        raise LoadError("An extract that depends on watermarks needs an incremental load")
+    schema = _extended(schema, extra_columns)
     if only_if is not None and not gate(only_if):
         return audit(spark, table, "skipped")
-    rows, schema = _prepared(extract, schema, extra_columns)
+    if incremental is not None and not test_only:
+        source = _shaped(extract, extra_columns) if isinstance(extract, DataFrame) else (
+            lambda previous, new: _shaped(extract(previous, new), extra_columns))
+        return incremental_load(spark, source=source, target=table, partition=partition, schema=schema, **incremental)
+    rows = _shaped(extract if isinstance(extract, DataFrame) else extract(None, None), extra_columns)
     if test_only:
         raise DryRun(*validate_extract(rows, schema if schema is not None else rows.schema))
-    if incremental is not None:
-        return incremental_load(spark, source=rows, target=table, partition=partition, schema=schema, **incremental)
     if partition is not None:
         return replace_partition(spark, rows, table, *partition, schema=schema)
     if schema is None:
@@ -81,9 +88,10 @@ def transfer(spark: SparkSession, extract: DataFrame, table: str, *, schema: Str
              drop_and_recreate: bool = True, test_only: bool = False) -> DataFrame:
     """As ``bulk_import`` without partitions, matching columns by label."""
     schema = as_schema(schema) if schema is not None else None
+    schema = _extended(schema, extra_columns)
     if only_if is not None and not gate(only_if):
         return audit(spark, table, "skipped")
-    rows, schema = _prepared(extract, schema, extra_columns)
+    rows = _shaped(extract, extra_columns)
     if test_only:
         raise DryRun(*validate_extract(rows, schema if schema is not None else rows.schema))
     if schema is None:

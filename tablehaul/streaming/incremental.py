@@ -100,7 +100,8 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
     """Bring one partition of ``target`` up to the change log's latest mark; returns the audit row.
 
     ``source`` is the full extract, narrowed to the changed keys here, or a function of (previous, new) marks that
-    returns the rows to load. ``mark`` names a column that tells initial from incremental rows. ``schema`` defaults to
+    returns the rows to load, which lets a database choose them by its own query instead of sending everything.
+    ``mark`` names a column that tells initial from incremental rows. ``schema`` defaults to
     the source's columns plus the partition column.
 
     Nothing is done when the latest mark is the recorded one. Changed columns recreate the whole target and reload

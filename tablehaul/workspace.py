@@ -87,6 +87,8 @@ def clean_up(spark: SparkSession) -> None:
     """Remove the intermediate tables and scratch databases made so far; results built on them end here."""
     while _scratch:
         name = _scratch.pop()
+        if not spark.catalog.databaseExists(name):  # made by an earlier session of this process
+            continue
         location = spark.catalog.getDatabase(name).locationUri
         spark.sql(f"DROP DATABASE `{name}` CASCADE")
         remove_dir(spark, location)

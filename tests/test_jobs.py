@@ -145,3 +145,29 @@ def test_load_tables(spark, db, source, at_once):
     with pytest.raises(Exception, match="broken source" if at_once == 1 else "1 of 3 tables failed: b"):
         load_tables(spark, broken, db, at_once=at_once)
     assert [count(spark, f"{db}.{name}") for name in "abc"] == [62, 6, 6 if at_once == 1 else 62]
+
+
+def test_incremental_job_with_extra_columns_and_a_source_of_two_marks(spark, db, source):
+    schema = "uuid varchar(38), name varchar(100)"
+    changes = spark.sql("""SELECT 'u3' AS uuid, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS at
+                           UNION ALL SELECT 'u4', TIMESTAMP_NTZ '2024-01-02 00:00:00'""")
+
+    def rows(previous, new):
+        chosen = source if previous is None else source.where("uuid IN ('u3', 'u4')")
+        return chosen.select("uuid", F.concat("name", F.lit(" first" if previous is None else " later")).alias("name"))
+
+    extra = [("partition_num", "int", "1"), ("site", "varchar(20)", "concat('site of ', uuid)")]
+    for until in (1, 2):
+        bulk_import(spark, rows, f"{db}.t", schema=schema, extra_columns=extra, partition=("partition_num", 1),
+                    incremental={"changes": changes.where(f"day(at) <= {until}"), "key": "uuid", "changed_at": "at",
+                                 "log_table": f"{db}.marks"})
+    loaded = spark.table(f"{db}.t")
+    assert values(loaded.where("name LIKE '% later'"), "uuid", "site", "partition_num") == [
+        ("u3", "site of u3", 1), ("u4", "site of u4", 1)]
+    assert loaded.count() == 62 and spark.table(f"{db}.marks").count() == 2
+    with pytest.raises(DryRun):
+        bulk_import(spark, rows, f"{db}.t", schema=schema, partition=("partition_num", 1), incremental={},
+                    test_only=True)
+    for more in ({}, {"partition": ("name", "x")}):
+        with pytest.raises(LoadError):
+            bulk_import(spark, rows, f"{db}.u", schema=schema, **more)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from conftest import plan, values
 from tablehaul.errors import LoadError
 from tablehaul.operators import sinks
 from tablehaul.operators.schema import create_table, location_of, table_exists
@@ -201,3 +201,13 @@ def test_a_view_of_the_same_name_is_not_the_table(spark, db):
     finally:
         spark.catalog.dropTempView("same")
         spark.sql("USE default")
+
+
+def test_reading_one_partition_reads_only_its_files(spark, db):
+    table = f"{db}.t"
+    data = spark.range(90).selectExpr("int(id) AS k", "string(id) AS name", "int(id % 3) AS p")
+    sinks.replace_partitions(spark, data, table, "p", [0, 1, 2], schema=SCHEMA)
+    one_partition = spark.table(table).where("p = 1").select("k")
+    text = plan(one_partition)
+    assert "PartitionFilters: [isnotnull(p" in text and "ReadSchema: struct<k:int>" in text
+    assert len(one_partition.inputFiles()) < len(spark.table(table).inputFiles())
