@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,7 +63,7 @@ def in_window(changes: DataFrame, changed_at: str, previous: dt.datetime | None,
     """Changes in the closed window; a missing end matches nothing."""
     if previous is None or new is None:
         return changes.limit(0)
-    kind = changes.schema[changed_at].dataType.simpleString()
+    kind = changes.select(changed_at).schema[0].dataType.simpleString()
     return changes.where(F.col(changed_at).between(same_zone_literal(previous, kind), same_zone_literal(new, kind)))
 
 
@@ -89,6 +89,25 @@ def delta(source: DataFrame, changes: DataFrame, key: Sequence[str], changed_at:
     return source.join(materialize(window, "changed_rows"), list(key))
 
 
+# Key types whose order is the same in Spark and in every database, unlike that of text.
+ORDERED_ALIKE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _key_range(changed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Observation | None]:
+    """``changed`` with its smallest and largest key observed while it is written, for a single whole-number key."""
+    if len(keys) != 1 or changed.schema[0].dataType.simpleString() not in ORDERED_ALIKE:
+        return changed, None
+    seen = Observation()
+    return changed.observe(seen, F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")), seen
+
+
+def _in_range(rows: DataFrame, key: str, seen: Observation | None) -> DataFrame:
+    """Leave out rows that no changed key can match, by a condition that a file scan or a database can evaluate."""
+    if seen is None or rows.select(key).schema[0].dataType.simpleString() not in ORDERED_ALIKE or seen.get["low"] is None:
+        return rows
+    return rows.where(F.col(key).between(seen.get["low"], seen.get["high"]))
+
+
 def _marked(df: DataFrame, mark: str | None, kind: str) -> DataFrame:
     return df.withColumn(mark, F.lit(kind)) if mark else df
 
@@ -152,9 +171,10 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
     else:
         # Written once because both sides need it, and so that the joins know its size.
         window = in_window(changes, changed_at, previous, new).select(*keys)
-        with intermediate(window.distinct() if dedup else window, "changed_keys") as changed:
+        window, seen = _key_range(window.distinct() if dedup else window, keys)
+        with intermediate(window, "changed_keys") as changed:
             if isinstance(source, DataFrame):
-                rows = rows.join(changed, keys, "left_semi" if dedup else "inner")
+                rows = _in_range(rows, keys[0], seen).join(changed, keys, "left_semi" if dedup else "inner")
                 # Few rows from many tasks: gather them in files of a good size.
                 rows = rows.hint("rebalance")
             current = spark.table(target).where(F.col(column) == F.lit(value))

@@ -210,3 +210,33 @@ def test_several_key_columns(spark, db):
     inc.incremental_load(spark, source=source.withColumn("v", F.lit("new")), changes=changes, **args)
     assert values(spark.table(f"{db}.t").where("v = 'new'")) == [(1, "5", "new", "north")]
     assert values(spark.table(f"{db}.l"), "partition_num") == [("north",), ("north",)]
+
+
+def test_the_range_of_changed_keys_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "source")
+    spark.range(100).selectExpr("int(id) AS k", "string(id) AS name").write.parquet(path)
+    source = spark.read.parquet(path)
+    changed, seen = inc._key_range(spark.sql("SELECT explode(array(7L, 90L, null)) AS k"), ["k"])
+    changed.collect()
+    narrow = inc._in_range(source, "k", seen)
+    assert "GreaterThanOrEqual(k,7), LessThanOrEqual(k,90)" in plan(narrow) and narrow.count() == 84
+    text_keys, seen = inc._key_range(spark.sql("SELECT 'a' AS k"), ["k"])
+    assert seen is None and inc._in_range(source, "k", seen) is source
+    changed, seen = inc._key_range(spark.sql("SELECT 5L AS k"), ["k"])
+    changed.collect()
+    as_text = source.withColumn("k", F.col("k").cast("string"))
+    assert inc._in_range(as_text, "k", seen) is as_text
+
+
+@pytest.mark.parametrize("dedup", [True, False])
+def test_whole_number_keys(spark, db, dedup):
+    source = spark.range(50).selectExpr("if(id % 3 = 0, 0, int(id)) AS k", "id AS v")
+    changes = spark.createDataFrame([(0, T1), (0, T2), (0, T2), (40, T2), (999, T3), (None, T3)],
+                                    "k bigint, at timestamp_ntz")
+    args = dict(key="k", changed_at="at", target=f"{db}.t", partition=("p", 1), log_table=f"{db}.l", mark="m")
+    inc.incremental_load(spark, source=source, changes=changes.where("at <= '2022-02-04 12:00:00'"), **args)
+    done = inc.incremental_load(spark, source=source, changes=changes, dedup=dedup, **args).first()
+    hot = source.where("k = 0").count()
+    repeats = 1 if dedup else 3
+    assert (done.rows_removed, done.rows_added) == (hot + 1, hot * repeats + 1)
+    assert spark.table(f"{db}.t").where("m = 'incremental-load'").count() == hot * repeats + 1
