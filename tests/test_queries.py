@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as contract
 from check import TABLES, compare
 from tablehaul.workspace import clean_up
+from workload import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, duck, name):
     outcome, _ = compare(spark, duck, name, contract.queries()[name], contract.oracle_sql()[name], FOLDER)
     clean_up(spark)
