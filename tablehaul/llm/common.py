@@ -50,6 +50,18 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_hash(text: str = "text") -> Column:
+    """Tells rows apart that share a key; null and empty texts have hashes of their own."""
+    return F.xxhash64(F.col(text).cast("string")).alias("text_hash")
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose key and text hash are among the columns ``key`` and text_hash of ``chosen``."""
+    wanted = chosen.select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(wanted, docs[key].eqNullSafe(wanted["_key"]) & (F.xxhash64(docs[text].cast("string")) == wanted["_hash"]),
+                     "left_semi")
+
+
 def blocks_for(rows: int, rows_per_block: int) -> int:
     return max(1, math.ceil(rows / rows_per_block))
 

@@ -12,6 +12,13 @@ from tablehaul.workspace import shared_dir, unique
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablehaul.llm.packing import pack
 
@@ -26,6 +33,12 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path, docs.select("doc_id")).withColumnRenamed("key", "doc_id")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablehaul.llm.sharding import shard_documents
 
@@ -33,6 +46,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The operators' queries in their order.
-QUERIES: dict[str, Query] = {"op3_packing": op3_packing, "op6_token_ids": op6_token_ids, "op10_sharding": op10_sharding}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_packing, op6_token_ids, op7_simhash,
+                                                     op10_sharding)}
 #: No operator of this package is stated in SQL: each is tested against a brute-force version.
 SQL: dict[str, str] = {}
