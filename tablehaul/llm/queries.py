@@ -19,6 +19,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies",
+                                                         "shards")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablehaul.llm.packing import pack
 
@@ -39,6 +46,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.graph_search import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablehaul.llm.sharding import shard_documents
 
@@ -46,7 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The operators' queries in their order.
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_packing, op6_token_ids, op7_simhash,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_packing, op6_token_ids, op7_simhash, op8_nearest,
                                                      op10_sharding)}
 #: No operator of this package is stated in SQL: each is tested against a brute-force version.
 SQL: dict[str, str] = {}
