@@ -205,7 +205,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, width: int = 96, b
     asked = saved(usable(queries, key, vector).withColumn("dim", F.size("vector")).distinct(), "queries")
     packs = blocks_for(asked.count(), pack)
 
-    def gather(_, table: pa.Table) -> pa.Table:
+    def gather(key: tuple, table: pa.Table) -> pa.Table:
         column = table.column("vector").combine_chunks()
         return pa.table({"dim": pa.array([len(column[0])], pa.int32()),
                          "keys": pa.array([table.column("key").to_numpy().astype("<i8").tobytes()], pa.binary()),
