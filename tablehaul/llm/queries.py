@@ -32,6 +32,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablehaul.llm.token_files import read_digests, write_store
 
@@ -59,7 +72,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The operators' queries in their order.
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_packing, op6_token_ids, op7_simhash, op8_nearest,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_packing, op4_toxicity,
+                                                     op5_html_text, op6_token_ids, op7_simhash, op8_nearest,
                                                      op10_sharding)}
 #: No operator of this package is stated in SQL: each is tested against a brute-force version.
 SQL: dict[str, str] = {}
