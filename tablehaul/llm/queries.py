@@ -65,6 +65,12 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablehaul.llm.sharding import shard_documents
 
@@ -73,7 +79,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The operators' queries in their order.
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_packing, op4_toxicity,
-                                                     op5_html_text, op6_token_ids, op7_simhash, op8_nearest,
+                                                     op5_html_text, op6_token_ids, op7_simhash, op8_nearest, op9_secrets,
                                                      op10_sharding)}
 #: No operator of this package is stated in SQL: each is tested against a brute-force version.
 SQL: dict[str, str] = {}
