@@ -146,8 +146,8 @@ def mix(docs: DataFrame, shards: int = 16, seed: int = 7, block_docs: int = 256,
                 .alias("extra")), "blocks")
     # room: words still wanted when the block's turn comes; extra: 2 whole block, 1 block at the edge, 0 none
     counts = {r["number"]: r for r in blocks.groupBy("number").agg(
-        F.max("passes").alias("passes"), F.sum((F.col("extra") > 0).cast("int")).alias("more"),
-        F.max("block").alias("last")).collect()}  # one row per source
+        F.max("passes").alias("passes"),
+        F.coalesce(F.max(F.when(F.col("extra") > 0, F.col("block") + 1)), F.lit(0)).alias("more")).collect()}  # one row per source
     size = [max(1, -(-s.rows // block_docs)) for s in sources]
     quotas = np.array([size[s.number] * counts[s.number]["passes"] + counts[s.number]["more"] if s.number in counts else 0
                        for s in sources], np.int64)

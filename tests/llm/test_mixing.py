@@ -1,0 +1,65 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tablehaul.llm.mixing import fill, mix, mixed_documents, split_quotas, targets
+from tests.llm.helpers import WORD, frame, odd_rows
+
+
+def test_targets():
+    assert targets([100, 100, 100], [1, 2, 3], 3) == [50.0, 100.0, 150.0]
+    got = targets([1000, 10, 10, 0], [1, 2, 3, 1], 3)
+    assert got == [960.0, 30.0, 30.0, 0.0]
+    assert targets([], [], 3) == [] and targets([0], [1], 3) == [0.0]
+
+
+def test_split_keeps_every_block():
+    rng = np.random.default_rng(0)
+    for shards in (1, 2, 7, 16):
+        quotas = rng.integers(0, 500, 20)
+        parts = split_quotas(quotas, shards, 3)
+        assert (parts.sum(0) == quotas).all() and np.ptp(parts.sum(1)) <= 1 and (parts >= 0).all()
+        assert (parts == split_quotas(quotas, shards, 3)).all()
+
+
+def test_fill_is_nearest():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        sizes = rng.integers(0, 30, rng.integers(0, 9)).tolist()
+        room = int(rng.integers(0, 80))
+        sums = {0}
+        for s in sizes:
+            sums |= {x + s for x in sums}
+        assert abs(room - sum(s * t for s, t in zip(sizes, fill(sizes, room), strict=True))) == min(abs(room - x) for x in sums)
+    assert sum(fill([300_000] * 10, 900_000)) == 3
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_mix(spark, block):
+    rng = np.random.default_rng(2)
+    rows = odd_rows()[:4] + [(100 + i, "w " * int(rng.integers(1, 40)), "en", None if i % 11 == 0 else f"s{min(i % 7, 3)}") for i in range(300)]
+    docs = frame(spark, rows)
+    got = mix(docs, block_docs=block).collect()
+    assert len(got) == len(rows)
+    size = {i: len(WORD.findall(t or "")) for i, t, *_ in rows}
+    source = {i: s for i, _, _, s in rows}
+    names = sorted(set(source.values()), key=lambda s: (s is None, s or ""))
+    total = {n: sum(size[i] for i in size if source[i] == n) for n in names}
+    wanted = dict(zip(names, targets([total[n] for n in names], [1 + k % 3 for k in range(len(names))], 3), strict=True))
+    taken = dict.fromkeys(names, 0)
+    for r in got:
+        assert r["size"] == size[r.doc_id] and r.source_size == total[source[r.doc_id]] and r.target == wanted[source[r.doc_id]]
+        assert r.taken == r.copies * r["size"] <= 3 * r["size"] and len(r.shards) == r.copies and all(0 <= s < 16 for s in r.shards)
+        taken[source[r.doc_id]] += r.taken
+    assert all(abs(taken[n] - wanted[n]) <= 1 for n in names)
+    again = mix(docs.repartition(5, F.rand(3)), block_docs=block).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    mixed = mixed_documents(docs, block_docs=block)
+    assert mixed.columns == docs.columns
+    copies = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert copies == {r.doc_id: r.copies for r in got if r.copies}
+
+
+def test_odd_and_empty(spark):
+    assert mix(frame(spark, odd_rows())).count() == len(odd_rows())
+    assert mix(frame(spark, [])).count() == 0 and mixed_documents(frame(spark, [])).count() == 0
