@@ -36,6 +36,13 @@ def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def in_slices(batches, rows: int = 256):
+    """The rows of Arrow batches as tuples, few of them in Python's memory at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield from zip(*(c.to_pylist() for c in batch.slice(at, rows).columns), strict=True)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back, so that lost executors repeat only what is behind it."""
     return materialize(df, label)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import mapped, numbered, saved
+from tablehaul.llm.common import in_slices, mapped, numbered, saved
 from tablehaul.llm.tokens import tokenizer_path, word_ids
 
 _PIECE = "key long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
@@ -108,19 +108,18 @@ def _cut(path: str, end_id: int, context: int):
 
     def run(batches):
         ids_of, names = word_ids(path), [f.split()[0] for f in _PIECE.split(", ")]
-        for batch in batches:
-            rows, held = [], 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = ids_of.text(text or b"") + end
-                for at in range(0, len(ids), 4 * context):
-                    piece = ids[at:at + 4 * context]
-                    rows.append((key, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece))
-                held += len(ids)
-                if held > 1 << 23:
-                    yield _batch(rows, names)
-                    rows, held = [], 0
-            if rows:
+        rows, held = [], 0
+        for key, text in in_slices(batches):
+            ids = ids_of.text(text or b"") + end
+            for at in range(0, len(ids), 4 * context):
+                piece = ids[at:at + 4 * context]
+                rows.append((key, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece))
+            held += len(ids)
+            if held > 1 << 22:
                 yield _batch(rows, names)
+                rows, held = [], 0
+        if rows:
+            yield _batch(rows, names)
 
     return run
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablehaul.llm import perfect_hash
-from tablehaul.llm.common import blocks_for, mapped, ship
+from tablehaul.llm.common import blocks_for, in_slices, mapped, ship
 from tablehaul.llm.tokens import tokenizer_path, word_ids
 
 _ENTRY = np.dtype([("fingerprint", "<u4"), ("row", "<u8"), ("repeats", "<u4"), ("shard", "<u4"), ("block", "<u4"),
@@ -47,16 +47,15 @@ def _encode(path: str, end_id: int, block_bytes: int):
                 "no_key": pa.array([np.packbits(nulls).tobytes()], pa.binary()),
                 "lengths": pa.array([np.array(lengths, "<i8").tobytes()], pa.binary())})
 
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = ids_of.text(text or b"") + end
-                parts.append(ids)
-                keys.append(key)
-                lengths.append(len(ids) // 4)
-                held += len(ids)
-                if held >= block_bytes:
-                    yield flush()
-                    parts, keys, lengths, held, block = [], [], [], 0, block + 1
+        for key, text in in_slices(batches):
+            ids = ids_of.text(text or b"") + end
+            parts.append(ids)
+            keys.append(key)
+            lengths.append(len(ids) // 4)
+            held += len(ids)
+            if held >= block_bytes:
+                yield flush()
+                parts, keys, lengths, held, block = [], [], [], 0, block + 1
         if keys:
             yield flush()
 

@@ -51,7 +51,8 @@ def test_mix(spark, block):
         assert r["size"] == size[r.doc_id] and r.source_size == total[source[r.doc_id]] and r.target == wanted[source[r.doc_id]]
         assert r.taken == r.copies * r["size"] <= 3 * r["size"] and len(r.shards) == r.copies and all(0 <= s < 16 for s in r.shards)
         taken[source[r.doc_id]] += r.taken
-    assert all(abs(taken[n] - wanted[n]) <= 1 for n in names)
+    # Four rows at the edge leave a gap of at most the largest row; a block of many rows can be filled to the word.
+    assert all(abs(taken[n] - wanted[n]) <= (1 if block == 256 else 39) for n in names)
     again = mix(docs.repartition(5, F.rand(3)), block_docs=block).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     mixed = mixed_documents(docs, block_docs=block)
