@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 WEEKDAY = ("(?i)^(?:mon(?:day)?|tue(?:sday)?|wed(?:nesday)?|thu(?:rsday)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?), "
            "(.*)$")
 WITH_ZONE = "d MMM yyyy H:mm:ss z"
+WITH_OFFSET = "d MMM yyyy H:mm:ss xx"
 WITHOUT_ZONE = "d MMM yyyy H:mm:ss"
 DATE_ONLY = "d MMM yyyy"
 
@@ -28,12 +29,12 @@ def same_zone_literal(value: dt.datetime | None, column_type: str) -> Column:
 def parse_http_date(text: Column | str) -> Column:
     """Parse ``Mon, 01 Jan 2024 10:00:00 GMT``, the same without zone, or ``01 Jan 2024``.
 
-    The result is zoneless; a text that names a zone is converted to UTC. Blank or unreadable text, and days that do
+    The result is zoneless; a text that names a zone or an offset such as ``+0200`` is converted to UTC. Blank or unreadable text, and days that do
     not exist, give null.
     """
     text = F.col(text) if isinstance(text, str) else text
     rest = F.regexp_extract(text, WEEKDAY, 1)
-    in_session_zone = F.try_to_timestamp(rest, F.lit(WITH_ZONE)).cast("timestamp_ntz")
+    in_session_zone = F.coalesce(*[F.try_to_timestamp(rest, F.lit(p)) for p in (WITH_ZONE, WITH_OFFSET)]).cast("timestamp_ntz")
     with_zone = F.convert_timezone(F.current_timezone(), F.lit("UTC"), in_session_zone)
     without_zone = F.try_to_timestamp(rest, F.lit(WITHOUT_ZONE)).cast("timestamp_ntz")
     date_only = F.try_to_timestamp(text, F.lit(DATE_ONLY)).cast("timestamp_ntz")

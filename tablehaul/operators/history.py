@@ -87,35 +87,25 @@ def _round(state: DataFrame) -> tuple[DataFrame, int]:
     return written, seen.get["left"]
 
 
-def ancestry(h: DataFrame, flag: Column | None = None, *, paths: bool = False) -> DataFrame:
-    """``uuid, root_uuid, depth, flag, flagged`` for every run, and ``path`` if asked for.
-
-    ``flag`` tells whether the condition holds for the run itself, ``flagged`` whether it holds for any run above it.
-    ``path`` lists the sequence numbers from the root down, so sorting by it walks the tree in order. A run whose
-    parent is not in the history counts as a root.
-
-    Each round doubles the distance that is known, so a tree of depth d takes about log2(d) rounds, and runs that have
-    reached their root are not joined again. Every round is written once to the shared folder.
-    """
-    condition = F.coalesce(flag if flag is not None else F.lit(False), F.lit(False))
-    place = [F.array("sequence_num").alias("path")] if paths else []
-    nodes = h.select("uuid", F.col(PARENT).alias("up"), condition.alias("flag"), *place)
-    parents = nodes.select(F.col("uuid").alias("up"), F.col("flag").alias("up_flag"))
+def _walk(inner: DataFrame, roots: DataFrame, carried: list[str]) -> DataFrame:
+    """The roots, and every run of ``inner`` with its root, by rounds that double the known distance."""
+    parents = inner.select("uuid", "flag").unionByName(roots.select("uuid", "flag")).select(
+        F.col("uuid").alias("up"), F.col("flag").alias("up_flag"))
     found = F.col("up_flag").isNotNull()
-    carried = ["flag", "path"] if paths else ["flag"]
-    state, left = _round(nodes.join(parents, "up", "left").select(
+    state, left = _round(inner.join(parents, "up", "left").select(
         "uuid",
         F.when(found, F.col("up")).alias("up"),
         F.when(~found, F.col("uuid")).alias("root_uuid"),
         F.when(found, 1).otherwise(0).alias("depth"),
         F.coalesce("up_flag", F.lit(False)).alias("flagged"), *carried))
-    settled, active = [state.where("root_uuid IS NOT NULL")], state.where("root_uuid IS NULL")
+    settled = [roots.withColumn("up", F.lit(None).cast("string")), state.where("root_uuid IS NOT NULL")]
+    active = state.where("root_uuid IS NULL")
     while left:
         known = reduce(DataFrame.unionByName, settled).unionByName(active)
         above = known.drop("flag").select([F.col(c).alias("up" if c == "uuid" else f"next_{c}")
                                            for c in known.columns if c != "flag"])
         before = left
-        longer = [F.concat("next_path", "path").alias("path")] if paths else []
+        longer = [F.concat("next_path", "path").alias("path")] if "path" in carried else []
         state, left = _round(active.drop("root_uuid").join(above, "up").select(
             "uuid", F.col("next_up").alias("up"), F.col("next_root_uuid").alias("root_uuid"),
             (F.col("depth") + F.col("next_depth")).alias("depth"),
@@ -127,8 +117,57 @@ def ancestry(h: DataFrame, flag: Column | None = None, *, paths: bool = False) -
     return reduce(DataFrame.unionByName, settled).drop("up")
 
 
-def tree(h: DataFrame) -> DataFrame:
-    """Every run with its root, depth and place in the tree; order by ``root_uuid, path`` to print it."""
+def ancestry(h: DataFrame, flag: Column | None = None, *, paths: bool = False) -> DataFrame:
+    """``uuid, root_uuid, depth, flag, flagged`` for every run, and ``path`` if asked for.
+
+    ``flag`` tells whether the condition holds for the run itself, ``flagged`` whether it holds for any run above it.
+    ``path`` lists (sequence number, uuid) from the root down, so sorting by it walks the tree in order, runs with equal
+    numbers kept apart. A run whose parent is not in the history counts as a root.
+
+    The columns needed are stored once. Runs without children, mostly the greater part, and roots take no part in the
+    rounds: the former are joined once, with their finished parent. The others double the distance that is known, so a
+    tree of depth d takes about log2(d) rounds, each written once to the shared folder.
+    """
+    condition = F.coalesce(flag if flag is not None else F.lit(False), F.lit(False))
+    place = [F.array(F.struct("sequence_num", "uuid")).alias("path")] if paths else []
+    carried = ["flag", "path"] if paths else ["flag"]
+    runs = materialize(h.select("uuid", F.col(PARENT).alias("up"), condition.alias("flag"), *place), "runs")
+    roots = runs.where("up IS NULL").select("uuid", F.col("uuid").alias("root_uuid"), F.lit(0).alias("depth"),
+                                            F.lit(False).alias("flagged"), *carried)
+    below = runs.where("up IS NOT NULL")
+    parents = below.select(F.col("up").alias("uuid")).distinct()
+    inner = _walk(below.join(parents, "uuid", "left_semi"), roots, carried)
+    above = inner.select([F.col(c).alias("up" if c == "uuid" else f"up_{c}") for c in inner.columns])
+    found = F.col("up_flag").isNotNull()
+    longer = [F.when(found, F.concat("up_path", "path")).otherwise(F.col("path")).alias("path")] if paths else []
+    leaves = below.join(parents, "uuid", "left_anti").join(above, "up", "left").select(
+        "uuid", F.when(found, F.col("up_root_uuid")).otherwise(F.col("uuid")).alias("root_uuid"),
+        F.when(found, F.col("up_depth") + 1).otherwise(0).alias("depth"),
+        F.coalesce(F.col("up_flagged") | F.col("up_flag"), F.lit(False)).alias("flagged"), "flag", *longer)
+    return inner.unionByName(leaves)
+
+
+def of_run(h: DataFrame, root: str) -> DataFrame:
+    """The runs at and below ``root``, found level by level: each level joins the history with the few runs of the last."""
+    links = h.select("uuid", F.col(PARENT).alias("up"))
+    levels = [materialize(h.where(F.col("uuid") == root).select("uuid"), "level")]
+    while True:
+        last = levels[-1].select(F.col("uuid").alias("up"))
+        level = materialize(links.join(last, "up", "left_semi").select("uuid"), "level")
+        if level.isEmpty():
+            break
+        if not level.where(F.col("uuid") == root).isEmpty():
+            raise LoadError(f"{root} is its own ancestor")
+        levels.append(level)
+    mine = h.join(reduce(DataFrame.unionByName, levels), "uuid", "left_semi")
+    # What lies above the run is not asked about.
+    return materialize(mine.withColumn(PARENT, F.when(F.col("uuid") != root, F.col(PARENT))), "run")
+
+
+def tree(h: DataFrame, root: str | None = None) -> DataFrame:
+    """Every run with its root, depth and place in the tree; order by ``root_uuid, path`` to print it. With ``root`` only that
+    run and what is below it."""
+    h = of_run(h, root) if root is not None else h
     return h.join(ancestry(h, paths=True).select("uuid", "root_uuid", "depth", "path"), "uuid")
 
 
@@ -137,8 +176,9 @@ def root_of(h: DataFrame) -> DataFrame:
     return ancestry(h).select("uuid", "root_uuid")
 
 
-def progress(h: DataFrame) -> DataFrame:
-    """For every root: how many of its descendants there are and how many have come to an end."""
+def progress(h: DataFrame, root: str | None = None) -> DataFrame:
+    """For every root, or for one run: how many of its descendants there are and how many have come to an end."""
+    h = of_run(h, root) if root is not None else h
     places = ancestry(h, F.col("status").isin(*TERMINAL))
     return (places.groupBy("root_uuid").agg(F.count_if((F.col("depth") > 0) & F.col("flag")).alias("complete"),
                                             F.count_if(F.col("depth") > 0).alias("total")))
@@ -150,11 +190,12 @@ def child_errors(h: DataFrame) -> DataFrame:
             .agg(F.count_if(F.col("status") == "FAILED").alias("failed"), F.count(F.lit(1)).alias("total")))
 
 
-def leaf_failures(h: DataFrame) -> DataFrame:
+def leaf_failures(h: DataFrame, root: str | None = None) -> DataFrame:
     """Failed runs that are a cause rather than a consequence: none of their children failed.
 
-    Below such a run nothing more is reported.
+    Below such a run nothing more is reported. With ``root`` only that run and what is below it.
     """
+    h = of_run(h, root) if root is not None else h
     failed = F.col("status") == "FAILED"
     with_failed_child = (h.where(failed & F.col(PARENT).isNotNull())
                          .select(F.col(PARENT).alias("uuid"), F.lit(True).alias("explained")).distinct())
@@ -169,11 +210,8 @@ def remaining(h: DataFrame, root: str | None = None) -> DataFrame:
     With ``root`` only the work below that run, else that of all trees. Sort by ``root_uuid, path`` for the order of
     execution.
     """
-    if root is not None:
-        h = h.withColumn(PARENT, F.when(F.col("uuid") != root, F.col(PARENT)))
+    h = of_run(h, root) if root is not None else h
     parents = h.where(F.col(PARENT).isNotNull()).select(F.col(PARENT).alias("uuid")).distinct()
     steps = h.where(~F.col("status").eqNullSafe("SUCCEEDED")).join(parents, "uuid", "left_anti")
     places = ancestry(h, F.col("status") == "SUCCEEDED", paths=True).where(~F.col("flagged"))
-    if root is not None:
-        places = places.where(F.col("root_uuid") == root)
     return steps.join(places.select("uuid", "root_uuid", "depth", "path"), "uuid")

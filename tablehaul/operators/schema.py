@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from tablehaul.errors import LoadError
 from tablehaul.workspace import remove_dir, unique
@@ -33,8 +33,20 @@ def declared_type(field: StructField) -> str:
     return re.sub(r"\bchar\(", "varchar(", declared.lower())
 
 
+def _sql_type(kind: DataType) -> str:
+    """A type as SQL text, the names of nested fields quoted and in their own case."""
+    if isinstance(kind, StructType):
+        return f"struct<{', '.join(f'`{f.name}`: {_sql_type(f.dataType)}' for f in kind.fields)}>"
+    if isinstance(kind, ArrayType):
+        return f"array<{_sql_type(kind.elementType)}>"
+    if isinstance(kind, MapType):
+        return f"map<{_sql_type(kind.keyType)}, {_sql_type(kind.valueType)}>"
+    return kind.simpleString()
+
+
 def ddl_of(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {declared_type(f)}" for f in schema.fields)
+    return ", ".join(f"`{f.name}` {_sql_type(f.dataType) if isinstance(f.dataType, (StructType, ArrayType, MapType)) else declared_type(f)}"
+                     for f in schema.fields)
 
 
 def quoted(table: str) -> str:

@@ -35,31 +35,44 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 
 
 def lookup_priority(facts: DataFrame, dim: DataFrame, on: Sequence[str], order_by: Sequence[Column],
-                    value: Sequence[str]) -> DataFrame:
+                    value: Sequence[str], *, ignore_case: bool = False) -> DataFrame:
     """Add the preferred matching ``dim`` row's ``value`` columns to every fact; null without a match.
 
-    End ``order_by`` with a unique column to make ties definite.
+    End ``order_by`` with a unique column to make ties definite. ``ignore_case`` matches text keys in lower case; the facts
+    keep theirs.
     """
-    best = first_per_key(dim, on, order_by).select(*on, *value)
-    return facts.join(best, list(on), "left")
+    if not ignore_case:
+        best = first_per_key(dim, on, order_by).select(*on, *value)
+        return facts.join(best, list(on), "left")
+    folded = [f"_folded_{key}" for key in on]
+    best = first_per_key(dim.withColumns({f: _fold(dim, k) for f, k in zip(folded, on, strict=True)}), folded, order_by)
+    keyed = facts.withColumns({f: _fold(facts, k) for f, k in zip(folded, on, strict=True)})
+    return keyed.join(best.select(*folded, *value), folded, "left").drop(*folded)
 
 
-def lookup_any_key(facts: DataFrame, dim: DataFrame, value: str, keys: Sequence[str], returns: str) -> DataFrame:
-    """Add ``returns`` of the ``dim`` row where any of ``keys`` equals the fact's ``value``.
+def _fold(df: DataFrame, key: str) -> Column:
+    """A key as case-blind databases compare it: text in lower case, anything else as it is."""
+    return F.lower(F.col(key)) if df.select(key).schema[0].dataType.typeName() in ("string", "varchar", "char") else F.col(key)
+
+
+def lookup_any_key(facts: DataFrame, dim: DataFrame, value: str, keys: Sequence[str], returns: str, *,
+                   ignore_case: bool = False) -> DataFrame:
+    """Add ``returns`` of the ``dim`` row where any of ``keys`` equals the fact's ``value``, ignoring case if asked for.
 
     The alternatives become rows of one equality lookup instead of an OR condition. A fact whose value means two
     different rows is an error.
     """
+    as_key = (lambda c: F.lower(c.cast("string"))) if ignore_case else (lambda c: c.cast("string"))
     by_key = None
     for key in keys:
-        part = dim.select(F.col(key).cast("string").alias("_key"), F.col(returns).alias("_found"))
+        part = dim.select(as_key(F.col(key)).alias("_key"), F.col(returns).alias("_found"))
         by_key = part if by_key is None else by_key.unionByName(part)
     once = (by_key.where(F.col("_key").isNotNull()).groupBy("_key")
             .agg(F.min("_found").alias("_low"), F.max("_found").alias("_high")))
     found = (F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low"))
              .otherwise(F.raise_error(F.concat(F.lit("More than one row for "), F.col("_key")))
                         .cast(dim.schema[returns].dataType)))
-    joined = facts.join(once, facts[value].cast("string") == once["_key"], "left")
+    joined = facts.join(once, as_key(facts[value]) == once["_key"], "left")
     return joined.select(*[facts[c] for c in facts.columns], found.alias(returns))
 
 

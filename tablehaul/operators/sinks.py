@@ -119,12 +119,26 @@ def _write_stage(spark: SparkSession, df: DataFrame, table: str, schema: StructT
 
 
 def _other_versions(spark: SparkSession, table: str, keep: str) -> list[str]:
-    """The folders of a table's files that a new version makes useless."""
+    """The folders of a table's files that a new version makes useless.
+
+    Only folders made by this library, which lie in the table's ``__loads`` folder. Files of a table that was made
+    elsewhere stay where they are: another table may have its own below them.
+    """
     base = base_location(spark, table)
-    folders = [f"{base}/{name}" for name in child_dirs(spark, base)]
-    if table_exists(spark, table):
-        folders.append(location_of(spark, table))
-    return [folder for folder in folders if folder.rsplit("/", 1)[-1] != keep.rsplit("/", 1)[-1]]
+    return [f"{base}/{name}" for name in child_dirs(spark, base) if name != keep.rsplit("/", 1)[-1]]
+
+
+def _own(spark: SparkSession, table: str, folder: str) -> bool:
+    """Whether a folder is one of those that this library made for the table."""
+    plain = [unquote(x).removeprefix("file:").replace("//", "/") for x in (folder, base_location(spark, table))]
+    return plain[0].startswith(plain[1] + "/")
+
+
+def _folders_of(spark: SparkSession, table: str, column: str, values: Sequence[object]) -> list[str]:
+    """The folders that hold the rows of some partitions, by one job that reads file names only."""
+    found = spark.table(table).where(F.col(column).isin(list(values))).select(
+        F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
+    return [row["folder"] for row in found.collect()]
 
 
 def _without(schema: StructType, column: str) -> StructType:
@@ -178,6 +192,15 @@ def partition_text(value: object) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
+def typed_values(spark: SparkSession, schema: StructType, column: str, values: Sequence[object]) -> list[object]:
+    """Partition values in the column's own type, so that the text ``07`` means the number 7."""
+    kind = next(f.dataType for f in schema.fields if f.name.lower() == column.lower())
+    rows = spark.range(1).select([F.lit(v).cast(kind) for v in values]).first() if values else ()
+    if any(v is None for v in rows):
+        raise LoadError(f"Not values of the partition column {column}: {[v for v, r in zip(values, rows, strict=True) if r is None]}")
+    return list(rows)
+
+
 def partition_exists(spark: SparkSession, table: str, column: str, value: object) -> bool:
     """Whether a partition was ever loaded, even with no rows."""
     if not table_exists(spark, table):
@@ -186,6 +209,11 @@ def partition_exists(spark: SparkSession, table: str, column: str, value: object
     return not found.isEmpty()
 
 
+def existing_partitions(spark: SparkSession, table: str) -> set[str]:
+    """The values, as text, of all partitions of a table; for loads that touch many of them."""
+    return set(_partitions(spark, table))
+
+
 def _only(df: DataFrame, column: str, value: object) -> DataFrame:
     """Drop the partition column after making sure that it holds nothing but ``value``."""
     present = {name.lower(): name for name in df.columns}.get(column.lower())
@@ -223,21 +251,20 @@ def _switch(spark: SparkSession, table: str, schema: StructType, column: str, lo
         stale = _other_versions(spark, table, fresh)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
         create_table(spark, table, schema, [column])
-    present = _partitions(spark, table)
+    if len(locations) > 8:
+        present = set(_partitions(spark, table))
+    else:
+        present = {partition_text(v) for v in locations if partition_exists(spark, table, column, v)}
+    old = [v for v in locations if partition_text(v) in present]
+    stale += [unquote(x) for x in (_folders_of(spark, table, column, old) if old else []) if _own(spark, table, x)]
     added = [f"PARTITION (`{column}` = {literal(value)}) LOCATION '{location}'"
              for value, location in locations.items() if partition_text(value) not in present]
     if added:
         spark.sql(f"ALTER TABLE {quoted(table)} ADD {' '.join(added)}")
-
-    def move(value: object) -> str:
-        old = location_of(spark, table, (column, value))
-        spark.sql(f"ALTER TABLE {quoted(table)} PARTITION (`{column}` = {literal(value)}) "
-                  f"SET LOCATION '{locations[value]}'")
-        return old
-
     # Only catalog calls, which are slow one by one.
     with ThreadPoolExecutor(8) as calls:
-        stale += calls.map(move, [value for value in locations if partition_text(value) in present])
+        list(calls.map(lambda v: spark.sql(f"ALTER TABLE {quoted(table)} PARTITION (`{column}` = {literal(v)}) "
+                                           f"SET LOCATION '{locations[v]}'"), old))
         list(calls.map(lambda folder: remove_dir(spark, folder), stale))
 
 
@@ -252,6 +279,7 @@ def replace_partition(spark: SparkSession, df: DataFrame, table: str, column: st
         raise LoadError("A value is required for the partition column")
     table = qualified(spark, table)
     schema, recreate = _checked_target(spark, table, column, schema)
+    value = typed_values(spark, schema, column, [value])[0]
     body = _without(schema, column)
     before = 0
     if partition_exists(spark, table, column, value):
@@ -277,11 +305,11 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str, column: s
     ``rebalance=False`` saves the shuffle when each input task already holds rows of a single partition, as in a union
     of sources.
     """
-    values = list(dict.fromkeys(values))
     if not values or any(v is None for v in values):
         raise LoadError("A value is required for the partition column")
     table = qualified(spark, table)
     schema, recreate = _checked_target(spark, table, column, schema)
+    values = list(dict.fromkeys(typed_values(spark, schema, column, values)))
     exists = table_exists(spark, table)
     before = {}
     if exists:

@@ -1,18 +1,46 @@
-"""Dry run: would these rows fit the target?"""
+"""Dry run: would these rows fit the target? And the conversion that a load can be asked for."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tablehaul.operators.schema import as_schema, declared_type
 
+_TEXT = ("string", "varchar", "char")
+_NUMBERS = ("byte", "short", "integer", "long", "float", "double", "decimal")
+_TIMES = ("date", "timestamp", "timestamp_ntz")
 
-def _misfit(have: set[str], field: StructField) -> Column:
-    if field.name.lower() not in have:
+
+def storable(kind: DataType, target: DataType) -> bool:
+    """Whether Spark stores a column of one type in another without being told to cast (its ANSI store assignment)."""
+    a, b = kind.typeName(), target.typeName()
+    return (kind == target or a == "void" or (b in _TEXT and a not in ("array", "map", "struct", "binary", "variant"))
+            or (a in _NUMBERS and b in _NUMBERS) or (a in _TIMES and b in _TIMES) or (a == b and a in ("array", "map", "struct")))
+
+
+def _mapped(df: DataFrame, target: StructType, by: str) -> dict[str, str | None]:
+    """For each target column the data's column that a load would store there."""
+    if by == "position":
+        return {f.name: df.columns[i] if i < len(df.columns) else None for i, f in enumerate(target.fields)}
+    have = {name.lower(): name for name in df.columns}
+    return {f.name: have.get(f.name.lower()) for f in target.fields}
+
+
+def converted(df: DataFrame, target: StructType | str, by: str = "name") -> DataFrame:
+    """Cast the columns a load would use to the target's types; a value that does not fit fails the query."""
+    target = as_schema(target)
+    types = {name: f.dataType for f in target.fields if (name := _mapped(df, target, by)[f.name]) is not None}
+    return df.select([F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
+
+
+def _misfit(df: DataFrame, source: str | None, field: StructField, convert: bool) -> Column:
+    if source is None:
         return F.lit(False)
-    value = F.col(f"`{field.name}`")
+    value = F.col(f"`{source}`")
+    if not convert and not storable(df.schema[source].dataType, field.dataType):
+        return value.isNotNull()
     bad = value.isNotNull() & value.try_cast(field.dataType).isNull()
     declared = declared_type(field)
     if declared.startswith("varchar("):
@@ -21,14 +49,29 @@ def _misfit(have: set[str], field: StructField) -> Column:
     return bad
 
 
-def validate_extract(df: DataFrame, target: StructType | str) -> tuple[DataFrame, DataFrame]:
+def refused_columns(df: DataFrame, target: StructType | str, by: str = "name", convert: bool = False) -> list[str]:
+    """What makes a load fail whatever the rows hold: types that are not stored without a cast, columns the target lacks,
+    and by position a wrong number of columns."""
+    target = as_schema(target)
+    mapped = _mapped(df, target, by)
+    out = [f"{f.name}: {df.schema[mapped[f.name]].dataType.simpleString()} is not stored as {declared_type(f)}" for f in target.fields
+           if mapped[f.name] is not None and not convert and not storable(df.schema[mapped[f.name]].dataType, f.dataType)]
+    if by == "position":
+        return out + ([f"{len(df.columns)} columns for {len(target.fields)}"] if len(df.columns) != len(target.fields) else [])
+    used = {m for m in mapped.values() if m is not None}
+    return out + [f"{c}: not in the target" for c in df.columns if c not in used]
+
+
+def validate_extract(df: DataFrame, target: StructType | str, *, by: str = "name", convert: bool = True) -> tuple[DataFrame, DataFrame]:
     """Read every value and write nothing: a one-row summary and the failing rows with their failing columns.
 
-    The summary counts all rows, failing rows, and failing values per column, in one pass.
+    Columns meet as in the load, by name or by position, and values are judged as the load stores them: with ``convert`` by a
+    cast, else by Spark's rules for stored values, which refuse text for a number outright. The summary counts all rows,
+    failing rows, and failing values per target column, in one pass; ``refused_columns`` tells what fails without any row.
     """
-    have = {name.lower() for name in df.columns}
-    fields = as_schema(target).fields
-    flags = {f.name: _misfit(have, f) for f in fields}
+    target = as_schema(target)
+    mapped = _mapped(df, target, by)
+    flags = {f.name: _misfit(df, mapped[f.name], f, convert) for f in target.fields}
     any_bad = F.lit(False)
     for flag in flags.values():
         any_bad = any_bad | flag

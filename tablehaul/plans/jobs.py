@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablehaul.errors import LoadError
-from tablehaul.operators.schema import as_schema, ensure_table
+from tablehaul.operators.schema import as_schema, ensure_table, schema_of, table_exists
 from tablehaul.operators.shape import with_extra_columns
 from tablehaul.operators.sinks import (append_by_name, append_by_position, audit, replace_partition, replace_table)
-from tablehaul.operators.validate import validate_extract
+from tablehaul.operators.validate import converted, validate_extract
 from tablehaul.sources.extract import gate, substitute
 from tablehaul.sources.listing import conform, missing_pages, parse_listing
 from tablehaul.streaming.incremental import Source, incremental_load
@@ -40,7 +41,7 @@ def _extended(schema: StructType | None, extra_columns: Sequence[tuple[str, str,
 def bulk_import(spark: SparkSession, extract: Source, table: str, *, schema: StructType | str | None = None,
                 only_if: DataFrame | None = None, extra_columns: Sequence[tuple[str, str, str]] = (),
                 partition: tuple[str, object] | None = None, incremental: Mapping[str, object] | None = None,
-                drop_and_recreate: bool = True, test_only: bool = False) -> DataFrame:
+                drop_and_recreate: bool = True, test_only: bool = False, convert: bool = False) -> DataFrame:
     """Load an extract into a table and return the audit row.
 
     * ``only_if``: skip, successfully and with the target untouched, unless its first value is true.
@@ -48,6 +49,7 @@ def bulk_import(spark: SparkSession, extract: Source, table: str, *, schema: Str
     * without ``schema``: append by position to a table that must exist.
     * ``partition``: replace that partition only, matching columns by name; ``incremental`` adds ``incremental_load``'s
       arguments (changes, key, changed_at, log_table, ...). The extract may then be a function of the two marks.
+    * ``convert``: cast values to the target's types, text included; a value that does not fit fails the load.
     * ``test_only``: check every row against the schema, load nothing, and always end in ``DryRun``.
     """
     schema = as_schema(schema) if schema is not None else None
@@ -72,7 +74,10 @@ def bulk_import(spark: SparkSession, extract: Source, table: str, *, schema: Str
         return incremental_load(spark, source=source, target=table, partition=partition, schema=schema, **incremental)
     rows = _shaped(extract if isinstance(extract, DataFrame) else extract(None, None), extra_columns)
     if test_only:
-        raise DryRun(*validate_extract(rows, schema if schema is not None else rows.schema))
+        wanted = schema if schema is not None else schema_of(spark, table) if table_exists(spark, table) else rows.schema
+        raise DryRun(*validate_extract(rows, wanted, by="name" if partition is not None else "position", convert=convert))
+    if convert and schema is not None:
+        rows = converted(rows, schema, by="name" if partition is not None else "position")
     if partition is not None:
         return replace_partition(spark, rows, table, *partition, schema=schema)
     if schema is None:
@@ -85,7 +90,7 @@ def bulk_import(spark: SparkSession, extract: Source, table: str, *, schema: Str
 
 def transfer(spark: SparkSession, extract: DataFrame, table: str, *, schema: StructType | str | None = None,
              only_if: DataFrame | None = None, extra_columns: Sequence[tuple[str, str, str]] = (),
-             drop_and_recreate: bool = True, test_only: bool = False) -> DataFrame:
+             drop_and_recreate: bool = True, test_only: bool = False, convert: bool = False) -> DataFrame:
     """As ``bulk_import`` without partitions, matching columns by label."""
     schema = as_schema(schema) if schema is not None else None
     schema = _extended(schema, extra_columns)
@@ -93,7 +98,10 @@ def transfer(spark: SparkSession, extract: DataFrame, table: str, *, schema: Str
         return audit(spark, table, "skipped")
     rows = _shaped(extract, extra_columns)
     if test_only:
-        raise DryRun(*validate_extract(rows, schema if schema is not None else rows.schema))
+        wanted = schema if schema is not None else schema_of(spark, table) if table_exists(spark, table) else rows.schema
+        raise DryRun(*validate_extract(rows, wanted, convert=convert))
+    if convert and schema is not None:
+        rows = converted(rows, schema)
     if schema is None:
         return append_by_name(spark, rows, table)
     if drop_and_recreate:
@@ -105,10 +113,13 @@ def transfer(spark: SparkSession, extract: DataFrame, table: str, *, schema: Str
 def load_blob_listing(spark: SparkSession, pages: DataFrame, table: str, schema: StructType | str) -> DataFrame:
     """Load fetched listing pages ``(marker_in, xml)`` into a table recreated with ``schema``.
 
-    The columns of the schema decide which fields are read. A page that is announced but missing stops the load before
-    anything is written.
+    The columns of the schema decide which fields are read. A listing without its first page (the one without a marker), or
+    with an announced page missing, stops the load before anything is written. A page given twice counts once.
     """
     schema = as_schema(schema)
+    pages = pages.dropDuplicates(["marker_in"])
+    if pages.where(F.col("marker_in").isNull()).isEmpty():
+        raise LoadError("The listing is not whole: its first page is missing")
     lost = missing_pages(pages)
     if not lost.isEmpty():
         raise LoadError("The listing is not whole: pages are missing")
@@ -122,4 +133,4 @@ def run_sql_steps(spark: SparkSession, statements: Sequence[str], params: Mappin
         try:
             spark.sql(substitute(statement, params or {}))
         except Exception as error:
-            raise LoadError(f"Statement {number} of {len(statements)} failed: {statement.strip()[:200]}") from error
+            raise LoadError(f"Statement {number} of {len(statements)} failed: {statement.strip()}") from error

@@ -14,38 +14,28 @@ from pyspark.sql.types import StructType
 from tablehaul.functions.dates import parse_http_date
 from tablehaul.operators.schema import as_schema
 
-# Elements below a blob whose children count as the blob's own fields.
-GROUPS = ("Properties", "Metadata")
+# One blob of a page, as text.
+_BLOB = r"(?s)<Blob(?:\s[^>]*)?>.*?</Blob>"
 # A page that is not XML must fail the load rather than vanish from it.
 STRICT = {"mode": "FAILFAST"}
 
 
-def _spellings(field: str) -> list[str]:
-    """Element names that stand for a column; letter case does not matter to the parser."""
-    return list(dict.fromkeys([field, field.replace("_", "-")]))
+def _field_path(field: str) -> str:
+    """The last element of that name anywhere in a blob; letters compare in lower case and ``-`` as ``_``."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ-", "abcdefghijklmnopqrstuvwxyz_"
+    return f"(/*//*[not(*)][translate(local-name(), '{upper}', '{lower}') = '{field.lower()}'])[last()]"
 
 
-def _elements(fields: Sequence[str]) -> str:
-    return ", ".join(f"`{name}`: string" for field in fields for name in _spellings(field))
+def parse_listing(pages: DataFrame, fields: Sequence[str], *, xml: str = "xml") -> DataFrame:
+    """One row per blob with the named fields as text, blanks kept.
 
-
-def parse_listing(pages: DataFrame, fields: Sequence[str], *, groups: Sequence[str] = GROUPS,
-                  xml: str = "xml") -> DataFrame:
-    """One row per blob with the named fields as text.
-
-    A field is found directly below the blob or in one of ``groups``; names are matched in lower case with ``-`` read
-    as ``_``. A field the blob lacks is null. Only the named fields are parsed out of the page.
+    A field is found at any depth below the blob; of several the last counts. Names are matched in lower case with ``-``
+    read as ``_``. A field the blob lacks, or whose element is empty, is null. A page that is not XML fails.
     """
-    inner = _elements(fields)
-    nested = ", ".join(f"`{group}`: struct<{inner}>" for group in groups if group.lower() not in fields)
-    blob = f"struct<{', '.join(part for part in (inner, nested) if part)}>"
-    schema = f"Blobs struct<Blob: array<{blob}>>"
-    blobs = pages.select(F.explode(F.from_xml(F.col(xml), schema, STRICT).getField("Blobs").getField("Blob"))
-                         .alias("blob"))
-    places = [F.col("blob").getField(group) for group in reversed(groups) if group.lower() not in fields]
-    places.append(F.col("blob"))
-    return blobs.select([F.coalesce(*[place.getField(name) for place in places for name in _spellings(field)])
-                         .alias(field) for field in fields])
+    strict = F.from_xml(F.col(xml), "NextMarker string", STRICT)
+    whole = F.when(strict.isNotNull(), F.col(xml))
+    blob = pages.select(F.explode(F.regexp_extract_all(whole, F.lit(_BLOB), F.lit(0))).alias("blob"))
+    return blob.select([F.nullif(F.xpath_string("blob", F.lit(_field_path(f))), F.lit("")).alias(f) for f in fields])
 
 
 def next_markers(pages: DataFrame, *, xml: str = "xml") -> DataFrame:

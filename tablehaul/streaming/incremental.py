@@ -12,12 +12,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from tablehaul.errors import LoadError
 from tablehaul.functions.dates import ntz, same_zone_literal
 from tablehaul.operators.schema import as_schema, ensure_table, qualified, same_schema, schema_of, table_exists
-from tablehaul.operators.sinks import append_by_name, audit, partition_exists, partition_text, replace_partition
+from tablehaul.operators.sinks import (AUDIT, append_by_name, audit, existing_partitions, partition_exists, partition_text,
+                                       replace_partition, replace_partitions, typed_values)
 from tablehaul.sources.extract import scalar_timestamp
 from tablehaul.workspace import intermediate, materialize
 
@@ -108,6 +109,23 @@ def _in_range(rows: DataFrame, key: str, seen: Observation | None) -> DataFrame:
     return rows.where(F.col(key).between(seen.get["low"], seen.get["high"]))
 
 
+def _folded(df: DataFrame, keys: Sequence[str], ignore_case: bool) -> DataFrame:
+    """Text keys in lower case, as a database with a case-blind collation compares them."""
+    if not ignore_case:
+        return df
+    kinds = {f.name.lower(): f.dataType.typeName() for f in df.schema.fields}
+    return df.withColumns({k: F.lower(k) for k in keys if kinds.get(k.lower()) in ("string", "varchar", "char")})
+
+
+def _matching(rows: DataFrame, changed: DataFrame, keys: Sequence[str], how: str, ignore_case: bool) -> DataFrame:
+    """Join rows with changed keys by equality; a folded key is computed once per side and the rows keep their own."""
+    if not ignore_case:
+        return rows.join(changed, list(keys), how)
+    folded = _folded(rows.withColumns({f"_folded_{k}": F.col(k) for k in keys}), [f"_folded_{k}" for k in keys], True)
+    other = changed.select([F.col(k).alias(f"_folded_{k}") for k in keys])
+    return folded.join(other, [f"_folded_{k}" for k in keys], how).select(rows.columns)
+
+
 def _marked(df: DataFrame, mark: str | None, kind: str) -> DataFrame:
     return df.withColumn(mark, F.lit(kind)) if mark else df
 
@@ -115,7 +133,7 @@ def _marked(df: DataFrame, mark: str | None, kind: str) -> DataFrame:
 def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame, key: str | Sequence[str],
                      changed_at: str, target: str, partition: tuple[str, object], log_table: str,
                      schema: StructType | str | None = None, mark: str | None = None, dedup: bool = True,
-                     on_schema_change: str = "recreate") -> DataFrame:
+                     on_schema_change: str = "recreate", ignore_case: bool = False) -> DataFrame:
     """Bring one partition of ``target`` up to the change log's latest mark; returns the audit row.
 
     ``source`` is the full extract, narrowed to the changed keys here, or a function of (previous, new) marks that
@@ -125,7 +143,7 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
 
     Nothing is done when the latest mark is the recorded one. Changed columns recreate the whole target and reload
     this partition in full (``on_schema_change="fail"`` refuses instead). A partition that is not in the target is
-    loaded in full whatever the log says.
+    loaded in full whatever the log says. ``ignore_case`` matches text keys as case-blind databases do.
     """
     if on_schema_change not in ("recreate", "fail"):
         raise LoadError("on_schema_change must be recreate or fail")
@@ -170,18 +188,77 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
         kind = DELTA
     else:
         # Written once because both sides need it, and so that the joins know its size.
-        window = in_window(changes, changed_at, previous, new).select(*keys)
+        window = _folded(in_window(changes, changed_at, previous, new).select(*keys), keys, ignore_case)
         window, seen = _key_range(window.distinct() if dedup else window, keys)
         with intermediate(window, "changed_keys") as changed:
             if isinstance(source, DataFrame):
-                rows = _in_range(rows, keys[0], seen).join(changed, keys, "left_semi" if dedup else "inner")
+                rows = _matching(_in_range(rows, keys[0], seen), changed, keys, "left_semi" if dedup else "inner", ignore_case)
                 # Few rows from many tasks: gather them in files of a good size.
                 rows = rows.hint("rebalance")
             current = spark.table(target).where(F.col(column) == F.lit(value))
-            kept = current.join(changed, keys, "left_anti")
+            kept = _matching(current, changed, keys, "left_anti", ignore_case)
             done = replace_partition(spark, _marked(rows, mark, DELTA), target, column, value, schema=schema,
                                      keep=kept)
         kind = DELTA
     if new is not None:
         record_watermark(spark, log_table, target, value, previous, new)
     return done.withColumn("action", F.lit(kind))
+
+
+def incremental_load_partitions(spark: SparkSession, *, source: DataFrame, changes: DataFrame, key: str | Sequence[str],
+                                changed_at: str, target: str, column: str, values: Sequence[object], log_table: str,
+                                schema: StructType | str | None = None, mark: str | None = None) -> DataFrame:
+    """Bring many partitions of ``target`` up to their own latest marks in one write; one audit row per value.
+
+    ``source`` and ``changes`` carry the partition column; each partition has its own marks. Partitions without a new mark
+    are left alone, new ones are loaded in full, the others are merged as in ``incremental_load``. The marks of all
+    partitions are found by one job each and recorded together once the partitions are switched.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if not keys or not changed_at or not column or not values or not log_table:
+        raise LoadError("A load of many partitions needs keys, a time column, a partition column, values and a log table")
+    target, log_table = qualified(spark, target), qualified(spark, log_table)
+    if schema is None:
+        extra = StructType.fromDDL(f"`{mark}` string") if mark else StructType()
+        schema = StructType(source.schema.fields + extra.fields)
+    schema = as_schema(schema)
+    values = list(dict.fromkeys(typed_values(spark, schema, column, values)))
+    recreate = table_exists(spark, target) and not same_schema(schema_of(spark, target), schema)
+    latest = dict(changes.where(F.col(column).isin(values)).groupBy(column).agg(F.max(changed_at).cast("timestamp_ntz")).collect())
+    recorded: dict[str, dt.datetime] = {}
+    if table_exists(spark, log_table) and not recreate:
+        log = spark.table(log_table).where(F.col("table_name") == target)
+        recorded = {r["partition_num"]: r["ending_watermark"] for r in previous_watermarks(log).collect()}
+    there = existing_partitions(spark, target) if table_exists(spark, target) and not recreate else set()
+    new = {v: latest.get(v) for v in values}
+    previous = {v: recorded.get(partition_text(v)) if partition_text(v) in there else None for v in values}
+    full = [v for v in values if previous[v] is None]
+    merged = [v for v in values if previous[v] is not None and new[v] is not None and new[v] > previous[v]]
+    if not full and not merged:
+        rows = [(target, f"{column}={v}", "skipped", None, None, None, None) for v in values]
+        return spark.createDataFrame(rows, AUDIT)
+    kind = changes.schema[changed_at].dataType
+    marks = spark.createDataFrame([(v, previous[v], new[v]) for v in merged], StructType(
+        [StructField("_value", source.schema[column].dataType), StructField("_from", TimestampNTZType()), StructField("_to", TimestampNTZType())]))
+    window = changes.join(marks, changes[column] == marks["_value"]).where(
+        F.col(changed_at).between(F.col("_from").cast(kind), F.col("_to").cast(kind))).select(
+        F.col("_value").alias(column), *[changes[k] for k in keys if k != column]).distinct()
+    by = list(dict.fromkeys([column, *keys]))
+    with intermediate(window, "changed_keys") as changed:
+        rows = _marked(source.where(F.col(column).isin(full)), mark, INITIAL)
+        rows = rows.unionByName(_marked(source.where(F.col(column).isin(merged)).join(changed, by, "left_semi"), mark, DELTA))
+        if merged:
+            rows = rows.unionByName(spark.table(target).where(F.col(column).isin(merged)).join(changed, by, "left_anti"),
+                                    allowMissingColumns=True)
+        done = replace_partitions(spark, rows, target, column, full + merged, schema=schema)
+    marked = [v for v in full + merged if new[v] is not None]
+    if marked:
+        ensure_table(spark, log_table, LOG_SCHEMA)
+        entries = spark.createDataFrame([(target, partition_text(v), previous[v], new[v]) for v in marked],
+                                        "table_name string, partition_num string, starting_watermark timestamp_ntz, "
+                                        "ending_watermark timestamp_ntz")
+        append_by_name(spark, entries.withColumn("completed_datetime", F.localtimestamp()), log_table)
+    kinds = {f"{column}={v}": INITIAL for v in full} | {f"{column}={v}": DELTA for v in merged}
+    skipped = [(target, f"{column}={v}", "skipped", None, None, None, None) for v in values if v not in full and v not in merged]
+    action = F.coalesce(*[F.when(F.col("partition") == p, k) for p, k in kinds.items()])
+    return done.withColumn("action", action).unionByName(spark.createDataFrame(skipped, AUDIT))

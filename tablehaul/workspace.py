@@ -7,7 +7,9 @@ executors can reach, so that a lost executor never takes intermediate results wi
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -27,25 +29,42 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise LoadError("Set spark.checkpoint.dir to a folder that every executor can reach")
-    path = tempfile.mkdtemp(prefix="tablehaul-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    with _lock:
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.TemporaryDirectory(prefix="tablehaul-")  # removed when the process ends
+        return _local[app].name
 
 
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A session setting for the length of one action."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
+    """A session setting for the length of one action.
+
+    Actions of several threads may overlap: the first sets it, the last restores what was there before. They must ask for
+    the same value.
+    """
+    with _lock:
+        _users[name] += 1
+        if _users[name] == 1:
+            _before[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
+        with _lock:
+            _users[name] -= 1
+            if not _users[name]:
+                before = _before.pop(name)
+                if before is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, before)
+
+
+_lock = threading.RLock()
+_local: dict[str, tempfile.TemporaryDirectory] = {}
+_users: Counter[str] = Counter()
+_before: dict[str, str | None] = {}
 _created: list[str] = []
 _scratch: list[str] = []
 
@@ -56,22 +75,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     This cuts the lineage, is computed a single time, survives executor loss, and gives the optimizer a real size, so
     that a later join broadcasts it only when its files are below the broadcast threshold.
     """
+    return _stored(df, label)[0]
+
+
+def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{unique(label)}"
     _created.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 @contextmanager
 def intermediate(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """As ``materialize``, for use within one job: the files are gone afterwards."""
-    kept = materialize(df, label)
-    path = _created[-1]
+    """As ``materialize``, for use within one job: the files are gone afterwards. Jobs of several threads keep apart."""
+    kept, path = _stored(df, label)
     try:
         yield kept
     finally:
-        _created.remove(path)
+        with _lock:
+            if path in _created:
+                _created.remove(path)
         remove_dir(df.sparkSession, path)
 
 

@@ -65,7 +65,7 @@ def random_forest(n, seed):
 def test_random_trees(spark, db, seed):
     rows = random_forest(150, seed)
     h, brute = history(spark, rows), Brute(rows)
-    got = {r.uuid: (r.root_uuid, r.depth, tuple(r.path)) for r in runs.tree(h).collect()}
+    got = {r.uuid: (r.root_uuid, r.depth, tuple(p.sequence_num for p in r.path)) for r in runs.tree(h).collect()}
     assert got == brute.tree()
     assert values(runs.leaf_failures(h), "uuid") == sorted((u,) for r in brute.roots() for u in brute.failures(r))
     assert values(runs.remaining(h), "uuid") == sorted((u,) for r in brute.roots() for u in brute.remaining(r))
@@ -80,7 +80,7 @@ def test_random_trees(spark, db, seed):
 def test_long_chain(spark, db):
     h = history(spark, [(f"c{i:03}", f"c{i - 1:03}" if i else None, i, "FAILED") for i in range(70)])
     last = runs.tree(h).where("uuid = 'c069'").first()
-    assert (last.root_uuid, last.depth, last.path) == ("c000", 69, list(range(70)))
+    assert (last.root_uuid, last.depth, [p.sequence_num for p in last.path]) == ("c000", 69, list(range(70)))
     assert values(runs.leaf_failures(h), "uuid") == [("c069",)]
     assert values(runs.root_of(h).select("root_uuid").distinct()) == [("c000",)]
 
@@ -136,3 +136,23 @@ def test_durations(spark):
     assert [(r.label, r.duration_seconds, r.duration) for r in got] == [
         ("load", 7384, "2h 03m 04s"), ("load", 68400, "19h 00m 00s"), ("other", 0, "-"), ("step", 65, "1m 05s"),
         ("(unknown)", 9, "9s")]
+
+
+def test_equal_numbers_keep_their_subtrees_apart(spark, db):
+    h = history(spark, [("r", None, 1, "FAILED"), ("a", "r", 1, "FAILED"), ("b", "r", 1, "FAILED"), ("a1", "a", 1, "FAILED"),
+                        ("b1", "b", 1, "SUCCEEDED")])
+    assert [r.uuid for r in runs.tree(h).orderBy("root_uuid", "path").collect()] == ["r", "a", "a1", "b", "b1"]
+
+
+@pytest.mark.parametrize("seed", [3])
+def test_one_run(spark, db, seed):
+    rows = random_forest(120, seed)
+    h = history(spark, rows)
+    everything = {r.uuid: r for r in runs.tree(h).collect()}
+    for root in ("r3", "r0"):
+        mine = {u for u, r in everything.items() if root in [p.uuid for p in r.path]}
+        assert {r.uuid for r in runs.tree(h, root).collect()} == mine
+        progress = runs.progress(h, root).first()
+        assert (progress.root_uuid, progress.total) == (root, len(mine) - 1)
+        assert {r.uuid for r in runs.leaf_failures(h, root).collect()} <= mine
+    assert runs.tree(h, "nobody").count() == 0

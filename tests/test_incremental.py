@@ -240,3 +240,47 @@ def test_whole_number_keys(spark, db, dedup):
     repeats = 1 if dedup else 3
     assert (done.rows_removed, done.rows_added) == (hot + 1, hot * repeats + 1)
     assert spark.table(f"{db}.t").where("m = 'incremental-load'").count() == hot * repeats + 1
+
+
+def test_loads_in_threads_do_not_meet(spark, db):
+    """Eight refreshes of eight tables at once; each keeps its own intermediate files and records its own mark."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tablehaul.streaming import incremental_load, previous_watermark
+
+    rows = spark.range(200).selectExpr("id", "cast(id as string) as name")
+    first = spark.createDataFrame([(i, datetime(2024, 1, 1) if i == 0 else datetime(2023, 12, 1)) for i in range(200)],
+                                  "id long, ts timestamp_ntz")
+    later = first.unionByName(spark.createDataFrame([(i, datetime(2024, 1, 2)) for i in range(0, 200, 3)],
+                                                    "id long, ts timestamp_ntz"))
+
+    def load(number):
+        options = {"key": "id", "changed_at": "ts", "target": f"{db}.t{number}", "partition": ("part", 1),
+                   "log_table": f"{db}.log{number}"}
+        incremental_load(spark, source=rows, changes=first, **options)
+        incremental_load(spark, source=rows.withColumn("name", F.lit(f"new {number}")), changes=later, **options)
+        return previous_watermark(spark, f"{db}.log{number}", f"{db}.t{number}", 1)
+
+    with ThreadPoolExecutor(8) as pool:
+        marks = list(pool.map(load, range(8)))
+    assert marks == [datetime(2024, 1, 2)] * 8
+    for number in range(8):
+        names = [r["name"] for r in spark.table(f"{db}.t{number}").collect()]
+        assert len(names) == 200 and names.count(f"new {number}") == 67
+
+
+def test_many_partitions_report_and_skip(spark, db):
+    from tablehaul.streaming import incremental_load_partitions
+
+    rows = spark.range(60).selectExpr("id", "cast(id % 4 as int) as part")
+    changes = spark.createDataFrame([(i, i % 4, datetime(2024, 1, 1)) for i in range(60)], "id long, part int, ts timestamp_ntz")
+    options = {"key": "id", "changed_at": "ts", "target": f"{db}.many", "column": "part", "values": [0, 1, "2", 3], "log_table": f"{db}.marks"}
+    done = incremental_load_partitions(spark, source=rows, changes=changes, **options)
+    assert {r["partition"]: (r["action"], r["rows_after"]) for r in done.collect()} == {f"part={p}": ("initial-load", 15) for p in range(4)}
+    done = incremental_load_partitions(spark, source=rows, changes=changes, **options)
+    assert {r["action"] for r in done.collect()} == {"skipped"}
+    more = changes.unionByName(spark.createDataFrame([(1, 1, datetime(2024, 1, 5))], "id long, part int, ts timestamp_ntz"))
+    done = incremental_load_partitions(spark, source=rows.where("id <> 1"), changes=more, **options)
+    assert {r["partition"]: r["action"] for r in done.collect()} == {"part=0": "skipped", "part=1": "incremental-load", "part=2": "skipped",
+                                                                     "part=3": "skipped"}
+    assert spark.table(f"{db}.many").count() == 59

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import plan, values
 from tablehaul import (DryRun, LoadError, bulk_import, consolidate, consolidate_partitions, fan_out, load_tables,
                        run_sql_steps, transfer, validate_extract)
-from tablehaul.operators.schema import table_exists
+from tablehaul.operators.schema import as_schema, table_exists
 
 SCHEMA = "uuid varchar(38), name varchar(100), description varchar(1000)"
 
@@ -83,7 +83,7 @@ def test_dry_run_loads_nothing_and_reports(spark, db):
     text = spark.createDataFrame([("1", "short"), ("x", "short"), (None, "far too long"), ("2", "fits     ")],
                                  "k string, name string")
     with pytest.raises(DryRun) as run:
-        bulk_import(spark, text, f"{db}.t", schema="k int, name varchar(5)", test_only=True)
+        bulk_import(spark, text, f"{db}.t", schema="k int, name varchar(5)", test_only=True, convert=True)
     assert values(run.value.summary) == [(4, 2, 1, 1)]
     assert [tuple(r.failing_columns) for r in run.value.failing.orderBy("k").collect()] == [("name",), ("k",)]
     assert not table_exists(spark, f"{db}.t")
@@ -171,3 +171,24 @@ def test_incremental_job_with_extra_columns_and_a_source_of_two_marks(spark, db,
     for more in ({}, {"partition": ("name", "x")}):
         with pytest.raises(LoadError):
             bulk_import(spark, rows, f"{db}.u", schema=schema, **more)
+
+
+@pytest.mark.parametrize("convert", [False, True])
+@pytest.mark.parametrize("rows,kinds", [
+    ([("1", "ok"), ("2", "ok")], "k string, name string"), ([("x", "ok")], "k string, name string"), ([(1, "ok")], "k int, name string"),
+    ([(2**40, "ok")], "k long, name string"), ([(1, "much too long")], "k int, name string"), ([(True, "ok")], "k boolean, name string"),
+    ([("a" * 9, "b" * 9)], "aa string, bb string"), ([(1, 5)], "k int, name int")])
+def test_dry_run_and_load_agree(spark, db, convert, rows, kinds):
+    """By position, as a load without partition takes its columns."""
+    from tablehaul.operators.validate import refused_columns
+
+    extract, schema = spark.createDataFrame(rows, kinds), "k int, name varchar(5)"
+    with pytest.raises(DryRun) as run:
+        bulk_import(spark, extract, f"{db}.agree", schema=schema, test_only=True, convert=convert)
+    fits = run.value.summary.first()["rows_failing"] == 0 and not refused_columns(extract, schema and as_schema(schema), "position", convert)
+    try:
+        bulk_import(spark, extract, f"{db}.agree", schema=schema, convert=convert)
+        loaded = True
+    except Exception:
+        loaded = False
+    assert loaded == fits

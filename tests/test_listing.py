@@ -94,3 +94,23 @@ def test_dates_do_not_depend_on_the_session_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [want for _, want in DATES]
+
+
+def page(marker, blobs, following=""):
+    return marker, f"<E><Blobs>{blobs}</Blobs><NextMarker>{following}</NextMarker></E>"
+
+
+def test_incomplete_listings_stop_and_repeats_count_once(spark, db):
+    first, second = page(None, "<Blob><Name> a </Name></Blob>", "m"), page("m", "<Blob><Name>b</Name><X><Y><De-Ep>d</De-Ep></Y></X></Blob>")
+    kind, table = "marker_in string, xml string", f"{db}.blobs"
+    load_blob_listing(spark, spark.createDataFrame([first, second, second, first], kind), table, "name string, de_ep string")
+    assert values(spark.table(table)) == [(" a ", None), ("b", "d")]
+    for pages in ([], [second], [first]):
+        with pytest.raises(LoadError):
+            load_blob_listing(spark, spark.createDataFrame(pages, kind), table, "name string, de_ep string")
+    assert spark.table(table).count() == 2
+
+
+def test_numeric_offsets(spark):
+    dates = spark.createDataFrame([("Mon, 01 Jan 2024 10:00:00 +0200",), ("Mon, 01 Jan 2024 10:00:00 GMT",)], "t string")
+    assert [r[0] for r in dates.select(parse_http_date("t")).collect()] == [datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 10)]

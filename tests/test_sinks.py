@@ -211,3 +211,21 @@ def test_reading_one_partition_reads_only_its_files(spark, db):
     text = plan(one_partition)
     assert "PartitionFilters: [isnotnull(p" in text and "ReadSchema: struct<k:int>" in text
     assert len(one_partition.inputFiles()) < len(spark.table(table).inputFiles())
+
+
+@pytest.mark.parametrize("managed", [False, True])
+def test_a_table_below_anothers_location_survives(spark, db, tmp_path, managed):
+    outer = f"{db}.outer_one"
+    spark.sql(f"CREATE TABLE {outer} (id INT) USING parquet" + ("" if managed else f" LOCATION '{tmp_path}/ext'"))
+    where = spark.sql(f"DESCRIBE EXTENDED {outer}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"CREATE TABLE {db}.inner_one (id INT) USING parquet LOCATION '{where}/inner'")
+    spark.sql(f"INSERT INTO {outer} VALUES (1)")
+    spark.sql(f"INSERT INTO {db}.inner_one VALUES (2)")
+    sinks.replace_table(spark, spark.createDataFrame([(3,)], "id int"), outer)
+    assert values(spark.table(outer)) == [(3,)] and values(spark.table(f"{db}.inner_one")) == [(2,)]
+
+
+def test_partition_values_given_as_text(spark, db):
+    rows = spark.createDataFrame([(1, 7), (2, 7), (3, 8)], "id int, part int")
+    done = sinks.replace_partitions(spark, rows, f"{db}.texts", "part", ["07", "8"], schema="id int, part int")
+    assert values(done, "partition", "rows_after") == [("part=7", 2), ("part=8", 1)]

@@ -153,9 +153,18 @@ def _tree(spark, sf):
     return materialize(region.unionByName(nation).unionByName(customer).unionByName(orders), "history")
 
 
+def _numbers(path):
+    return F.array_join(F.transform(path, lambda p: p["sequence_num"].cast("string")), "/")
+
+
+def _tied(spark, sf):
+    """The same tree with step numbers that repeat among the children of a run."""
+    return _tree(spark, sf).withColumn("sequence_num", F.col("sequence_num") % 3)
+
+
 @query(f"{WALK_SQL} SELECT uuid, root_uuid, depth, path FROM walk")
 def history_tree(spark, sf):
-    return runs.tree(_tree(spark, sf)).select("uuid", "root_uuid", "depth", F.array_join("path", "/").alias("path"))
+    return runs.tree(_tree(spark, sf)).select("uuid", "root_uuid", "depth", _numbers("path").alias("path"))
 
 
 @query(f"{WALK_SQL} SELECT uuid, root_uuid FROM walk")
@@ -204,3 +213,38 @@ def history_remaining(spark, sf):
 @query(_REMAINING_SQL + " AND root_uuid = 'r1'")
 def history_remaining_of_run(spark, sf):
     return runs.remaining(_tree(spark, sf), "r1").select("uuid", "root_uuid", "status")
+
+
+_RUN_SQL = f"""WITH RECURSIVE {NODES_SQL}, walk AS (
+  SELECT uuid, parent, status, 0 AS depth, CAST(seq % 3 AS VARCHAR) || ' ' || uuid AS path FROM nodes WHERE uuid = 'r1'
+  UNION ALL
+  SELECT n.uuid, n.parent, n.status, w.depth + 1, w.path || '/' || CAST(n.seq % 3 AS VARCHAR) || ' ' || n.uuid
+  FROM nodes n JOIN walk w ON n.parent = w.uuid)"""
+
+
+@query(f"{_RUN_SQL} SELECT uuid, 'r1' AS root_uuid, depth, path FROM walk")
+def history_tree_of_run(spark, sf):
+    named = F.transform("path", lambda p: F.concat(p["sequence_num"].cast("string"), F.lit(" "), p["uuid"]))
+    return runs.tree(_tied(spark, sf), "r1").select("uuid", "root_uuid", "depth", F.array_join(named, "/").alias("path"))
+
+
+@query(f"""
+{_RUN_SQL} SELECT 'r1' AS root_uuid, count(*) FILTER (depth > 0 AND status IN ('SUCCEEDED', 'FAILED', 'ABORTED')) AS complete,
+       count(*) FILTER (depth > 0) AS total FROM walk
+""")
+def history_progress_of_run(spark, sf):
+    return runs.progress(_tied(spark, sf), "r1")
+
+
+@query(f"""
+{_RUN_SQL}, causes AS (
+  SELECT uuid FROM walk WHERE status = 'FAILED'
+  AND uuid NOT IN (SELECT parent FROM walk WHERE status = 'FAILED' AND parent IS NOT NULL AND uuid <> 'r1')),
+down AS (
+  SELECT w.uuid, w.uuid IN (SELECT uuid FROM causes) AS cause, false AS below FROM walk w WHERE uuid = 'r1'
+  UNION ALL
+  SELECT n.uuid, n.uuid IN (SELECT uuid FROM causes), d.below OR d.cause FROM walk n JOIN down d ON n.parent = d.uuid)
+SELECT uuid FROM down WHERE cause AND NOT below
+""")
+def history_failures_of_run(spark, sf):
+    return runs.leaf_failures(_tied(spark, sf), "r1").select("uuid")

@@ -51,13 +51,32 @@ def listing_rows(spark, sf):
 
 
 @query("""
-SELECT DISTINCT 'm' || CAST(page_id // 10 AS VARCHAR) AS marker FROM pages WHERE page_id // 10 IN (2, 3)
+SELECT DISTINCT 'm' || CAST(page_id // 10 AS VARCHAR) AS marker FROM pages WHERE page_id // 10 = 2
 """)
 def listing_missing_pages(spark, sf):
-    fetched = _listing(spark, sf).where("marker_in IS NULL OR marker_in NOT IN ('m2', 'm3')")
-    # The page before each gap announces it; the first page of the gap hides what follows, so ask for both announcers.
-    announced = _listing(spark, sf).where("marker_in = 'm2'").select(F.lit("again").alias("marker_in"), "xml")
-    return missing_pages(fetched.unionByName(announced))
+    """Two neighbouring pages are missing; only the first of them is announced by a page that was fetched."""
+    return missing_pages(_listing(spark, sf).where("marker_in IS NULL OR marker_in NOT IN ('m2', 'm3')"))
+
+
+@query("""
+SELECT 'page-' || CAST(page_id AS VARCHAR) AS name, length(html) AS content_length, ' ' || CAST(page_id AS VARCHAR) || ' ' AS deep
+FROM pages
+""")
+def listing_deep_fields(spark, sf):
+    """A field three levels down, with blanks around it."""
+    deeper = F.expr(r"regexp_replace(xml, '<Name>page-(\\d+)</Name>', '<Name>page-$1</Name><Tags><TagSet><Deep> $1 </Deep></TagSet></Tags>')")
+    table = target(spark)
+    load_blob_listing(spark, _listing(spark, sf).withColumn("xml", deeper), table, "name string, content_length bigint, deep string")
+    return spark.table(table)
+
+
+@query("SELECT 'page-' || CAST(page_id AS VARCHAR) AS name, url FROM pages")
+def listing_repeated_pages(spark, sf):
+    """Every page is given twice and counts once."""
+    table = target(spark)
+    pages = _listing(spark, sf)
+    load_blob_listing(spark, pages.unionByName(pages), table, "name string, url string")
+    return spark.table(table)
 
 
 @query("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablehaul.plans.jobs import bulk_import
+from tablehaul.streaming import incremental_load_partitions
 from workload.registry import given, query, target
 
 SCHEMA = "c_custkey bigint, c_name varchar(100), c_acctbal double, message varchar(20), partition_num int"
@@ -124,3 +125,48 @@ def incremental_per_partition(spark, sf):
     _refresh(spark, table, far, changes, 2)
     _refresh(spark, table, near, changes, 1)
     return spark.table(table)
+
+
+_NATION_CHANGED = """(SELECT c_nationkey AS nation, user_id, ts FROM events JOIN customer ON c_custkey = user_id
+  WHERE c_nationkey % 5 <> 0 OR ts <= TIMESTAMP '2024-01-15 00:00:00')"""
+
+
+@query(f"""
+WITH log AS {_NATION_CHANGED},
+mark AS (SELECT nation, max(ts) FILTER (ts <= TIMESTAMP '2024-01-15 00:00:00') AS before, max(ts) AS latest FROM log GROUP BY nation),
+moved AS (SELECT DISTINCT log.nation, user_id FROM log JOIN mark USING (nation) WHERE latest > before AND ts >= before)
+SELECT c_custkey, c_name, CASE WHEN user_id IS NULL AND before IS NOT NULL THEN c_acctbal ELSE c_acctbal + 1 END AS c_acctbal,
+       CASE WHEN user_id IS NULL OR before IS NULL THEN 'initial-load' ELSE 'incremental-load' END AS message, c_nationkey AS nation
+FROM customer LEFT JOIN mark ON mark.nation = c_nationkey
+LEFT JOIN moved ON user_id = c_custkey AND moved.nation = c_nationkey
+WHERE (user_id IS NULL AND before IS NOT NULL) OR c_custkey % 7 <> 0
+""")
+def incremental_many_partitions(spark, sf):
+    """25 partitions refreshed at once: some without changes, some without a mark, others with changed and deleted rows."""
+    table = target(spark)
+    customers = given(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", F.col("c_nationkey").alias("nation"))
+    changes = given(spark, sf, "events").join(customers, F.col("user_id") == F.col("c_custkey")).select("c_custkey", "ts", "nation")
+    changes = changes.where(f"nation % 5 <> 0 OR {FIRST}")
+    options = {"key": "c_custkey", "changed_at": "ts", "target": table, "column": "nation", "values": list(range(25)),
+               "log_table": f"{table}_log", "mark": "message"}
+    incremental_load_partitions(spark, source=customers, changes=changes.where(FIRST), **options)
+    later = customers.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_custkey % 7 <> 0")
+    incremental_load_partitions(spark, source=later, changes=changes, **options)
+    return spark.table(table).select("c_custkey", "c_name", "c_acctbal", "message", "nation")
+
+
+@query(f"""
+SELECT 'Key-' || CAST(c_custkey AS VARCHAR) AS code, CASE WHEN {CHANGED} THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, 1 AS part
+FROM customer
+""")
+def incremental_ignoring_case(spark, sf):
+    """Rows and change log write their text keys differently."""
+    from tablehaul.streaming import incremental_load
+
+    table = target(spark)
+    rows = given(spark, sf, "customer").select(F.concat(F.lit("Key-"), F.col("c_custkey").cast("string")).alias("code"), "c_acctbal")
+    changes = given(spark, sf, "events").select(F.concat(F.lit("KEY-"), F.col("user_id").cast("string")).alias("code"), "ts")
+    options = {"key": "code", "changed_at": "ts", "target": table, "partition": ("part", 1), "log_table": f"{table}_log", "ignore_case": True}
+    incremental_load(spark, source=rows, changes=changes.where(FIRST), **options)
+    incremental_load(spark, source=rows.withColumn("c_acctbal", F.col("c_acctbal") + 1), changes=changes, **options)
+    return spark.table(table)

@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tablehaul.functions import clip_message, contains_text, field_rank, label, starts_with_text
+from tablehaul.operators.schema import describe_query
 from tablehaul.operators.shape import (flatten_json, lookup_any_key, lookup_priority, with_extra_columns, with_tags)
 from tablehaul.sources import extract, read_table, run_context, staged_extract, substitute
-from tablehaul.streaming import changed_keys, delta, in_window, previous_watermarks
+from tablehaul.streaming import changed_keys, delta, in_window, new_watermark, previous_watermarks
 from workload.registry import given, query, views
 
 FROM, UNTIL = datetime(2024, 1, 10), datetime(2024, 1, 12)
@@ -156,7 +157,8 @@ def delete_by_join(spark, sf):
 
 @query("SELECT max(ts) AS watermark FROM events")
 def max_watermark(spark, sf):
-    return given(spark, sf, "events").agg(F.max("ts").alias("watermark"))
+    mark = new_watermark(given(spark, sf, "events"), "ts")
+    return spark.createDataFrame([(mark,)], "watermark timestamp_ntz")
 
 
 @query("""
@@ -266,3 +268,28 @@ def scalar_text(spark, sf):
         label(F.nullif(lang, F.lit("en")), source).alias("label"),
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit("@"), source).alias("tag"),
         field_rank(source, "web", "news").alias("place"), F.nvl(lang, F.lit("none")).alias("lang_or_none"))
+
+
+@query("""
+SELECT c_custkey, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def lookup_ignoring_case(spark, sf):
+    """Nations are asked for by names written in lower case."""
+    nation = given(spark, sf, "nation")
+    facts = given(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", F.lower("n_name").alias("asked_for"))
+    found = lookup_any_key(facts, nation, "asked_for", ["n_name", "n_nationkey"], "n_regionkey", ignore_case=True)
+    return found.select("c_custkey", "n_regionkey")
+
+
+@query("""
+SELECT * FROM (VALUES (1, 'o_orderkey', 'bigint'), (2, 'priority', 'string')) d(pos, name, type),
+LATERAL (SELECT count(CASE d.name WHEN 'o_orderkey' THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderpriority END) AS values_held FROM orders)
+""")
+def describe_query_of_orders(spark, sf):
+    """The columns a query would return, with the number of values each holds."""
+    views(spark, sf, "orders")
+    text = "SELECT o_orderkey, o_orderpriority AS priority FROM orders"
+    rows = spark.sql(text)
+    held = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "name", "values_held")
+    return describe_query(spark, text).join(held, "name")
