@@ -35,9 +35,11 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 #: Elements whose text is never main text.
 _NOT_CONTENT = frozenset("head title nav header footer aside form button menu dialog".split())
 #: Words in class, id or role that name such a part.
-_PART = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|widget|ads?|advert\w*"
-                   r"|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|signup|social|share"
-                   r"|sharing|related|recommended|comments?|disqus|replies|pagination|pager|toolbar|search|login)(?:$|[\s_-])", re.I)
+_PART = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu\w*|breadcrumbs?|header|masthead|footer|side-?bar\w*|widgets?|ads?|advert\w*"
+                   r"|banner|sponsor\w*|promo\w*|cookie\w*|consent|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup"
+                   r"|social|share|sharing|related|recommended|comment\w*|disqus|reply|replies|pagination|pager|toolbar|search|login"
+                   r"|contentinfo|complementary)(?:$|[\s_-])", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _MAIN = frozenset(["article", "main"])
 #: What a start tag ends without an end tag of its own.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -108,7 +110,7 @@ def parse(page: str | None) -> Node:
                 break
         names = " ".join(next(filter(None, m.groups()), "") for m in _NAMES.finditer(attributes)) if attributes else ""
         skipped = stack[-1].skipped or tag in _NOT_CONTENT or bool(
-            tag not in ("html", "body") and (tag not in _MAIN and names and _PART.search(names)
+            tag not in ("html", "body") and (tag not in _MAIN and names and _PART.search(_CAMEL.sub("-", names))
                                              or attributes and _HIDDEN.search(attributes)))
         node = Node(f"{tag}.{names}" if names else tag, skipped)
         stack[-1].children.append(node)
