@@ -90,7 +90,7 @@ _BELOW = """coalesce(
 # Each step replaces the containers found so far by what they hold. A value needs at most as many steps as it has
 # opening brackets.
 _DEEPER = f"""
-if({_CONTAINER.format(v='_v')}, aggregate(
+if(NOT _leaf AND {_CONTAINER.format(v='_v')}, aggregate(
   sequence(1, length(regexp_replace(cast(_v AS string), '[^\\\\[{{]', ''))),
   named_struct('open', array(named_struct('path', _path, 'v', _v)),
                'leaves', cast(array() AS array<struct<path: string, v: variant>>)),
@@ -103,16 +103,18 @@ if({_CONTAINER.format(v='_v')}, aggregate(
 
 
 def _open_one_level(rows: DataFrame, id_col: str) -> DataFrame:
-    inside = rows.sparkSession.tvf.variant_explode_outer(F.col("_v").outer()).toDF("_pos", "_key", "_value")
-    path = (F.when(F.col("_pos").isNull(), F.col("_path"))
+    """Containers are replaced by what they hold; what turned out to be a leaf is marked and not looked into again."""
+    inside = rows.sparkSession.tvf.variant_explode_outer(F.when(~F.col("_leaf"), F.col("_v")).outer()).toDF("_pos", "_key", "_value")
+    nothing = F.col("_pos").isNull()
+    path = (F.when(nothing, F.col("_path"))
             .when(F.col("_key").isNull(), F.concat("_path", F.lit("["), F.col("_pos"), F.lit("]")))
             .when(F.col("_path") == "", F.col("_key"))
             .otherwise(F.concat("_path", F.lit("."), F.col("_key"))))
-    # A value with nothing inside stays as it is: a leaf, or an empty container, which has no leaves.
-    value = F.when(F.col("_pos").isNull(), F.col("_v")).otherwise(F.col("_value"))
-    empty = F.col("_pos").isNull() & F.expr(_CONTAINER.format(v="_v"))
+    value = F.when(nothing, F.col("_v")).otherwise(F.col("_value"))
+    # Nothing inside: a leaf, or an empty container, which has no leaves.
+    empty = nothing & ~F.col("_leaf") & F.expr(_CONTAINER.format(v="_v"))
     return (rows.lateralJoin(inside).where(~empty)
-            .select(id_col, path.alias("_path"), value.alias("_v")))
+            .select(id_col, path.alias("_path"), value.alias("_v"), (F.col("_leaf") | nothing).alias("_leaf")))
 
 
 def flatten_json(df: DataFrame, id_col: str, json_col: str, *, text_only: bool = False,
@@ -123,11 +125,11 @@ def flatten_json(df: DataFrame, id_col: str, json_col: str, *, text_only: bool =
     it is to be skipped. Runs inside the scan's tasks without a shuffle.
     """
     parse = "try_parse_json" if skip_malformed else "parse_json"
-    rows = (df.select(F.col(id_col), F.lit("").alias("_path"), F.expr(f"{parse}(`{json_col}`)").alias("_v"))
+    rows = (df.select(F.col(id_col), F.lit("").alias("_path"), F.expr(f"{parse}(`{json_col}`)").alias("_v"), F.lit(False).alias("_leaf"))
             .where(F.col("_v").isNotNull()))
     for _ in range(_FAST_LEVELS):
         rows = _open_one_level(rows, id_col)
-    deep = F.expr(_CONTAINER.format(v="_v"))
+    deep = ~F.col("_leaf") & F.expr(_CONTAINER.format(v="_v"))
     leaves = (rows.select("*", F.expr(f"inline_outer({_DEEPER})")).where(~deep | F.col("path").isNotNull())
               .select(id_col, F.coalesce("path", "_path").alias("path"), F.coalesce("v", "_v").alias("v")))
     if text_only:

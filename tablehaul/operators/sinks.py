@@ -195,10 +195,12 @@ def partition_text(value: object) -> str:
 def typed_values(spark: SparkSession, schema: StructType, column: str, values: Sequence[object]) -> list[object]:
     """Partition values in the column's own type, so that the text ``07`` means the number 7."""
     kind = next(f.dataType for f in schema.fields if f.name.lower() == column.lower())
-    rows = spark.range(1).select([F.lit(v).cast(kind) for v in values]).first() if values else ()
-    if any(v is None for v in rows):
-        raise LoadError(f"Not values of the partition column {column}: {[v for v, r in zip(values, rows, strict=True) if r is None]}")
-    return list(rows)
+    texts = spark.createDataFrame([(i, partition_text(v)) for i, v in enumerate(values)], "i int, v string")
+    found = dict(texts.select("i", F.col("v").try_cast(kind)).collect())
+    wrong = [v for i, v in enumerate(values) if found[i] is None]
+    if wrong:
+        raise LoadError(f"Not values of the partition column {column}: {wrong}")
+    return [found[i] for i in range(len(values))]
 
 
 def partition_exists(spark: SparkSession, table: str, column: str, value: object) -> bool:

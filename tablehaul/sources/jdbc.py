@@ -63,15 +63,15 @@ def _subquery(query: str) -> str:
 
 def read_jdbc(spark: SparkSession, source: dict[str, str], query: str, *, context: str | None = None,
               fetch_size: int | None = None, ranges: Ranges | None = None,
-              predicates: Sequence[str] | None = None) -> DataFrame:
+              predicates: Sequence[str] | None = None, single: bool = False) -> DataFrame:
     """Rows of a query on a database.
 
-    ``context`` runs first in each connection. A single connection reads the rows unless the read is split by
-    ``ranges``, or by ``predicates``: conditions that together cover every row once, for a column whose values are too
-    uneven for equal ranges.
+    ``context`` runs first in each connection. A read is split by ``ranges``, or by ``predicates``: conditions that
+    together cover every row once, for a column whose values are too uneven for equal ranges. One connection, and so one
+    task, reads everything only where ``single`` says so.
     """
-    if ranges is not None and predicates is not None:
-        raise LoadError("Split a read by ranges or by predicates, not both")
+    if (ranges is not None) + (predicates is not None) + single != 1:
+        raise LoadError("Split a read by ranges or by predicates, or say that a single connection will do")
     options = dict(source)
     if context:
         options["sessionInitStatement"] = context

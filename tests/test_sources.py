@@ -64,7 +64,7 @@ class Recorder:
 
 def test_one_connection_streams_from_mysql():
     spark = Recorder()
-    read_jdbc(spark, jdbc_options("mysql", "h", 1, "d"), "select 1;", context="set @a = 1")
+    read_jdbc(spark, jdbc_options("mysql", "h", 1, "d"), "select 1;", context="set @a = 1", single=True)
     assert spark.seen["dbtable"] == "(select 1) extract_rows"
     assert spark.seen["fetchsize"] == "-2147483648" and spark.seen["sessionInitStatement"] == "set @a = 1"
     assert spark.seen["preferTimestampNTZ"] == "true"
@@ -83,6 +83,8 @@ def test_split_reads():
     assert spark.seen["predicates"] == ["id = 7", "id <> 7", "id is null"]
     with pytest.raises(LoadError):
         read_jdbc(spark, source, "select 1", ranges=Ranges("id", 2), predicates=["true"])
+    with pytest.raises(LoadError):
+        read_jdbc(spark, source, "select 1")
 
 
 def test_write_options():
