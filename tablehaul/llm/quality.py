@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import mapped, rows_of, saved, text_hash
+from tablehaul.llm.common import least_hashed, mapped, rows_of, saved, text_hash
 
 #: Characters that count as symbols, and the width of the windows whose repeats are counted (fixed by the contract).
 SYMBOLS = "#*$%&|<>"
@@ -206,10 +206,9 @@ def learn_rules(stats: DataFrame, labels: DataFrame, most_labelled: int = 20_000
     """
     marked = labels.select(F.col(key).cast("long").alias("key"), F.col(label).alias("_label")).filter(
         F.col("_label").isin(0, 1))
-    found = (stats.filter(~base_failed()).join(marked, "key")
-             .select("_label", F.xxhash64("key").alias("_order"), *[F.expr(f"double({e})").alias(f)
-                                                                     for f, e in FEATURES.items()])
-             .orderBy("_order", "_label").limit(most_labelled).toPandas())
+    labelled = saved(stats.filter(~base_failed()).join(marked, "key").select(
+        "key", "text_hash", "_label", *[F.expr(f"double({e})").alias(f) for f, e in FEATURES.items()]), "labelled")
+    found = least_hashed(labelled, ["key", "text_hash", "_label"], most_labelled).toPandas()
     x = {f: found[f].to_numpy(float) for f in FEATURES}
     return learn(x, (found["_label"] == 0).to_numpy()) if len(found) else []
 
