@@ -12,8 +12,8 @@ import re
 import struct
 from functools import lru_cache
 
-#: Entries of each cache before it is emptied; about 170 MB for both.
-CACHE_WORDS = 500_000
+#: Entries of each cache before it is emptied; about 140 MB for both.
+CACHE_WORDS = 400_000
 
 # The pre-tokenization rule of the public vocabulary, for words that hold nothing but ASCII and the letters À to ÿ.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
