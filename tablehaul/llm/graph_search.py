@@ -132,7 +132,7 @@ def build_index(vectors: DataFrame, k: int = 20, shard_size: int = 4096, degree:
     No more keys are needed of a vector: rows that share one are equally near everything. Shards hold vectors of one
     length only.
     """
-    rows = usable(vectors, key, vector)
+    rows = usable(vectors, key, vector).dropDuplicates(["key", "vector"])
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("vector").orderBy("key"))).filter(
         F.col("_rank") <= k + 1)
     nodes = saved(ranked.groupBy("vector").agg(F.sort_array(F.collect_list("key")).alias("owners")), "nodes")

@@ -65,3 +65,14 @@ def test_few_and_none(spark):
     assert nearest(vectors(spark, [])).count() == 0 and nearest(vectors(spark, [(20, [1.0, 0.0])])).count() == 0
     got = nearest(vectors(spark, [(20, [1.0, 0.0]), (1, [2.0, 1.0]), (2, [2.0, 5.0]), (20, [1.0, 0.0])])).collect()
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1, 2.0), (2, 2, 2.0)]
+
+
+def test_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.normal(size=6).round(2).tolist()) for i in range(1, 60)]
+    rows += [(100 + i, [4.0, 1.0, 1.0, 1.0, 1.0, 1.0]) for i in range(3)]
+    want = exact(rows, 20, 20)
+    got = {}
+    for r in nearest(vectors(spark, rows * 3 + [rows[-3]] * 25), 20, 20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert {q: [i for _, i in sorted(found)] for q, found in got.items()} == {q: [i for i, _ in near] for q, near in want.items()}
