@@ -5,7 +5,8 @@ a greedy search from the entry point proposes neighbours for every node, relaxed
 them, edges run both ways, and nodes with too many are pruned again (Subramanya et al., "DiskANN", 2019). A query goes
 through every shard with a beam search, in blocks of queries that step together, and the best of all shards are kept.
 
-Inner products are turned into distances by one more coordinate that lifts all nodes of a shard to the same length.
+Inner products are turned into distances by one more coordinate that lifts all nodes of a shard to the same length. Shards
+hold vectors of like length and work in double precision, so a long vector does not drown the differences of short ones.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def beam(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray,
     squared distances (-1 and infinity where there are fewer). Queries walk together, one expanded node each per step."""
     n, m = len(points), len(queries)
     ids = np.full((m, width), -1, np.int64)
-    far = np.full((m, width), np.inf, np.float32)
+    far = np.full((m, width), np.inf)
     done = np.ones((m, width), bool)
     seen = np.zeros((m, n), bool)
     ids[:, 0], done[:, 0], seen[:, entry] = entry, False, True
@@ -49,7 +50,7 @@ def beam(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray,
         fresh = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
         row, column = np.nonzero(fresh)
         seen[live[row], near[row, column]] = True
-        spread = np.where(fresh, _distances(queries[live], points, np.maximum(near, 0)), np.inf).astype(np.float32)
+        spread = np.where(fresh, _distances(queries[live], points, np.maximum(near, 0)), np.inf)
         all_ids = np.concatenate([ids[live], near], axis=1)
         all_far = np.concatenate([far[live], spread], axis=1)
         all_done = np.concatenate([done[live], ~fresh], axis=1)
@@ -112,9 +113,11 @@ def build(points: np.ndarray, degree: int, width: int, slack: float, seed: int,
 
 
 def lifted(vectors: np.ndarray) -> np.ndarray:
-    """One more coordinate, so that all have the longest vector's length and nearest means largest inner product."""
-    square = (vectors.astype(np.float64) ** 2).sum(1)
-    return np.concatenate([vectors, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], axis=1).astype(np.float32)
+    """The vectors scaled to at most 1 and one more coordinate, so that all have the longest one's length and nearest means
+    largest inner product."""
+    scaled = vectors.astype(np.float64) / np.abs(vectors).max()
+    square = (scaled ** 2).sum(1)
+    return np.concatenate([scaled, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], axis=1)
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -130,17 +133,18 @@ def build_index(vectors: DataFrame, k: int = 20, shard_size: int = 4096, degree:
     """One row per shard: its distinct vectors, the ``k`` + 1 smallest keys of each, and its graph.
 
     No more keys are needed of a vector: rows that share one are equally near everything. Shards hold vectors of one
-    length only.
+    dimension only, whose largest numbers are within a factor of 2**16 of each other.
     """
     rows = usable(vectors, key, vector).dropDuplicates(["key", "vector"])
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("vector").orderBy("key"))).filter(
         F.col("_rank") <= k + 1)
     nodes = saved(ranked.groupBy("vector").agg(F.sort_array(F.collect_list("key")).alias("owners")), "nodes")
-    lengths = {r["dim"]: blocks_for(r["count"], shard_size) for r in
-               nodes.groupBy(F.size("vector").alias("dim")).count().collect()}
-    dims, shard, base = F.size("vector"), F.lit(0), 0
-    for dim, shards in sorted(lengths.items()):
-        shard = F.when(dims == dim, F.pmod(F.xxhash64("vector"), F.lit(shards)) + base).otherwise(shard)
+    dims, band = F.size("vector"), F.floor((F.log2(F.array_max(F.transform("vector", F.abs))) + 8) / 16)
+    lengths = {(r["dim"], r["band"]): blocks_for(r["count"], shard_size) for r in
+               nodes.groupBy(dims.alias("dim"), band.alias("band")).count().collect()}
+    shard, base = F.lit(0), 0
+    for (dim, level), shards in sorted(lengths.items()):
+        shard = F.when((dims == dim) & (band == level), F.pmod(F.xxhash64("vector"), F.lit(shards)) + base).otherwise(shard)
         base += shards
 
     def graph(key: tuple, table: pa.Table) -> pa.Table:
@@ -176,7 +180,7 @@ def _search(k: int, width: int, block: int):
                 for at in range(0, len(keys), block):
                     queries = all_queries[at:at + block]
                     ids, _ = beam(points, edges, row["entry"], np.concatenate(
-                        [queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32), width)
+                        [queries / np.abs(queries).max(1, keepdims=True), np.zeros((len(queries), 1))], axis=1), width)
                     score = np.einsum("qd,qwd->qw", queries, exact[np.maximum(ids, 0)])
                     who, place = np.nonzero(ids >= 0)
                     first = np.where(ids[who, place] > 0, ends[ids[who, place] - 1], 0)

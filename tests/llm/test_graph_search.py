@@ -76,3 +76,16 @@ def test_repeated_rows_count_once(spark):
     for r in nearest(vectors(spark, rows * 3 + [rows[-3]] * 25), 20, 20).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
     assert {q: [i for _, i in sorted(found)] for q, found in got.items()} == {q: [i for i, _ in near] for q, near in want.items()}
+
+
+def test_one_long_vector_hides_no_other(spark):
+    rng = np.random.default_rng(9)
+    unit = rng.normal(size=(800, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(unit)]
+    rows += [(2001, [1e4 * x for x in rows[5][1]]), (2002, [1e20 * x for x in rows[9][1]]), (2003, [200 * x for x in rows[11][1]])]
+    want, got = exact(rows, 20, 20), {}
+    for r in nearest(vectors(spark, rows), 20, 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(got[q] & {j for j, _ in near}) for q, near in want.items())
+    assert hits >= 0.97 * sum(map(len, want.values()))
