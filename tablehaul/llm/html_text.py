@@ -223,7 +223,7 @@ _ALIGNED = "page_id long, url string, host string, evidence boolean, slots array
 
 def _aligned_page(page: str | None, reference: Node | None):
     """Of a page's runs that may be content: slots in the reference (-1: none), whether the text is the reference's, and the
-    texts; and whether the page says anything about the template, as copies of the reference do not."""
+    texts; and whether the page says anything about the template, as it does with any run that is not the reference's."""
     tree = parse(page)
     runs = [n for n in texts(tree) if not n.skipped]
     same: dict[int, bool] = {}
@@ -231,9 +231,8 @@ def _aligned_page(page: str | None, reference: Node | None):
         for mine, there in align(tree, reference):
             mine.slot = there.slot
             same[there.slot] = zlib.crc32(mine.text.encode("utf-8", "surrogatepass")) == there.text
-    alike = sum(len(n.text) for n in runs if n.slot >= 0 and same[n.slot])
-    return (reference is not None and 2 * alike < sum(len(n.text) for n in runs), [n.slot for n in runs],
-            [n.slot >= 0 and same[n.slot] for n in runs], [n.text for n in runs])
+    alike = [n.slot >= 0 and same[n.slot] for n in runs]
+    return reference is not None and not all(alike), [n.slot for n in runs], alike, [n.text for n in runs]
 
 
 def _align(shared):
@@ -276,7 +275,7 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.8, ho
     """``key``, ``url``, text (blocks joined by one newline, empty if none) and n_chars (code points) for every page.
 
     A slot is template when at least ``least_pages`` pages that differ from the host's reference page were aligned to it
-    and at least ``least_share`` of them say the same there. References of the ``hot_hosts`` hosts with the most
+    and at least ``least_share`` of them say the same there; pages with the same texts count as one page. References of the ``hot_hosts`` hosts with the most
     pages are sent to all tasks, as far as they have at most ``hot_tree_bytes`` (so at most 20 MB in all); all other hosts
     get theirs by a join. Pages without a host have no template. Null html gives an empty text, null keys and repeated
     rows are pages like others, an empty table gives no rows, and other columns are not read.
@@ -301,7 +300,9 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.8, ho
         far = rows.join(F.broadcast(hot_names), "host", "left_anti").join(cold, "host", "left").select(*rows.columns, "tree")
         aligned = mapped(near, _align(shared), _ALIGNED).unionByName(mapped(far, _align(None), _ALIGNED))
     aligned = saved(aligned, "aligned")
-    votes = aligned.filter("evidence").select("host", F.explode(F.arrays_zip("slots", "same")).alias("v")).filter("v.slots >= 0")
+    # Pages that repeat each other vote once.
+    voters = aligned.filter("evidence").select("host", F.xxhash64("texts").alias("content"), "slots", "same").distinct()
+    votes = voters.select("host", F.explode(F.arrays_zip("slots", "same")).alias("v")).filter("v.slots >= 0")
     template = votes.groupBy("host", "v.slots").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("v.same").cast("int")).alias("same"))
     template = saved(template.filter((F.col("n") >= least_pages) & (F.col("same") >= least_share * F.col("n")))
                      .groupBy("host").agg(F.collect_set("slots").alias("constant")), "template")

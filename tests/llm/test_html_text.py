@@ -75,3 +75,12 @@ def test_template_goes_and_varying_text_stays(spark):
         assert {r.page_id: r.text for r in got} == expected
         assert all(r.n_chars == len(r.text) for r in got) and len(got) == len(expected)
     assert extract(pages(spark, [])).count() == 0
+
+
+def test_long_boilerplate_is_template_and_repeated_pages_vote_once(spark):
+    long = "<div><p>" + "These words stand on every page of the site. " * 20 + "</p></div>"
+    rows = [(i, f"https://long.example.org/{i}", f"<body>{long}<div><p>Short story {i}</p></div></body>") for i in range(12)]
+    page = "<body><div><p>One story, word for word.</p></div><div><p>Version {}</p></div></body>"
+    rows += [(100 + i, f"https://few.example.org/{i}", page.format(i % 2)) for i in range(20)]
+    got = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
+    assert got == {i: f"Short story {i}" for i in range(12)} | {100 + i: f"One story, word for word.\nVersion {i % 2}" for i in range(20)}
