@@ -77,9 +77,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 #: The operators' queries in their order.
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_packing, op4_toxicity,
                                                      op5_html_text, op6_token_ids, op7_simhash, op8_nearest, op9_secrets,
-                                                     op10_sharding)}
+                                                     op10_sharding, op11_spelling_variants)}
 #: No operator of this package is stated in SQL: each is tested against a brute-force version.
 SQL: dict[str, str] = {}
