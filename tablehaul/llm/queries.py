@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablehaul.llm import hard_negatives, line_dedup
 from tablehaul.llm.common import table
 from tablehaul.workspace import shared_dir, unique
 
@@ -83,9 +85,22 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.line_dedup import line_digests
+
+    return line_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablehaul.llm.hard_negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 #: The operators' queries in their order.
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_packing, op4_toxicity,
                                                      op5_html_text, op6_token_ids, op7_simhash, op8_nearest, op9_secrets,
-                                                     op10_sharding, op11_spelling_variants)}
-#: No operator of this package is stated in SQL: each is tested against a brute-force version.
-SQL: dict[str, str] = {}
+                                                     op10_sharding, op11_spelling_variants, op12_line_dedup, op13_hard_negatives)}
+#: What SQL can state; the others are tested against a brute-force version.
+SQL: dict[str, str] = {"op12_line_dedup": line_dedup.SQL, "op13_hard_negatives": hard_negatives.SQL}

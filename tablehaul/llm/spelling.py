@@ -15,13 +15,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.blocks import beside
-from tablehaul.llm.common import blocks_for, least_hashed, mapped, saved
+from tablehaul.llm.common import least_hashed, lower_ascii, mapped, saved
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Stored words, queries that replace a letter, queries that insert one; each with the letters that may be gained and lost.
 STORED, REPLACE, INSERT = 0, 1, 2
 MOVES = {REPLACE: (1, 1), INSERT: (1, 0)}
@@ -29,11 +28,6 @@ MOVES = {REPLACE: (1, 1), INSERT: (1, 0)}
 BOX, CELLS = 48, 1 << 22
 
 
-def lower_ascii(text: Column) -> Column:
-    """A to Z in lower case, nothing else; ``lower`` does that, and faster, where all characters are ASCII."""
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-
-
 def words(docs: DataFrame, least_letters: int = 6, least_n: int = 5, every: int = 199, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``word`` and ``n`` for every word of at least that many letters that occurs that often in all texts together.
 
