@@ -7,12 +7,12 @@ from tablehaul.operators.sinks import (append_by_name, append_by_position, repla
                                        replace_table, write_jdbc)
 from tablehaul.operators.validate import validate_extract
 from tablehaul.plans.jobs import DryRun, bulk_import, load_blob_listing, run_sql_steps, transfer
-from tablehaul.sources import (Ranges, conform, extract, gate, jdbc_options, missing_pages, parse_listing, read_jdbc,
+from tablehaul.sources import (Ranges, conform, extract, gate, jdbc_options, listing_faults, missing_pages, parse_listing, read_jdbc,
                                read_table, scalar, staged_extract)
 from tablehaul.streaming.incremental import incremental_load, incremental_load_partitions
 
 __all__ = ["DryRun", "LoadError", "Ranges", "append_by_name", "append_by_position", "bulk_import", "conform",
            "consolidate", "consolidate_partitions", "create_like", "ensure_table", "extract", "fan_out", "gate",
-           "incremental_load", "incremental_load_partitions", "jdbc_options", "load_blob_listing", "load_tables", "missing_pages", "parse_listing", "read_jdbc",
+           "incremental_load", "incremental_load_partitions", "jdbc_options", "listing_faults", "load_blob_listing", "load_tables", "missing_pages", "parse_listing", "read_jdbc",
            "read_table", "replace_partition", "replace_partitions", "replace_table", "run_sql_steps", "scalar",
            "schema_diff", "staged_extract", "transfer", "validate_extract", "write_jdbc"]

@@ -33,19 +33,19 @@ def declared_type(field: StructField) -> str:
     return re.sub(r"\bchar\(", "varchar(", declared.lower())
 
 
-def _sql_type(kind: DataType) -> str:
+def sql_type(kind: DataType) -> str:
     """A type as SQL text, the names of nested fields quoted and in their own case."""
     if isinstance(kind, StructType):
-        return f"struct<{', '.join(f'`{f.name}`: {_sql_type(f.dataType)}' for f in kind.fields)}>"
+        return f"struct<{', '.join(f'`{f.name}`: {sql_type(f.dataType)}' for f in kind.fields)}>"
     if isinstance(kind, ArrayType):
-        return f"array<{_sql_type(kind.elementType)}>"
+        return f"array<{sql_type(kind.elementType)}>"
     if isinstance(kind, MapType):
-        return f"map<{_sql_type(kind.keyType)}, {_sql_type(kind.valueType)}>"
+        return f"map<{sql_type(kind.keyType)}, {sql_type(kind.valueType)}>"
     return kind.simpleString()
 
 
 def ddl_of(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {_sql_type(f.dataType) if isinstance(f.dataType, (StructType, ArrayType, MapType)) else declared_type(f)}"
+    return ", ".join(f"`{f.name}` {sql_type(f.dataType) if isinstance(f.dataType, (StructType, ArrayType, MapType)) else declared_type(f)}"
                      for f in schema.fields)
 
 

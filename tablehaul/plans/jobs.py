@@ -12,18 +12,24 @@ from tablehaul.errors import LoadError
 from tablehaul.operators.schema import as_schema, ensure_table, schema_of, table_exists
 from tablehaul.operators.shape import with_extra_columns
 from tablehaul.operators.sinks import (append_by_name, append_by_position, audit, replace_partition, replace_table)
-from tablehaul.operators.validate import converted, validate_extract
+from tablehaul.operators.validate import converted, refused_columns, validate_extract
 from tablehaul.sources.extract import gate, substitute
-from tablehaul.sources.listing import conform, missing_pages, parse_listing
+from tablehaul.sources.listing import blobs_of, conform, listing_faults, parse_pages
 from tablehaul.streaming.incremental import Source, incremental_load
+from tablehaul.workspace import intermediate
 
 
 class DryRun(LoadError):
-    """Raised by a load that was only to be tested; carries the summary and the failing rows."""
+    """Raised by a load that was only to be tested; carries the summary, the failing rows, and what makes the load fail whatever
+    the rows hold (``refused``, empty if nothing does)."""
 
-    def __init__(self, summary: DataFrame, failing: DataFrame):
-        super().__init__("Nothing was loaded: this was a test of the extract")
-        self.summary, self.failing = summary, failing
+    def __init__(self, summary: DataFrame, failing: DataFrame, refused: Sequence[str] = ()):
+        super().__init__("Nothing was loaded: this was a test of the extract" + "".join(f"; {r}" for r in refused))
+        self.summary, self.failing, self.refused = summary, failing, list(refused)
+
+
+def _tested(rows: DataFrame, wanted: StructType, by: str, convert: bool) -> DryRun:
+    return DryRun(*validate_extract(rows, wanted, by=by, convert=convert), refused_columns(rows, wanted, by, convert))
 
 
 def _shaped(rows: DataFrame, extra_columns: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -75,7 +81,7 @@ def bulk_import(spark: SparkSession, extract: Source, table: str, *, schema: Str
     rows = _shaped(extract if isinstance(extract, DataFrame) else extract(None, None), extra_columns)
     if test_only:
         wanted = schema if schema is not None else schema_of(spark, table) if table_exists(spark, table) else rows.schema
-        raise DryRun(*validate_extract(rows, wanted, by="name" if partition is not None else "position", convert=convert))
+        raise _tested(rows, wanted, "name" if partition is not None else "position", convert)
     if convert and schema is not None:
         rows = converted(rows, schema, by="name" if partition is not None else "position")
     if partition is not None:
@@ -99,7 +105,7 @@ def transfer(spark: SparkSession, extract: DataFrame, table: str, *, schema: Str
     rows = _shaped(extract, extra_columns)
     if test_only:
         wanted = schema if schema is not None else schema_of(spark, table) if table_exists(spark, table) else rows.schema
-        raise DryRun(*validate_extract(rows, wanted, convert=convert))
+        raise _tested(rows, wanted, "name", convert)
     if convert and schema is not None:
         rows = converted(rows, schema)
     if schema is None:
@@ -113,18 +119,19 @@ def transfer(spark: SparkSession, extract: DataFrame, table: str, *, schema: Str
 def load_blob_listing(spark: SparkSession, pages: DataFrame, table: str, schema: StructType | str) -> DataFrame:
     """Load fetched listing pages ``(marker_in, xml)`` into a table recreated with ``schema``.
 
-    The columns of the schema decide which fields are read. A listing without its first page (the one without a marker), or
-    with an announced page missing, stops the load before anything is written. A page given twice counts once.
+    The columns of the schema decide which fields are read. The pages have to be one chain of markers that begins with the page
+    without a marker: an announced page that is missing, a page that the chain does not reach, a chain that leads back to
+    an earlier page, or two different pages with one marker stop the load before anything is written. A page given twice counts once.
     """
     schema = as_schema(schema)
-    pages = pages.dropDuplicates(["marker_in"])
-    if pages.where(F.col("marker_in").isNull()).isEmpty():
-        raise LoadError("The listing is not whole: its first page is missing")
-    lost = missing_pages(pages)
-    if not lost.isEmpty():
-        raise LoadError("The listing is not whole: pages are missing")
     fields = [f.name.lower() for f in schema.fields]
-    return replace_table(spark, conform(parse_listing(pages, fields), schema), table, schema)
+    with intermediate(parse_pages(pages, fields).withColumn("number", F.monotonically_increasing_id()), "listing") as parsed:
+        faults = listing_faults(parsed).groupBy("fault").agg(F.count(F.lit(1)).alias("n"), F.min("marker").alias("least")).collect()
+        if faults:
+            raise LoadError("The listing is not whole: " + "; ".join(
+                f"{r['n']} {r['fault']}" + (f", such as {r['least']}" if r["least"] else "") for r in sorted(faults)))
+        once = parsed.groupBy("marker_in").agg(F.min("number").alias("number")).select("number")
+        return replace_table(spark, conform(blobs_of(parsed.join(once, "number", "left_semi"), fields), schema), table, schema)
 
 
 def run_sql_steps(spark: SparkSession, statements: Sequence[str], params: Mapping[str, object] | None = None) -> None:

@@ -192,3 +192,52 @@ def test_dry_run_and_load_agree(spark, db, convert, rows, kinds):
     except Exception:
         loaded = False
     assert loaded == fits
+
+
+# Types and a value of each that is hard to store elsewhere.
+KINDS = {"boolean": "true", "tinyint": "7Y", "smallint": "700S", "int": "70000", "bigint": "5000000000L", "float": "CAST(1e30 AS float)", "double": "1e300D",
+         "decimal(10,2)": "12345678.25BD", "decimal(38,10)": "CAST(1e20 AS decimal(38,10))", "string": "'abcdef'", "varchar(3)": "'abc'", "binary": "X'61'",
+         "date": "DATE'2024-01-02'", "timestamp": "TIMESTAMP_LTZ'2024-01-02 03:04:05'", "timestamp_ntz": "TIMESTAMP_NTZ'2024-01-02 03:04:05'",
+         "array<int>": "array(1, 70000)", "array<tinyint>": "array(1Y)", "array<string>": "array('abcdef')", "array<varchar(3)>": "array('abc')",
+         "map<string,int>": "map('abcdef', 70000)", "map<varchar(3),tinyint>": "map('abc', 1Y)", "struct<x: int>": "named_struct('x', 70000)",
+         "struct<x: varchar(3), y: array<tinyint>>": "named_struct('x', 'abcdef', 'y', array(70000))"}
+
+
+def test_dry_run_and_load_agree_on_all_pairs_of_types(spark, db):
+    from tablehaul import append_by_name
+    from tablehaul.operators.validate import refused_columns, validate_extract
+
+    # All targets of one source are judged by one dry run; the loads go one by one.
+    for source, value in KINDS.items():
+        target = ", ".join(f"c{i} {kind}" for i, kind in enumerate(KINDS))
+        rows = spark.sql("SELECT " + ", ".join(f"{value} AS c{i}" for i in range(len(KINDS))))
+        refused = {r.split(":")[0] for r in refused_columns(rows, target)}
+        failing = set(validate_extract(rows, target, convert=False)[1].select("failing_columns").first()[0] or [])
+        assert refused <= failing
+        for i, kind in enumerate(KINDS):
+            if f"c{i}" in refused:
+                continue  # by Spark's own word
+            spark.sql(f"CREATE OR REPLACE TEMP VIEW one AS SELECT {value} AS c")
+            spark.sql(f"CREATE TABLE {db}.t{i} (c {kind}) USING parquet") if source == "boolean" or not spark.catalog.tableExists(f"{db}.t{i}") else None
+            try:
+                append_by_name(spark, spark.table("one"), f"{db}.t{i}")
+                loaded = True
+            except Exception:
+                loaded = False
+            assert loaded == (f"c{i}" not in failing), (source, kind)
+
+
+def test_dry_run_tells_what_refuses_a_load(spark, db):
+    rows = spark.sql("SELECT 1 AS a, array('x') AS b, 2 AS c")
+    with pytest.raises(DryRun) as run:
+        transfer(spark, rows, f"{db}.t", schema="a int, b array<int>", test_only=True)
+    assert run.value.refused == ["b: array<string> is not stored as array<int>", "c: not in the target"]
+    assert run.value.failing.first()["failing_columns"] == ["b"]
+    with pytest.raises(LoadError):
+        transfer(spark, rows, f"{db}.t", schema="a int, b array<int>")
+    with pytest.raises(DryRun) as run:
+        transfer(spark, rows.drop("c"), f"{db}.t", schema="a int, b array<int>", test_only=True, convert=True)
+    assert run.value.refused == [] and run.value.failing.first()["failing_columns"] == ["b"]
+    with pytest.raises(DryRun) as run:
+        bulk_import(spark, rows, f"{db}.t", schema="a int, b array<string>", test_only=True)
+    assert run.value.refused == ["3 columns for 2"]

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from tablehaul import LoadError, conform, load_blob_listing, missing_pages, parse_listing
+from tablehaul import LoadError, conform, listing_faults, load_blob_listing, missing_pages, parse_listing
 from tablehaul.functions import normalize_name, parse_http_date
 from tablehaul.operators.schema import table_exists
+from tablehaul.sources import chain, parse_pages
 
 FIRST = """<?xml version="1.0" encoding="utf-8"?>
 <EnumerationResults ServiceEndpoint="https://example.invalid/" ContainerName="c">
@@ -114,3 +115,44 @@ def test_incomplete_listings_stop_and_repeats_count_once(spark, db):
 def test_numeric_offsets(spark):
     dates = spark.createDataFrame([("Mon, 01 Jan 2024 10:00:00 +0200",), ("Mon, 01 Jan 2024 10:00:00 GMT",)], "t string")
     assert [r[0] for r in dates.select(parse_http_date("t")).collect()] == [datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 10)]
+
+
+def test_a_page_is_parsed_by_its_events(spark):
+    xml = """<r xmlns:a="urn:a"><!-- <Blob><Name>ghost</Name></Blob> --><Blob /><a:bLOB><a:nAME>x<!-- c -->y</a:nAME><Properties>
+      <E-Tag>1</E-Tag><e_tag>2</e_tag><E-Tag/></Properties><Note><![CDATA[</Blob>]]> &amp; more</Note></a:bLOB><nextmarker>n</nextmarker></r>"""
+    got = parse_listing(pages(spark, (None, xml)), ["name", "e_tag", "note", "absent"])
+    assert values(got) == [(None, None, None, None), ("x", "2", "</Blob> & more", None)]
+    assert values(missing_pages(pages(spark, (None, xml)))) == [("n",)]
+    for broken in ("<a><Blob></a>", "", None, "text"):
+        with pytest.raises(Exception):
+            parse_listing(pages(spark, (None, broken)), ["name"]).collect()
+
+
+def faults(spark, *rows):
+    return values(listing_faults(parse_pages(spark.createDataFrame(list(rows), "marker_in string, xml string"), [])), "marker", "fault")
+
+
+def test_the_chain_is_followed(spark):
+    whole = [page(None, "", "1")] + [page(str(i), "", str(i + 1) if i < 40 else "") for i in range(1, 41)]
+    assert faults(spark, *whole) == [] and faults(spark, *whole, whole[7]) == []
+    assert faults(spark, page(None, "")) == [] and faults(spark, ("", page(None, "")[1])) == []
+    assert faults(spark) == [(None, "missing")]
+    assert faults(spark, *whole, page("x", "", "y"), page("y", "", "30")) == [("x", "stranger"), ("y", "stranger")]
+    assert faults(spark, *whole, page("x", "", "y"), page("y", "", "x")) == [("x", "stranger"), ("y", "stranger")]
+    assert faults(spark, *whole[:-1], page("40", "", "17")) == [("40", "cycle")]
+    assert faults(spark, page(None, "", "1"), page("1", "", "1")) == [("1", "cycle")]
+    assert faults(spark, *whole, page("5", "<Blob/>", "6")) == [("5", "different")]
+    assert [f for f in faults(spark, *whole[:20], *whole[21:]) if f[1] == "missing"] == [("20", "missing")]
+    assert [r.place for r in chain(spark.createDataFrame([(m, x.split("NextMarker>")[1][:-2] or None) for m, x in whole], "marker string, next_marker string"))
+            .orderBy("place").collect()] == list(range(41))
+
+
+def test_faults_stop_a_load_and_keep_the_table(spark, db):
+    table, kind = f"{db}.blobs", "marker_in string, xml string"
+    good = [page(None, "<Blob><Name>a</Name></Blob>", "m"), page("m", "<Blob><Name>b</Name></Blob>")]
+    load_blob_listing(spark, spark.createDataFrame(good, kind), table, "name string")
+    for bad in ([*good, page(None, "<Blob><Name>c</Name></Blob>", "m")], [*good, page("zzz", "<Blob><Name>stranger</Name></Blob>")],
+                [good[0], page("m", "", "m")]):
+        with pytest.raises(LoadError, match="not whole"):
+            load_blob_listing(spark, spark.createDataFrame(bad, kind), table, "name string")
+    assert values(spark.table(table)) == [("a",), ("b",)]

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tablehaul.functions import parse_http_date
 from tablehaul.plans.jobs import load_blob_listing
-from tablehaul.sources import missing_pages, scalar
+from tablehaul.errors import LoadError
+from tablehaul.sources import listing_faults, missing_pages, parse_pages, scalar
 from workload.registry import given, query, target
 
 BLOBS = ("name string, url string, content_length bigint, last_modified timestamp_ntz, creation_time timestamp_ntz, "
@@ -79,6 +80,74 @@ def listing_repeated_pages(spark, sf):
     return spark.table(table)
 
 
+@query("""
+SELECT CASE WHEN page_id % 3 = 1 THEN NULL ELSE 'page-' || CAST(page_id AS VARCHAR) || ' <x>' END AS name, length(html) AS content_length,
+       CASE page_id % 3 WHEN 0 THEN 'a & b' WHEN 2 THEN ' </Blob> ' END AS note
+FROM pages
+""")
+def listing_any_case(spark, sf):
+    """Names in any case and with a prefix, empty and repeated elements, comments with blobs in them, entities and CDATA."""
+    pages = given(spark, sf, "pages")
+    name = F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(" &lt;x&gt;"))
+    kind, size = F.col("page_id") % 3, F.length("html").cast("string")
+    ghost = F.lit("<!-- <Blob><Name>ghost</Name></Blob> -->")
+    blob = (F.when(kind == 0, F.concat(F.lit("<a:BLOB><a:NAME>old</a:NAME><a:NAME>"), name, F.lit("</a:NAME><NOTE>a &amp; b</NOTE><Note/><a:CONTENT_Length>"), size,
+                                       F.lit("</a:CONTENT_Length></a:BLOB>"), ghost))
+            .when(kind == 1, F.concat(ghost, F.lit("<blob><name /><p:Deep><x><content-length>"), size, F.lit("</content-length></x></p:Deep></blob>")))
+            .otherwise(F.concat(F.lit("<Blob><Name>"), name, F.lit("</Name><Note><![CDATA[ </Blob> ]]></Note><Content-Length>"), size, F.lit("</Content-Length></Blob>"))))
+    xml = F.concat(F.lit("<?xml version='1.0'?><e:Results xmlns:e='urn:e' xmlns:a='urn:a' xmlns:p='urn:p'><Blobs>"), blob, F.lit("</Blobs><e:nextMarker>"),
+                   F.when(F.col("page_id") < scalar(pages.agg(F.max("page_id"))), (F.col("page_id") + 1).cast("string")).otherwise(""),
+                   F.lit("</e:nextMarker></e:Results>"))
+    marker = F.when(F.col("page_id") > scalar(pages.agg(F.min("page_id"))), F.col("page_id").cast("string"))
+    table = target(spark)
+    load_blob_listing(spark, pages.select(marker.alias("marker_in"), xml.alias("xml")), table, "name string, content_length bigint, note string")
+    return spark.table(table)
+
+
+def _faults(pages):
+    return listing_faults(parse_pages(pages, []))
+
+
+@query("SELECT DISTINCT 'm' || CAST(page_id // 10 AS VARCHAR) AS marker, 'stranger' AS fault FROM pages WHERE page_id // 10 % 10 = 3")
+def listing_strangers(spark, sf):
+    """Every tenth page is passed over by the page before it: it is there, but the chain does not reach it."""
+    number = F.floor(F.col("page_id") / 10)
+    last = scalar(given(spark, sf, "pages").agg(F.max(number)))
+    passed = F.expr(r"CAST(regexp_extract(xml, '<NextMarker>m(\\d*3)</NextMarker>', 1) AS string)")
+    skipping = F.when(passed == "", F.col("xml")).otherwise(F.regexp_replace("xml", F.lit("<NextMarker>[^<]*</NextMarker>"), F.concat(
+        F.lit("<NextMarker>"), F.when(passed.try_cast("long") < last, F.concat(F.lit("m"), (passed.try_cast("long") + 1).cast("string"))).otherwise(""), F.lit("</NextMarker>"))))
+    return _faults(_listing(spark, sf).withColumn("xml", skipping))
+
+
+@query("SELECT 'm' || CAST(max(page_id // 10) AS VARCHAR) AS marker, 'cycle' AS fault FROM pages")
+def listing_cycle(spark, sf):
+    """The last page leads back to the second one."""
+    return _faults(_listing(spark, sf).withColumn("xml", F.replace("xml", F.lit("<NextMarker></NextMarker>"), F.lit("<NextMarker>m1</NextMarker>"))))
+
+
+@query("SELECT DISTINCT 'm' || CAST(page_id // 10 AS VARCHAR) AS marker, 'different' AS fault FROM pages WHERE page_id // 10 % 4 = 1")
+def listing_different_pages(spark, sf):
+    """Pages given twice, some of them with other content."""
+    pages = _listing(spark, sf)
+    other = F.when(F.col("marker_in").substr(2, 20).try_cast("int") % 4 == 1, F.replace("xml", F.lit("<Blobs>"), F.lit("<Blobs><Blob/>"))).otherwise(F.col("xml"))
+    return _faults(pages.unionByName(pages.withColumn("xml", other)))
+
+
+@query("SELECT 'page-' || CAST(page_id AS VARCHAR) AS name, 3 AS refused FROM pages")
+def listing_keeps_target(spark, sf):
+    """Listings that are not whole leave the table as it was: the target is recreated only once all pages are found good."""
+    table, pages = target(spark), _listing(spark, sf)
+    load_blob_listing(spark, pages, table, "name string")
+    refused = 0
+    for broken in (pages.where("marker_in IS NOT NULL"), pages.where("NOT marker_in <=> 'm1'"),
+                   pages.unionByName(pages.where("marker_in = 'm1'").withColumn("marker_in", F.lit("nobody knows me")))):
+        try:
+            load_blob_listing(spark, broken, table, "name string, more string")
+        except LoadError:
+            refused += 1
+    return spark.table(table).withColumn("refused", F.lit(refused))
+
+
 @query("""
 SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN o_orderdate + to_hours(o_orderkey % 24)
        WHEN 1 THEN o_orderdate + to_hours(o_orderkey % 24) WHEN 2 THEN o_orderdate END AS parsed

@@ -341,3 +341,30 @@ def gate_on_catalog(spark, sf):
         known = spark.createDataFrame([(table_exists(spark, name),)], "known boolean")
         bulk_import(spark, spark.table(source), table, schema="page_id bigint, url string", only_if=known)
     return spark.table(table)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey > 100 THEN 'sizes,place' ELSE 'place' END AS failing_columns, 0 AS refused FROM orders
+WHERE o_orderkey > 100 OR length(o_orderpriority) > 5
+""")
+def dry_run_nested(spark, sf):
+    """Values inside arrays and structs that the target's types do not hold."""
+    rows = given(spark, sf, "orders").select("o_orderkey", F.array(F.lit(1), F.col("o_orderkey") * 1).alias("sizes"),
+                                             F.struct(F.col("o_orderpriority").alias("kind"), "o_orderkey").alias("place"))
+    try:
+        bulk_import(spark, rows, target(spark), schema="o_orderkey bigint, sizes array<tinyint>, place struct<kind: varchar(5), n: bigint>", test_only=True)
+    except DryRun as run:
+        return run.failing.select("o_orderkey", F.array_join("failing_columns", ",").alias("failing_columns"), F.lit(len(run.refused)).alias("refused"))
+
+
+@query("""
+SELECT count(*) AS rows_total, count(*) FILTER (o_orderpriority IS NOT NULL) AS failing_kind,
+       'kind: string is not stored as int | o_orderstatus: not in the target' AS refused FROM orders
+""")
+def dry_run_unknown_column(spark, sf):
+    """What a load would refuse outright: text for a number, and a column that the target lacks."""
+    rows = given(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("kind"), "o_orderstatus")
+    try:
+        transfer(spark, rows, target(spark), schema="o_orderkey bigint, kind int", test_only=True)
+    except DryRun as run:
+        return run.summary.select("rows_total", "failing_kind", F.lit(" | ".join(run.refused)).alias("refused"))
