@@ -1,6 +1,7 @@
 import itertools
 
-from tablehaul.llm.html_text import Node, _match, _weight, align, extract, parse, shape, texts
+from tablehaul.llm import html_text
+from tablehaul.llm.html_text import Node, _match, _weight, align, extract, is_part, parse, shape, skeleton, texts
 from tests.llm.helpers import frame
 
 
@@ -84,3 +85,46 @@ def test_long_boilerplate_is_template_and_repeated_pages_vote_once(spark):
     rows += [(100 + i, f"https://few.example.org/{i}", page.format(i % 2)) for i in range(20)]
     got = {r.page_id: r.text for r in extract(pages(spark, rows)).collect()}
     assert got == {i: f"Short story {i}" for i in range(12)} | {100 + i: f"One story, word for word.\nVersion {i % 2}" for i in range(20)}
+
+
+def test_names_of_parts():
+    for part in ("site-header", "cookie-notice", "commentList", "ad-slot-3", "sidebar_left", "top related-posts", "share-buttons"):
+        assert is_part(part, False), part
+    for text in ("search-results", "social-history", "entry-header", "article-header", "reply-to-critics", "header-of-the-story", "download", "post-17"):
+        assert not is_part(text, False), text
+    assert is_part("comments", True) and not is_part("header", True) and is_part("header", False)
+    assert main_text("<article><header class='entry-header'><h1>Title</h1></header><p>x</p><footer>no</footer></article><header><h1>Site</h1></header>") == ["Title", "x"]
+    assert main_text("<div class='article-header'>Title</div><div class='search-results'><p>Body</p></div>") == ["Title", "Body"]
+
+
+def test_skeletons_see_outer_elements_only():
+    one = "<body><div><ul><li>a</ul></div><article><p>x</p><table><tr><td>y</table></article></body>"
+    other = "<body class='x'><div><ul><li>a<li>b</ul></div><article><div>z</div></article></body>"
+    assert skeleton(parse(one)) == skeleton(parse(other)) != skeleton(parse("<body><section>a</section><article>x</article></body>"))
+
+
+def test_layouts_changing_names_and_doubtful_parts(spark):
+    rows = []
+    for i in range(40):  # names with numbers in them on every page
+        rows.append((i, f"https://numbers.example.org/{i}", f"<body class='postid-{i} tag-{'abcdefgh'[i % 8] * 3}'><div id='top-{i}'><p>The same on top</p></div><div id='post-{i}'><p>Story {i}</p></div></body>"))
+    for i in range(40):  # two layouts of one host
+        body = f"<section><p>Section story {i}</p></section><div><p>All rights reserved</p></div>" if i % 2 else f"<div><p>Welcome, reader</p></div><main><p>Main story {i}</p></main>"
+        rows.append((100 + i, f"https://two.example.org/{i}", f"<body>{body}</body>"))
+    for i in range(12):  # whatever varies is in a part that a name calls an advert
+        rows.append((200 + i, f"https://odd.example.org/{i}", f"<body><div class='banner'><p>Only text {i}</p></div><div><p>Imprint</p></div></body>"))
+    rows.append((300, "https://two.example.org/rare", "<body><div><p>Welcome, reader</p></div><table><tr><td>Rare page</table></body>"))
+    want = ({i: f"Story {i}" for i in range(40)} | {100 + i: f"{'Section' if i % 2 else 'Main'} story {i}" for i in range(40)}
+            | {200 + i: f"Only text {i}" for i in range(12)} | {300: "Rare page"})
+    for hot in (1000, 0):
+        got = {r.page_id: r.text for r in extract(pages(spark, rows), hot_hosts=hot).collect()}
+        assert {k: v for k, v in got.items() if v != want[k]} == {}
+
+
+def test_lists_too_long_to_align_in_one_table(monkeypatch):
+    top = "".join(f"<p class='{chr(97 + i)}'>t</p>" for i in range(10))
+    a = parse("<div>" + top + "".join(f"<p>{i}</p><div><p>x</p></div>" for i in range(60)) + "<h2>end</h2><p>mine</p></div>")
+    b = parse("<div><h3>new</h3>" + top + "".join(f"<p>{i}</p>" for i in range(70)) + "<h2>end</h2><p>yours</p><p>more</p></div>")
+    exact = align(a, b)
+    monkeypatch.setattr(html_text, "CELLS", 300)
+    cut = align(a, b)
+    assert {(x.text, y.text) for x, y in cut} >= {("t", "t"), ("end", "end"), ("mine", "more")} and len(cut) > 0.7 * len(exact)
