@@ -10,7 +10,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablehaul.workspace import materialize
+from tablehaul.workspace import materialize, remove_dir
 
 #: A word is a run of characters other than ASCII white space; ``bytes.split()`` yields exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +48,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of frames that were ``saved`` and are not read any more, and of those that they are unions of."""
+    for folder in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
+        remove_dir(frames[0].sparkSession, folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -89,14 +95,30 @@ def least_hashed(df: DataFrame, keys: list[str], most: int) -> DataFrame:
     return df.filter(order < int(share * (1 << 30))).orderBy(order, *keys).limit(most) if share < 1 else df.orderBy(order, *keys).limit(most)
 
 
+def told_apart(df: DataFrame, out: str, chunk: int = 4096) -> DataFrame:
+    """The rows with a column ``out`` (long) that numbers those which agree in all columns from 0, so that none repeat.
+
+    They are counted before they are shuffled and made again by as many tasks as their number asks for.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+    def up_to(n: Column) -> Column:
+        return F.sequence(F.lit(0).cast("long"), n)
+
+    few = counted.filter(F.col("_n") <= chunk).withColumn(out, F.explode(up_to(F.col("_n") - 1)))
+    many = counted.filter(F.col("_n") > chunk).withColumn("_far", F.explode(up_to(F.floor((F.col("_n") - 1) / chunk))))
+    many = many.repartition(F.xxhash64("_far", *df.columns)).withColumn("_near", F.explode(up_to(F.least(F.lit(chunk), F.col("_n") - F.col("_far") * chunk) - 1)))
+    return few.drop("_n").unionByName(many.withColumn(out, F.col("_near") + F.col("_far") * chunk).drop("_n", "_far", "_near"))
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], rows: int, out: str,
              rows_per_block: int = 50_000, counted: DataFrame | None = None) -> DataFrame:
     """Number the rows of every key without gaps from 0, in column ``out`` (long).
 
     The rows of a key are dealt by a hash of ``order`` into blocks of about ``rows_per_block`` rows; the number is the
     row's place in its block plus the rows of the key's earlier blocks. No task sees a whole key, however many rows
-    the key has. ``keys`` hold no nulls. ``counted`` may give a cheaper frame with the same keys and order columns to
-    count the blocks from. Rows that agree in all columns of ``order`` are interchangeable.
+    the key has, if ``order`` tells all rows apart (``told_apart``). ``keys`` hold no nulls. ``counted`` may give a cheaper
+    frame with the same keys and order columns to count the blocks from.
     """
     block = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(blocks_for(rows, rows_per_block))).alias("_block")
     counts = (counted if counted is not None else df).groupBy(*keys, block).agg(F.count(F.lit(1)).alias("_n"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import saved
+from tablehaul.llm.common import discard, saved
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
                 "edges")
     before = None
     while True:
-        now = saved(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        last, now = now, saved(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        discard(last)
         state = now.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -1,6 +1,7 @@
 import corpus_pipeline
 from tablehaul.llm.queries import QUERIES
 from tests.llm.helpers import frame
+from tests.llm.test_similar import kept_by_hand
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -21,11 +22,7 @@ def test_stages_keep_columns_and_clean_documents(spark):
             assert ids == {i for i, kept in judged.items() if kept}
             assert not [i for i in set(before) - ids if labels.get(i) == 1 and len(before[i].split()) > 200 and len(set(before[i].split())) > 150]
         if name == "near duplicates":
-            groups = {}
-            from tablehaul.llm.simhash import near_duplicates
-            for r in near_duplicates(left).collect():
-                groups.setdefault(r.component_id, set()).add(r.doc_id)
-            assert ids == {min(g) for g in groups.values()}
+            assert ids == kept_by_hand(list(before.items()))
         if name == "secret scan":
             assert ids == set(before) and all(r.n_chars == len(r.text) for r in rows)
         left = spark.createDataFrame(rows, docs.schema)
