@@ -13,11 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tablehaul.llm.common import n_words, saved, ship, text_hash
+from tablehaul.llm.common import n_words, saved, ship, text_hash, told_apart
 
 #: Sources beyond this number need weights of their own kind; their sizes come to the driver.
 MOST_SOURCES = 100_000
@@ -67,11 +67,12 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def measured(docs: DataFrame, seed: int, block_docs: int, most_times: int, key: str, text: str, source: str):
-    """The rows with their sizes and blocks, and the sources with their targets."""
+def measured(docs: DataFrame, seed: int, block_docs: int, most_times: int, key: str, text: str, source: str, row: Column):
+    """The rows with their sizes and blocks, and the sources with their targets. Rows that repeat are numbered, so that each has
+    a block of its own; ``row`` tells rows apart that have the same key, text and source."""
     named = docs.select(F.col(key).alias("key"), text_hash(text), n_words(F.col(text)).alias("size"),
-                        F.col(source).cast("string").alias("source"))
-    rows = saved(named, "sizes")
+                        F.col(source).cast("string").alias("source"), row.alias("row"))
+    rows = saved(told_apart(named, "repeat"), "sizes")
     found = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).limit(
         MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
@@ -82,10 +83,13 @@ def measured(docs: DataFrame, seed: int, block_docs: int, most_times: int, key:
     known = docs.sparkSession.createDataFrame(
         [(s.number, s.name, s.words, s.target, max(1, -(-s.rows // block_docs))) for s in sources],
         "number int, name string, source_size long, target double, blocks long")
-    spread = F.xxhash64(F.lit(seed), "key", "text_hash")
+    def drawn(turn: int) -> Column:
+        first = F.xxhash64(F.lit(turn), "key", "text_hash")
+        return F.when(F.col("repeat") == 0, first).otherwise(F.xxhash64(first, "repeat"))
+
     dealt = rows.join(F.broadcast(known), rows["source"].eqNullSafe(known["name"])).select(
-        "key", "text_hash", "size", "number", "source_size", "target", "blocks",
-        F.pmod(spread, F.col("blocks")).alias("block"), F.xxhash64(F.lit(seed + 1), "key", "text_hash").alias("turn"))
+        "key", "text_hash", "row", "repeat", "size", "number", "source_size", "target", "blocks",
+        F.pmod(drawn(seed), F.col("blocks")).alias("block"), drawn(seed + 1).alias("turn"))
     return saved(dealt, "dealt"), sources
 
 
@@ -113,22 +117,28 @@ def fill(sizes: list[int], room: int) -> list[int]:
 
 def _fill(block: pa.Table) -> pa.Table:
     """Which rows of the block at a source's edge are taken, in their random turn."""
-    block = block.sort_by([(c, "ascending") for c in ("turn", "key", "text_hash", "size")])
+    block = block.sort_by([(c, "ascending") for c in ("turn", "key", "text_hash", "row", "repeat", "size")])
     more = fill(block.column("size").to_pylist(), block.column("room")[0].as_py())
     return block.append_column("more", pa.array(more, pa.int32()))
 
 
 def mix(docs: DataFrame, shards: int = 16, seed: int = 7, block_docs: int = 256, most_times: int = 3, key: str = "doc_id",
         text: str = "text", source: str = "source") -> DataFrame:
-    """``key``, text_hash, size, source_size, target, copies, taken (words, repeats counted) and shards (one per copy).
+    """``key``, text_hash, repeat, size, source_size, target, copies, taken (words, repeats counted) and shards (one per copy).
 
     Sources weigh 1, 2, 3, repeating, in code-point order, null last, and share as many words as there are; none gets more
     than ``most_times`` its own. Every row is taken as a whole, between 0 and ``most_times`` times; a source's words
     come as near its target as whole rows of its block at the edge allow. A null text has size 0, and rows of size 0 are
-    taken like the block they lie in. Null keys and repeated rows are rows like others; an empty table gives no rows; other
-    columns are not read. The same rows give the same mix, in whatever order they come.
+    taken like the block they lie in. Null keys and repeated rows (numbered by ``repeat``) are rows like others; texts of any length
+    are counted whole; an empty table gives no rows; other columns are not read. The same rows give the same mix, in
+    whatever order they come.
     """
-    rows, sources = measured(docs, seed, block_docs, most_times, key, text, source)
+    plan = _mixed(docs, shards, seed, block_docs, most_times, key, text, source, F.lit(0).cast("long"))
+    return plan.withColumnRenamed("key", key).drop("row")
+
+
+def _mixed(docs: DataFrame, shards: int, seed: int, block_docs: int, most_times: int, key: str, text: str, source: str, row: Column) -> DataFrame:
+    rows, sources = measured(docs, seed, block_docs, most_times, key, text, source, row)
     # Words of each block, and those of the source's blocks before it; the blocks' sums are added up in two levels.
     blocks = rows.groupBy("number", "block", "source_size", "target").agg(F.sum("size").alias("words"))
     blocks = blocks.withColumn("stretch", F.floor(F.col("block") / 1024))
@@ -168,17 +178,24 @@ def mix(docs: DataFrame, shards: int = 16, seed: int = 7, block_docs: int = 256,
     copies = (F.col("passes") + F.col("more")).cast("int")
     at = F.transform(F.sequence(F.lit(0), F.greatest(copies - 1, F.lit(0))), lambda c: F.size(F.filter(
         "ends", lambda e: e <= c * F.col("source_blocks") + F.col("block"))).cast("int"))
-    return taken.select(F.col("key").alias(key), "text_hash", "size", "source_size", "target", copies.alias("copies"),
+    return taken.select("key", "text_hash", "row", "repeat", "size", "source_size", "target", copies.alias("copies"),
                         (copies * F.col("size")).cast("long").alias("taken"),
                         F.when(copies > 0, at).otherwise(F.array().cast("array<int>")).alias("shards"))
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, unchanged, as often as the mix takes each, dealt to the mix's shards and shuffled there."""
-    plan = mix(docs, key=key, text=text, **options).filter("copies > 0")
-    once = plan.groupBy(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).agg(
-        F.max(F.struct("copies", "shards")).alias("_plan"))  # rows that repeat are taken alike
-    found = docs.join(once, docs[key].eqNullSafe(once["_key"]) & (F.xxhash64(docs[text].cast("string")) == once["_hash"]))
-    each = found.select(*[docs[c] for c in docs.columns], F.posexplode("_plan.shards").alias("_copy", "_shard"))
-    order = F.xxhash64("_shard", "_copy", key)
-    return each.repartition("_shard", F.pmod(order, F.lit(8))).sortWithinPartitions("_shard", order).select(*docs.columns)
+def mixed_documents(docs: DataFrame, shards: int = 16, seed: int = 7, block_docs: int = 256, most_times: int = 3, key: str = "doc_id",
+                    text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs``, unchanged, as often as the mix takes each, dealt to the mix's shards and shuffled there.
+
+    Rows are told apart by all their columns. Those that agree in all are interchangeable: together they appear as often as the mix
+    takes them together. Columns may have any names; nulls, empty and very long texts are as in ``mix``; an empty table
+    gives no rows.
+    """
+    whole = [F.to_json(F.struct(c)) if docs.schema[c].dataType.typeName() in ("map", "variant") else F.col(f"`{c}`") for c in docs.columns]
+    row = F.xxhash64(*[x for c in whole for x in (c.isNull(), c)])
+    rows = docs.select(F.struct("*").alias("doc"), row.alias("row"), text_hash(text))
+    plan = _mixed(docs, shards, seed, block_docs, most_times, key, text, source, row).filter("copies > 0").select("row", "text_hash", "repeat", "shards")
+    found = rows.dropDuplicates(["row", "text_hash"]).join(plan, ["row", "text_hash"])
+    each = found.select("doc", "row", "repeat", F.posexplode("shards").alias("copy", "shard"))
+    order = F.xxhash64("shard", "copy", "repeat", "row")
+    return each.repartition("shard", F.pmod(order, F.lit(8))).sortWithinPartitions("shard", order).select("doc.*")

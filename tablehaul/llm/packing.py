@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import in_slices, mapped, numbered, saved
+from tablehaul.llm.common import in_slices, mapped, numbered, saved, told_apart
 from tablehaul.llm.tokens import tokenizer_path, word_ids
 
 _PIECE = "key long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
@@ -160,7 +160,8 @@ def assign(cut: DataFrame, context: int = 2048, unit: int = 8, rows_per_block: i
         first += times
     slots.append((0, 0, counts.get(0, 0), 1, first))
     table = spark.createDataFrame(slots, "grade int, rank_from long, rank_to long, together long, first_sequence long")
-    ranked = numbered(graded, ["grade"], ["key", "start", "ids_crc32"], sum(counts.values()), "rank", rows_per_block)
+    order = ["key", "start", "ids_crc32", "doc_tokens", "_repeat"]
+    ranked = numbered(told_apart(graded, "_repeat"), ["grade"], order, sum(counts.values()), "rank", rows_per_block)
     placed = ranked.join(table, (ranked["grade"] == table["grade"]) & (ranked["rank"] >= table["rank_from"])
                          & (ranked["rank"] < table["rank_to"])).withColumn(
         "sequence_id", F.col("first_sequence") + F.floor((F.col("rank") - F.col("rank_from")) / F.col("together")))
@@ -174,9 +175,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, context
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: ``key``, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Every id of every document, its end id included, lies in exactly one piece. Null texts count as empty, null keys and
-    repeated rows are documents like others, an empty table gives no rows, and other columns are not read. The pieces
-    with their ids stay in the shared folder; ``sequences`` puts such pieces together.
+    Every id of every document, its end id included, lies in exactly one piece; texts of any length are encoded whole. Null texts
+    count as empty, null keys and repeated rows are documents like others, pieces of equal length go in the order of their
+    keys' hashes, an empty table gives no rows, and other columns are not read. The pieces with their ids stay in the
+    shared folder; ``sequences`` puts such pieces together.
     """
     cut = saved(pieces(docs, tokenizer, end_id, context, key, text), "pieces")
     return assign(cut.drop("ids"), context, unit).withColumnRenamed("key", key)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import numbered
+from tablehaul.llm.common import numbered, saved, told_apart
 
 # Fixed values of the published jump consistent hash (Lamping and Veach, 2014): the multiplier of its 64-bit linear
 # congruential generator, here as three limbs of 24, 24 and 16 bits, so that no product overflows a long.
@@ -66,22 +66,25 @@ def shard_documents(docs: DataFrame, shards: int = 8, key: str = "doc_id", text:
 
     Returns ``key``, size (UTF-8 bytes of the text plus 1), text_crc32, law (``key``), shard, slot (long, 0 up to the
     shard's rows - 1), grown_shard. Null texts count as empty; null keys all share one shard; rows that repeat have a slot
-    each; other columns are not looked at; an empty table gives no rows. Equal texts go where their own keys send
-    them, so a group of copies of any size is spread over all shards.
+    each; other columns are not looked at; an empty table gives no rows; texts of any length are measured whole. Equal texts go
+    where their own keys send them, so a group of copies of any size is spread over all shards.
     """
     bytes_of = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    keyed = F.col(key).alias("_key"), jump_hash(F.col(key), shards).alias("shard")
-    rows = docs.select(*keyed, jump_hash(F.col(key), shards + 1).alias("grown_shard"),
-                       (F.octet_length(bytes_of) + 1).cast("long").alias("size"),
+    rows = docs.select(F.col(key).alias("_key"), (F.octet_length(bytes_of) + 1).cast("long").alias("size"),
                        F.crc32(bytes_of.cast("binary")).alias("text_crc32"))
-    with_slot = numbered(rows, ["shard"], ["_key"], docs.select(key).count(), "slot", rows_per_block,
-                         counted=docs.select(*keyed))
+    rows = saved(told_apart(rows, "_repeat"), "rows")
+    keyed = rows.select("*", jump_hash(F.col("_key"), shards).alias("shard"))
+    with_slot = numbered(keyed, ["shard"], ["_key", "size", "text_crc32", "_repeat"], rows.count(), "slot", rows_per_block)
     return with_slot.select(F.col("_key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
-                            "grown_shard")
+                            jump_hash(F.col("_key"), shards + 1).alias("grown_shard"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8, key: str = "doc_id", files_per_shard: int = 1) -> None:
-    """Write all columns of ``docs`` into one folder ``shard=k`` per shard, each in up to ``files_per_shard`` files."""
-    part = F.pmod(F.xxhash64(key), F.lit(files_per_shard))
+    """Write all columns of ``docs`` into one folder ``shard=k`` per shard, each in up to ``files_per_shard`` files.
+
+    Null keys share a shard, rows that repeat are written as often, an empty table gives an empty folder. Rows of one key are
+    spread over their shard's files.
+    """
+    part = F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.lit(files_per_shard))
     (docs.withColumn("shard", jump_hash(F.col(key), shards)).repartition(shards * files_per_shard, "shard", part)
      .write.partitionBy("shard").parquet(path))

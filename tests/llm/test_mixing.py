@@ -64,3 +64,21 @@ def test_mix(spark, block):
 def test_odd_and_empty(spark):
     assert mix(frame(spark, odd_rows())).count() == len(odd_rows())
     assert mix(frame(spark, [])).count() == 0 and mixed_documents(frame(spark, [])).count() == 0
+
+
+def test_rows_that_repeat(spark):
+    """What the mix takes of repeated rows is what comes out, whatever the columns are called."""
+    rows = [(i % 7, f"text {i % 7} " + "w " * 4, "en", "a") for i in range(210)] + [(100 + i, "w " * 6, "en", "b") for i in range(30)]
+    rows += [(500, "here 5,000 times", "en", "c")] * 5000
+    docs = frame(spark, rows).select("*", *[F.lit(1).alias(c) for c in ("_plan", "_copy", "_shard", "repeat", "doc", "row", "text_hash")])
+    docs = docs.withColumn("more", F.create_map(F.lit("k"), F.col("lang"))).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "de").otherwise(F.col("lang")))
+    plan = mix(docs, block_docs=16)
+    taken = {r.doc_id: (r.copies, r.taken) for r in plan.groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken")).collect()}
+    for source, ids in {"a": range(7), "b": range(100, 130), "c": [500]}.items():
+        target = plan.where(F.col("doc_id").isin(list(ids))).first().target
+        assert abs(sum(taken[i][1] for i in ids) - target) <= 6
+    mixed = mixed_documents(docs, block_docs=16)
+    assert mixed.columns == docs.columns
+    assert mixed.agg(F.sum(F.size(F.split("text", r"\s+")) - F.when(F.col("text").endswith(" "), 1).otherwise(0))).first()[0] == plan.agg(F.sum("taken")).first()[0]
+    assert abs(mixed.count() - plan.agg(F.sum("copies")).first()[0]) == 0
+    assert plan.where("doc_id = 500").groupBy("repeat").count().count() == 5000

@@ -39,3 +39,11 @@ def test_empty_and_files(spark, tmp_path):
     write_shards(frame(spark, odd_rows()).drop("shard"), str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(back) == 12 and all(r.shard == jump(r.doc_id, 4) for r in back)
+
+
+def test_5000_copies_of_a_row(spark):
+    rows = [(7, "often", "en", "a")] * 5000 + [(None, f"no key {i}", "en", "a") for i in range(500)]
+    got = shard_documents(frame(spark, rows), 8, rows_per_block=100).collect()
+    assert len(got) == 5500
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
