@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import least_hashed, mapped
+from tablehaul.llm.common import least_hashed, mapped, saved, text_hash
 
 WIDTHS = (1, 2, 3)
 #: Distinct words that a Python worker keeps projected before it starts anew (about 300 bytes each).
@@ -231,12 +231,17 @@ def held_out(key: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, most_per_class: int = 1500, key: str = "doc_id", text: str = "text",
         lang: str = "lang", label: str = "toxic") -> Model:
     """Train on at most ``most_per_class`` labelled rows of each class that are not held out, those with the least hashes
-    of their keys. Only they, with whole texts, come to the driver."""
+    of their keys. Only they, with whole texts, come to the driver. Of repeated rows one is learned from; several rows
+    of one key count each; labels other than 0 and 1, and null keys, are left out."""
     marked = labels.select(F.col(key).cast("long").alias("_key"), F.col(label).cast("int").alias("_toxic")).filter(
         F.col("_toxic").isin(0, 1) & ~held_out("_key")).distinct()
     chosen = [least_hashed(marked.filter(F.col("_toxic") == c), ["_key"], most_per_class) for c in (0, 1)]
-    rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).join(
-        F.broadcast(chosen[0].unionByName(chosen[1])), "_key").toPandas().sort_values(["_key", "_text"])
+    own = docs.select(F.col(key).cast("long").alias("_key"), text_hash(text).alias("_hash"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
+    # An id may stand for many rows: these are bounded as well, once they are known.
+    held = saved(own.select("_key", "_hash").join(F.broadcast(chosen[0].unionByName(chosen[1])), "_key").distinct(), "labelled")
+    bounded = [least_hashed(held.filter(F.col("_toxic") == c), ["_key", "_hash"], most_per_class) for c in (0, 1)]
+    rows = own.join(F.broadcast(bounded[0].unionByName(bounded[1])), ["_key", "_hash"]).dropDuplicates(["_key", "_hash", "_toxic"])
+    rows = rows.toPandas().sort_values(["_key", "_text"])
     return train(rows["_text"].tolist(), rows["_toxic"].to_numpy(), rows["_lang"].tolist())
 
 

@@ -62,3 +62,15 @@ def test_odd_rows(spark):
         empty = {r.score for r in got if r.doc_id in (3, 4, 6)}
         assert len(empty) == 1
     assert score(frame(spark, []), model).count() == 0
+
+
+def test_what_is_learned_from_is_bounded(spark, monkeypatch):
+    """One labelled key on 5,000 rows."""
+    from tablehaul.llm import toxicity
+
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, langs: seen.append((texts, toxic)))
+    rows = [(1, f"text {i}", "en", "a") for i in range(3000)] + [(1, "the same text", "en", "a")] * 2000 + [(2, "fine", "en", "a")]
+    fit(frame(spark, rows), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), most_per_class=50)
+    texts, toxic = seen[0]
+    assert len(texts) <= 100 and toxic.sum() == 50 and len(set(texts)) == len(texts)
