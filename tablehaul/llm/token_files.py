@@ -2,8 +2,9 @@
 
 A store is a folder of three Parquet tables, so that any file system Spark can reach will do:
 
-* ``payload``: one row per block of whole documents in ascending key order: shard, block, the ids of its documents one
-  after the other (little-endian unsigned 32-bit), their keys and their numbers of ids.
+* ``payload``: one row per block of whole documents in ascending key order: the ids of its documents one after the other
+  (little-endian unsigned 32-bit), their keys and their numbers of ids. A folder per shard, a row group per block: what one
+  block holds can be read without any other.
 * ``manifest``: for each block its first row and first id, counted over the whole store.
 * ``index``: one row per index bucket: a minimal perfect hash of the bucket's distinct keys and, in the order of their
   numbers, a stored fingerprint, the store's row of the key's first document, how many documents have the key, and
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablehaul.llm import perfect_hash
-from tablehaul.llm.common import blocks_for, in_slices, mapped, ship
+from tablehaul.llm.common import blocks_for, in_slices, mapped, saved, ship
 from tablehaul.llm.tokens import tokenizer_path, word_ids
 
 _ENTRY = np.dtype([("fingerprint", "<u4"), ("row", "<u8"), ("repeats", "<u4"), ("shard", "<u4"), ("block", "<u4"),
@@ -90,6 +91,11 @@ def _index(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
                      "entries": pa.array([entries.tobytes()], pa.binary())})
 
 
+def _payload(spark: SparkSession, path: str) -> DataFrame:
+    kept = [f for f in _PAYLOAD.split(", ") if f != "shard int"]
+    return spark.read.schema(", ".join([*kept, "shard int"])).parquet(f"{path}/payload")
+
+
 def _bucket(key, buckets: int):
     """Null keys have a bucket of their own, as their hash may equal that of a number."""
     return F.when(key.isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets))).cast("int")
@@ -100,18 +106,19 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
                 keys_per_bucket: int = 50_000) -> None:
     """Encode whole texts and write a store below ``path``, which must not exist yet.
 
-    Documents lie in ascending key order, null keys first; those that share a key lie together, in order of their text.
-    Null texts count as empty: their ids are the end id alone. An empty table gives an empty store. Only ``key`` and
-    ``text`` are read.
+    Documents lie in ascending key order, null keys first; those that share a key lie together, in order of their texts' hashes, over
+    as many shards as they need. Null texts count as empty: their ids are the end id alone. Texts of any length are encoded
+    whole, repeated rows are documents like others. An empty table gives an empty store. Only ``key`` and ``text`` are read.
     """
     spark, rows = docs.sparkSession, docs.select(key).count()
-    ordered = (docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text"))
-               .repartitionByRange(blocks_for(rows, rows_per_shard), F.col("key").asc_nulls_first())
-               .sortWithinPartitions(F.col("key").asc_nulls_first(), "text"))
+    place = [F.col("key").asc_nulls_first(), F.col("hash"), F.col("turn")]
+    ordered = (docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text"), F.xxhash64(text).alias("hash"),
+                           F.monotonically_increasing_id().alias("turn"))
+               .repartitionByRange(blocks_for(rows, rows_per_shard), *place).sortWithinPartitions(*place).select("key", "text"))
     mapped(ordered, _encode(tokenizer or tokenizer_path(), end_id, block_bytes), _PAYLOAD).write.option(
-        "compression", "zstd").parquet(f"{path}/payload")
+        "compression", "zstd").option("parquet.block.row.count.limit", "1").partitionBy("shard").parquet(f"{path}/payload")
 
-    blocks = spark.read.parquet(f"{path}/payload").select("shard", "block", "n_docs", "n_ids")
+    blocks = _payload(spark, path).select("shard", "block", "n_docs", "n_ids")
     order = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shards = blocks.groupBy("shard").agg(F.sum("n_docs").alias("docs"), F.sum("n_ids").alias("ids"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
@@ -123,7 +130,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         "shard", "block", (F.col("docs_before") + F.col("n_docs")).alias("first_row"),
         (F.col("ids_before") + F.col("n_ids")).alias("first_id")).write.parquet(f"{path}/manifest")
 
-    directory = spark.read.parquet(f"{path}/payload").select("shard", "block", "n_docs", "keys", "no_key", "lengths")
+    directory = _payload(spark, path).select("shard", "block", "n_docs", "keys", "no_key", "lengths")
     listed = mapped(directory, _documents, _DOCS).join(spark.read.parquet(f"{path}/manifest"), ["shard", "block"])
     first = F.struct((F.col("first_row") + F.col("place")).alias("row"), "shard", "block", "place", "offset", "length")
     buckets = blocks_for(rows, keys_per_bucket)
@@ -184,7 +191,7 @@ def read_digests(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     as it is read back. The payload is read once, block by block, and never shuffled."""
     found = lookup(spark, path, keys).select(
         "key", F.explode(F.sequence(F.col("row"), F.col("row") + F.col("repeats") - 1)).alias("row"))
-    payload = spark.read.parquet(f"{path}/payload").select("shard", "block", "payload", "lengths")
+    payload = _payload(spark, path).select("shard", "block", "payload", "lengths")
     digest = "shard int, block int, place int, offset long, n_tokens long, ids_crc32 long"
     stored = (mapped(payload, _checksums, digest)
               .join(spark.read.parquet(f"{path}/manifest"), ["shard", "block"])
@@ -193,15 +200,26 @@ def read_digests(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     return found.join(stored, "row").select("key", "start", "n_tokens", "ids_crc32")
 
 
-def read_ids(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """key and its ids (array<long>) for each of the wanted keys; only the blocks that the index names are opened."""
+def read_ids(spark: SparkSession, path: str, keys: DataFrame, most_blocks: int = 10_000) -> DataFrame:
+    """key and the ids (array<long>) of the first document of each of the wanted distinct keys; absent keys give no row.
+
+    The index names the blocks. Up to ``most_blocks`` of them are named to the scan in turn, which opens their shards' folders and reads
+    their row groups only; keys in more blocks than that are found by a join over the whole payload.
+    """
     def cut(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            ids = [np.frombuffer(r["payload"], "<u4")[r["offset"]:r["offset"] + r["length"]].astype(np.int64) for r in rows]
-            yield pa.RecordBatch.from_pydict({"key": pa.array([r["key"] for r in rows], pa.int64()),
-                                              "ids": pa.array(ids, pa.list_(pa.int64()))})
-
-    found = lookup(spark, path, keys).withColumns({c: F.col(c).cast("int") for c in ("shard", "block")})
-    payload = spark.read.parquet(f"{path}/payload").select("shard", "block", "payload")
-    return mapped(payload.join(found, ["shard", "block"]), cut, "key long, ids array<long>")
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["payload"], "<u4")
+                many = [(e["key"], ids[e["offset"]:e["offset"] + e["length"]].astype(np.int64)) for e in row["entries"]]
+                yield pa.RecordBatch.from_pydict({"key": pa.array([k for k, _ in many], pa.int64()),
+                                                  "ids": pa.array([i for _, i in many], pa.list_(pa.int64()))})
+
+    found = saved(lookup(spark, path, keys).withColumns({c: F.col(c).cast("int") for c in ("shard", "block")}), "found")
+    payload = _payload(spark, path).select("shard", "block", "payload")
+    named = found.select("shard", "block").distinct().limit(most_blocks + 1).collect()
+    if len(named) <= most_blocks:
+        payload = payload.where(F.col("shard").isin(sorted({r["shard"] for r in named})) & F.col("block").isin(sorted({r["block"] for r in named})))
+    # A block meets its keys some thousands at a time; so many copies of it are made.
+    turn = F.pmod(F.xxhash64("key"), F.lit(16)).alias("turn")
+    asked = found.groupBy("shard", "block", turn).agg(F.collect_list(F.struct("key", "offset", "length")).alias("entries"))
+    return mapped(payload.join(asked, ["shard", "block"]).select("payload", "entries"), cut, "key long, ids array<long>")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablehaul.llm import perfect_hash
+from tablehaul.llm.common import numbered, told_apart
 from tablehaul.llm.packing import best_fit, best_pattern, generate_columns, pack, pieces, plan, sequences, assign
 from tablehaul.llm.token_files import lookup, read_digests, read_ids, write_store
 from tablehaul.llm.tokens import WordIds, tokenizer_path
@@ -113,3 +114,50 @@ def test_sequences_hold_the_ids(spark, library):
     for r in placed:
         assert made[r.sequence_id][r.offset:r.offset + r.length] == library(rows[r.key - 1][1], 1)[r.start:r.start + r.length].tolist()
     assert sum(map(len, made.values())) == sum(r.length for r in placed)
+
+
+def test_5000_copies_of_a_row(spark, tmp_path, library):
+    rows = [(7, "one row that is here very often", "en", "a")] * 5000 + [(i, f"row {i} of its own", "en", "a") for i in range(20)] + [(None, f"no key {i % 3}", "en", "a") for i in range(300)]
+    docs, path = frame(spark, rows), str(tmp_path / "store")
+    write_store(docs, path, rows_per_shard=500, block_bytes=4000)
+    got = sorted(read_digests(spark, path, docs.select("doc_id")).collect(), key=lambda r: r.start)
+    assert len(got) == len(rows) and got[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+    assert sorted(str((r.key, r.ids_crc32)) for r in got) == sorted(str((i, zlib.crc32(library(t, 2).tobytes()))) for i, t, *_ in rows)
+    shards = spark.read.parquet(f"{path}/payload").groupBy("shard").agg(F.sum("n_docs").alias("n")).collect()
+    assert max(r.n for r in shards) < 1500  # the copies lie in several shards
+    packed = pack(docs).collect()
+    assert len(packed) == len(rows) and len({(r.sequence_id, r.offset) for r in packed}) == len(rows)
+
+
+def test_numbering_deals_copies_to_blocks(spark):
+    rows = spark.createDataFrame([(1, 7)] * 5000 + [(2, i) for i in range(100)], "k int, v int")
+    apart = told_apart(rows, "_repeat", chunk=64)
+    assert apart.where("v = 7 AND k = 1").agg(F.min("_repeat"), F.max("_repeat"), F.count_distinct("_repeat")).first()[:] == (0, 4999, 5000)
+    got = numbered(apart, ["k"], ["v", "_repeat"], 5100, "n", rows_per_block=50).collect()
+    for k, n in ((1, 5000), (2, 100)):
+        assert sorted(r.n for r in got if r.k == k) == list(range(n))
+
+
+def test_one_key_reads_one_block(spark, tmp_path, library):
+    rows = [(i, f"text number {i} " + "of some words " * 200, "en", "a") for i in range(400)]
+    path = str(tmp_path / "store")
+    write_store(frame(spark, rows), path, rows_per_shard=100, block_bytes=8000)
+    assert spark.read.parquet(f"{path}/payload").count() > 60
+    got = read_ids(spark, path, spark.createDataFrame([(123,)], "k long"))
+    assert got.collect()[0].ids == library(rows[123][1], 2).tolist()
+    nodes = [got._jdf.queryExecution().executedPlan()]
+    scans = []
+    while nodes:
+        node = nodes.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            nodes.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        if "payload:binary" in node.toString() and node.nodeName().startswith("Scan"):
+            scans.append({m: node.metrics().apply(m).value() for m in ("numFiles", "numOutputRows")})
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert scans == [{"numFiles": 1, "numOutputRows": 1}]
+    # Keys in more blocks than are named to the scan are found by a join.
+    some = spark.createDataFrame([(i,) for i in range(0, 400, 7)], "k long")
+    want = {i: library(rows[i][1], 2).tolist() for i in range(0, 400, 7)}
+    assert {r.key: r.ids for r in read_ids(spark, path, some, most_blocks=3).collect()} == want == {r.key: r.ids for r in read_ids(spark, path, some).collect()}
