@@ -30,8 +30,9 @@ _RUN = re.compile(r"(?<!\S)\S{16,}")
 _INNER = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
 _PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.S)
 # Published forms of credentials (fixed values): cloud access key ids, code host, chat and payment tokens, web tokens.
-_KNOWN = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[0-9A-Za-z\-]{10,}|sk_live_[0-9A-Za-z]{24,}"
-                    r"|AIza[0-9A-Za-z_\-]{35}|eyJ[\w\-]{8,}\.eyJ[\w\-]{8,}\.[\w\-]*")
+_KNOWN_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza", "eyJ")
+_KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[0-9A-Za-z\-]{10,}|sk_live_[0-9A-Za-z]{24,}"
+                    r"|AIza[0-9A-Za-z_\-]{35}|eyJ[\w\-]{8,}\.eyJ[\w\-]{8,}\.[\w\-]*)(?![A-Za-z0-9])")
 _RANDOM_VALUE = re.compile(r"(?=[^\d]*\d)(?=[^a-z]*[a-z]|[^A-Z]*[A-Z])[A-Za-z0-9+/_\-]{12,}={0,2}")
 
 #: Rules whose findings need no second look: their form says what they are.
@@ -52,16 +53,21 @@ class Finding:
 
 
 def candidates(text: str | None) -> list[Finding]:
-    """Candidates of a whole text in order, without overlap: key blocks, published forms, values assigned to telling names,
-    and long runs."""
+    """Candidates of a whole text in order, without overlap: key blocks and published forms, wherever in the text they stand; in what
+    is left of it values assigned to telling names, and long runs."""
     if not text:
         return []
     spans: list[tuple[int, int, str]] = []
     if "-----BEGIN" in text:
         spans += [(m.start(), m.end(), "key_block") for m in _PEM.finditer(text)]
-    if "=" in text or ":" in text:
-        spans += [(m.start(2), m.end(2), "assigned") for m in _ASSIGNED.finditer(text)]
-    for run in _RUN.finditer(text):
+    rest = _blanked(text, spans)
+    if any(start in rest for start in _KNOWN_STARTS):
+        published = [(m.start(), m.end(), "published") for m in _KNOWN.finditer(rest)]
+        rest = _blanked(rest, published)
+        spans += published
+    if "=" in rest or ":" in rest:
+        spans += [(m.start(2), m.end(2), "assigned") for m in _ASSIGNED.finditer(rest)]
+    for run in _RUN.finditer(rest):
         for m in _INNER.finditer(run.group()):
             value = m.group()
             if len(value) >= 20 or any(c.isdigit() for c in value):
@@ -71,12 +77,20 @@ def candidates(text: str | None) -> list[Finding]:
         if start >= last:
             while rule == "assigned" and end - start > 6 and text[end - 1] in ".,;)":
                 end -= 1
-            rule = "published" if _KNOWN.fullmatch(text, start, end) else rule
             out.append(Finding(start, end, rule, text[start:end], text[max(0, start - 40):start], text[end:end + 40]))
             last = end
     return out
 
 
+def _blanked(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """The text with blanks in place of what has been found."""
+    parts, last = [], 0
+    for start, end, _ in spans:
+        parts += [text[last:start], " " * (end - start)]
+        last = end
+    return "".join([*parts, text[last:]]) if spans else text
+
+
 @dataclass
 class Corpus:
     """Log probabilities of one lower-case byte after another, and frequent words, over all documents."""
@@ -85,8 +99,7 @@ class Corpus:
     words: frozenset[str]
 
     def features(self, f: Finding, path: str | None) -> list[float]:
-        value = f.value if len(f.value) <= 4096 else f.value[:2048] + f.value[-2048:]  # a key block's ends tell enough
-        n = len(value)
+        value, n = f.value, len(f.value)
         digits, upper, lower = (sum(map(t, value)) / n for t in (str.isdigit, str.isupper, str.islower))
         kinds = [0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3 for c in value]
         raw = np.frombuffer(value.lower().encode("utf-8", "replace"), np.uint8)
@@ -132,7 +145,7 @@ def _counts(batches):
 
 def _words(words: Counter) -> pa.RecordBatch:
     """The counted words of letters, as text, at least three long; empties the counter."""
-    items = [(t, n) for w, n in words.items() if len(w) < 64 and (t := w.decode("utf-8", "replace").strip(".,;:!?")).isalpha() and len(t) > 2]
+    items = [(t, n) for w, n in words.items() if (t := w.decode("utf-8", "replace").strip(".,;:!?")).isalpha() and len(t) > 2]
     words.clear()
     return pa.RecordBatch.from_arrays([pa.array([t for t, _ in items], pa.string()), pa.array([-1] * len(items), pa.int32()),
                                        pa.array([n for _, n in items], pa.int64())], ["word", "pair", "n"])
@@ -198,8 +211,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id"
     """``key``, start, length (code points), rule, score and secret (score of 0.5 or more) for every candidate.
 
     ``labelled`` gives findings (key, start, label) to learn from; without it, labels come from published forms of credentials
-    and from plain words. Null and empty texts have no candidates; null keys and paths are allowed; repeated rows have
-    findings each; a table without candidates, or an empty one, gives no rows; other columns are not read.
+    and from plain words. Null and empty texts have no candidates; texts and values of any length are judged whole; null keys and
+    paths are allowed; repeated rows have findings each; of findings that overlap the published form, then the one that begins
+    first, then the longer one counts; a table without candidates, or an empty one, gives no rows; other columns are not read.
     """
     known = corpus(docs, text)
     found = saved(findings(docs, known, key, text, path), "findings")
@@ -226,7 +240,7 @@ def judge(found: DataFrame, forest: Forest) -> DataFrame:
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source", mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; all rows and columns stay. The forest is applied where
-    the text is, so texts are not shuffled."""
+    the text is, so texts are not shuffled. Null texts stay null, repeated rows are redacted alike, an empty table gives none."""
     known = corpus(docs, text)
     forest = train(saved(findings(docs, known, key, text, path).filter("label is not null"), "findings"))
     shared = docs.sparkSession.sparkContext.broadcast((known, forest))
