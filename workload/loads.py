@@ -344,8 +344,8 @@ def gate_on_catalog(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey > 100 THEN 'sizes,place' ELSE 'place' END AS failing_columns, 0 AS refused FROM orders
-WHERE o_orderkey > 100 OR length(o_orderpriority) > 5
+SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderkey > 127 THEN 'sizes' END, CASE WHEN length(o_orderpriority) > 5 THEN 'place' END) AS failing_columns,
+       0 AS refused FROM orders WHERE o_orderkey > 127 OR length(o_orderpriority) > 5
 """)
 def dry_run_nested(spark, sf):
     """Values inside arrays and structs that the target's types do not hold."""
