@@ -147,39 +147,63 @@ def ancestry(h: DataFrame, flag: Column | None = None, *, paths: bool = False) -
     return inner.unionByName(leaves)
 
 
-def of_run(h: DataFrame, root: str) -> DataFrame:
-    """The runs at and below ``root``, found level by level: each level joins the history with the few runs of the last."""
-    links = h.select("uuid", F.col(PARENT).alias("up"))
-    levels = [materialize(h.where(F.col("uuid") == root).select("uuid"), "level")]
+def _below(h: DataFrame, root: str, flag: Column | None = None) -> DataFrame:
+    """``uuid, up, root_uuid, depth, path, flag, flagged`` of ``root`` and the runs below it, as ``ancestry`` gives them.
+
+    What a level needs of the history is stored once. Then every level is one job: it joins these columns with the few runs of the
+    last level, which hand on what they know of the way down. What lies above ``root`` is not asked about.
+    """
+    condition = F.coalesce(flag if flag is not None else F.lit(False), F.lit(False))
+    runs = h.select("uuid", F.col(PARENT).alias("up"), F.array(F.struct("sequence_num", "uuid")).alias("path"), condition.alias("flag"))
+    links = materialize(runs.where((F.col("uuid") == root) | F.col("up").isNotNull()), "links")
+    top = links.where(F.col("uuid") == root).select("uuid", F.lit(None).cast("string").alias("up"), F.lit(root).alias("root_uuid"),
+                                                    F.lit(0).alias("depth"), "path", "flag", F.lit(False).alias("flagged"))
+    levels = []
     while True:
-        last = levels[-1].select(F.col("uuid").alias("up"))
-        level = materialize(links.join(last, "up", "left_semi").select("uuid"), "level")
-        if level.isEmpty():
-            break
-        if not level.where(F.col("uuid") == root).isEmpty():
+        seen = Observation()
+        level = materialize(top.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if((F.col("uuid") == root) & (F.col("depth") > 0)).alias("again")), "level")
+        if seen.get["again"]:
             raise LoadError(f"{root} is its own ancestor")
         levels.append(level)
-    mine = h.join(reduce(DataFrame.unionByName, levels), "uuid", "left_semi")
-    # What lies above the run is not asked about.
-    return materialize(mine.withColumn(PARENT, F.when(F.col("uuid") != root, F.col(PARENT))), "run")
+        if not seen.get["n"]:
+            return reduce(DataFrame.unionByName, levels)
+        last = level.select(F.col("uuid").alias("up"), "root_uuid", "depth", F.col("path").alias("up_path"), (F.col("flagged") | F.col("flag")).alias("flagged"))
+        top = links.join(last, "up").select("uuid", "up", "root_uuid", (F.col("depth") + 1).alias("depth"), F.concat("up_path", "path").alias("path"),
+                                            "flag", "flagged")
+
+
+def _of_run(h: DataFrame, root: str) -> DataFrame:
+    """The history with nothing above ``root``."""
+    return h.withColumn(PARENT, F.when(F.col("uuid") != root, F.col(PARENT)))
 
 
 def tree(h: DataFrame, root: str | None = None) -> DataFrame:
     """Every run with its root, depth and place in the tree; order by ``root_uuid, path`` to print it. With ``root`` only that
     run and what is below it."""
-    h = of_run(h, root) if root is not None else h
+    if root is not None:
+        return _of_run(h, root).join(_below(h, root).select("uuid", "root_uuid", "depth", "path"), "uuid")
     return h.join(ancestry(h, paths=True).select("uuid", "root_uuid", "depth", "path"), "uuid")
 
 
-def root_of(h: DataFrame) -> DataFrame:
-    """The root of every run."""
-    return ancestry(h).select("uuid", "root_uuid")
+def root_of(h: DataFrame, uuid: str | None = None) -> DataFrame:
+    """The root of every run, or of one: then its way up is looked up run by run. A parent that is not in the history is none."""
+    if uuid is None:
+        return ancestry(h).select("uuid", "root_uuid")
+    links = materialize(h.select("uuid", F.col(PARENT).alias("up")), "links")
+    way: list[str] = []
+    at = links.where(F.col("uuid") == uuid).first()
+    while at is not None:
+        if at["uuid"] in way:
+            raise LoadError(f"{at['uuid']} is its own ancestor")
+        way.append(at["uuid"])
+        at = links.where(F.col("uuid") == at["up"]).first() if at["up"] is not None else None
+    return h.sparkSession.createDataFrame([(uuid, way[-1])] if way else [], "uuid string, root_uuid string")
 
 
 def progress(h: DataFrame, root: str | None = None) -> DataFrame:
     """For every root, or for one run: how many of its descendants there are and how many have come to an end."""
-    h = of_run(h, root) if root is not None else h
-    places = ancestry(h, F.col("status").isin(*TERMINAL))
+    ended = F.col("status").isin(*TERMINAL)
+    places = ancestry(h, ended) if root is None else _below(h, root, ended)
     return (places.groupBy("root_uuid").agg(F.count_if((F.col("depth") > 0) & F.col("flag")).alias("complete"),
                                             F.count_if(F.col("depth") > 0).alias("total")))
 
@@ -195,8 +219,13 @@ def leaf_failures(h: DataFrame, root: str | None = None) -> DataFrame:
 
     Below such a run nothing more is reported. With ``root`` only that run and what is below it.
     """
-    h = of_run(h, root) if root is not None else h
     failed = F.col("status") == "FAILED"
+    if root is not None:
+        runs = _below(h, root, failed)
+        causes = runs.where("flag").join(runs.where("flag AND up IS NOT NULL").select(F.col("up").alias("uuid")), "uuid", "left_anti").select("uuid", "path")
+        above = causes.select("uuid", F.explode(F.slice("path", 1, F.size("path") - 1)["uuid"]).alias("above"))
+        explained = above.join(causes.select(F.col("uuid").alias("above")), "above", "left_semi")
+        return _of_run(h, root).join(causes.join(explained, "uuid", "left_anti").select("uuid"), "uuid", "left_semi")
     with_failed_child = (h.where(failed & F.col(PARENT).isNotNull())
                          .select(F.col(PARENT).alias("uuid"), F.lit(True).alias("explained")).distinct())
     judged = h.select("uuid", PARENT, "status").join(with_failed_child, "uuid", "left")
@@ -210,8 +239,12 @@ def remaining(h: DataFrame, root: str | None = None) -> DataFrame:
     With ``root`` only the work below that run, else that of all trees. Sort by ``root_uuid, path`` for the order of
     execution.
     """
-    h = of_run(h, root) if root is not None else h
+    done = F.col("status") == "SUCCEEDED"
+    if root is not None:
+        runs = _below(h, root, done)
+        steps = runs.where("NOT flag AND NOT flagged").join(runs.where("up IS NOT NULL").select(F.col("up").alias("uuid")), "uuid", "left_anti")
+        return _of_run(h, root).join(steps.select("uuid", "root_uuid", "depth", "path"), "uuid")
     parents = h.where(F.col(PARENT).isNotNull()).select(F.col(PARENT).alias("uuid")).distinct()
     steps = h.where(~F.col("status").eqNullSafe("SUCCEEDED")).join(parents, "uuid", "left_anti")
-    places = ancestry(h, F.col("status") == "SUCCEEDED", paths=True).where(~F.col("flagged"))
+    places = ancestry(h, done, paths=True).where(~F.col("flagged"))
     return steps.join(places.select("uuid", "root_uuid", "depth", "path"), "uuid")

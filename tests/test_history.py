@@ -156,3 +156,26 @@ def test_one_run(spark, db, seed):
         assert (progress.root_uuid, progress.total) == (root, len(mine) - 1)
         assert {r.uuid for r in runs.leaf_failures(h, root).collect()} <= mine
     assert runs.tree(h, "nobody").count() == 0
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_one_run_is_what_the_whole_forest_says_of_it(spark, db, seed):
+    rows = random_forest(150, seed)
+    h = history(spark, rows)
+    places = {r.uuid: r for r in runs.tree(h).collect()}
+    whole = {r.uuid: r.root_uuid for r in runs.root_of(h).collect()}
+    for uuid in ("r7", "r60", "r149"):
+        assert values(runs.root_of(h, uuid)) == [(uuid, whole[uuid])]
+        mine = {u for u, r in places.items() if uuid in [p.uuid for p in r.path]}
+        only = h.where(F.col("uuid").isin(list(mine))).withColumn("parent_execution_uuid", F.when(F.col("uuid") != uuid, F.col("parent_execution_uuid")))
+        for question in (runs.tree, runs.progress, runs.leaf_failures, runs.remaining):
+            one, every = question(h, uuid), question(only)
+            assert values(one, *every.columns) == values(every), question.__name__
+    assert runs.root_of(h, "nobody").count() == 0
+
+
+def test_a_circle_met_from_one_run(spark, db):
+    h = history(spark, [("a", "c", 1, "FAILED"), ("b", "a", 1, "FAILED"), ("c", "b", 1, "FAILED"), ("d", "c", 1, "FAILED")])
+    for question in (lambda: runs.root_of(h, "d"), lambda: runs.tree(h, "a").count(), lambda: runs.progress(h, "b").count()):
+        with pytest.raises(LoadError, match="ancestor"):
+            question()

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tablehaul.operators import history as runs
+from tablehaul.sources import scalar
 from tablehaul.workspace import materialize
 from workload.registry import given, query
 
@@ -248,3 +249,15 @@ SELECT uuid FROM down WHERE cause AND NOT below
 """)
 def history_failures_of_run(spark, sf):
     return runs.leaf_failures(_tied(spark, sf), "r1").select("uuid")
+
+
+@query(f"""
+WITH RECURSIVE {NODES_SQL}, up AS (
+  SELECT uuid, parent, uuid AS start FROM nodes WHERE uuid = (SELECT 'o' || CAST(max(o_orderkey) AS VARCHAR) FROM orders)
+  UNION ALL
+  SELECT n.uuid, n.parent, u.start FROM nodes n JOIN up u ON n.uuid = u.parent)
+SELECT start AS uuid, uuid AS root_uuid FROM up WHERE parent IS NULL
+""")
+def history_root_of_run(spark, sf):
+    last = scalar(given(spark, sf, "orders").agg(F.max("o_orderkey")))
+    return runs.root_of(_tree(spark, sf), f"o{last}")
