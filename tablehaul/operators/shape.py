@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablehaul.errors import LoadError
+from tablehaul.workspace import materialize
 
 
 def with_extra_columns(df: DataFrame, columns: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -76,33 +78,26 @@ def lookup_any_key(facts: DataFrame, dim: DataFrame, value: str, keys: Sequence[
     return joined.select(*[facts[c] for c in facts.columns], found.alias(returns))
 
 
-# Levels of a document that are opened by generators, which is fast; what is nested deeper is opened by a loop inside one
-# expression, which takes any depth.
-_FAST_LEVELS = 4
-
+#: Levels opened in one plan; what lies deeper is written to the shared folder in between, so that plans stay small.
+_LEVELS = 8
 _CONTAINER = "(try_cast({v} AS map<string, variant>) IS NOT NULL OR try_cast({v} AS array<variant>) IS NOT NULL)"
-_BELOW = """coalesce(
-  transform(map_entries(try_cast({v} AS map<string, variant>)),
-            e -> named_struct('path', if({path} = '', e.key, concat({path}, '.', e.key)), 'v', e.value)),
-  transform(try_cast({v} AS array<variant>),
-            (item, i) -> named_struct('path', concat({path}, '[', i, ']'), 'v', item)))"""
-
-# Each step replaces the containers found so far by what they hold. A value needs at most as many steps as it has
-# opening brackets.
-_DEEPER = f"""
-if(NOT _leaf AND {_CONTAINER.format(v='_v')}, aggregate(
-  sequence(1, length(regexp_replace(cast(_v AS string), '[^\\\\[{{]', ''))),
-  named_struct('open', array(named_struct('path', _path, 'v', _v)),
-               'leaves', cast(array() AS array<struct<path: string, v: variant>>)),
-  (state, step) -> if(size(state.open) = 0, state, transform(
-    array(flatten(transform(state.open, n -> {_BELOW.format(v='n.v', path='n.path')}))),
-    found -> named_struct('open', filter(found, n -> {_CONTAINER.format(v='n.v')}),
-                          'leaves', concat(state.leaves, filter(found, n -> NOT {_CONTAINER.format(v='n.v')}))))[0]),
-  state -> state.leaves), NULL)
-"""
-
-
-def _open_one_level(rows: DataFrame, id_col: str) -> DataFrame:
+
+
+def json_depth(text: Column) -> Column:
+    """How deep the brackets of a JSON text are nested, those inside its strings left out; 0 for a plain value or null."""
+    strings = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    brackets = F.regexp_replace(F.regexp_replace(text, strings, ""), r"[^\[\]{}]", "")
+
+    def step(state: Column, bracket: Column) -> Column:
+        now = state["now"] + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.when(F.coalesce(brackets, F.lit("")) == "", 0).otherwise(
+        F.aggregate(F.split(brackets, ""), start, step, lambda state: state["most"]))
+
+
+def _open_one_level(rows: DataFrame, id_col: str, text_only: bool) -> DataFrame:
     """Containers are replaced by what they hold; what turned out to be a leaf is marked and not looked into again."""
     inside = rows.sparkSession.tvf.variant_explode_outer(F.when(~F.col("_leaf"), F.col("_v")).outer()).toDF("_pos", "_key", "_value")
     nothing = F.col("_pos").isNull()
@@ -113,25 +108,34 @@ def _open_one_level(rows: DataFrame, id_col: str) -> DataFrame:
     value = F.when(nothing, F.col("_v")).otherwise(F.col("_value"))
     # Nothing inside: a leaf, or an empty container, which has no leaves.
     empty = nothing & ~F.col("_leaf") & F.expr(_CONTAINER.format(v="_v"))
-    return (rows.lateralJoin(inside).where(~empty)
-            .select(id_col, path.alias("_path"), value.alias("_v"), (F.col("_leaf") | nothing).alias("_leaf")))
+    opened = (rows.lateralJoin(inside).where(~empty)
+              .select(id_col, path.alias("_path"), value.alias("_v"), (F.col("_leaf") | nothing).alias("_leaf")))
+    if text_only:
+        opened = opened.where(F.expr(f"_leaf OR schema_of_variant(_v) = 'STRING' OR {_CONTAINER.format(v='_v')}"))
+    return opened
 
 
 def flatten_json(df: DataFrame, id_col: str, json_col: str, *, text_only: bool = False,
                  skip_malformed: bool = False) -> DataFrame:
     """One row ``(id, path, value)`` per leaf of a JSON column, at any depth: ``a.b``, ``a.list[0]``.
 
-    ``text_only`` keeps text leaves and leaves out numbers, booleans and nulls. Malformed JSON fails the query unless
-    it is to be skipped. Runs inside the scan's tasks without a shuffle.
+    ``text_only`` keeps text leaves and leaves out numbers, booleans and nulls, level by level. Malformed JSON fails the query unless
+    it is to be skipped. One aggregate finds the deepest nesting, and just so many levels are opened, inside the scan's tasks without
+    a shuffle.
     """
     parse = "try_parse_json" if skip_malformed else "parse_json"
+    good = F.expr(f"try_parse_json(`{json_col}`)").isNotNull() if skip_malformed else F.lit(True)
+    levels = df.agg(F.max(F.when(good, json_depth(F.col(f"`{json_col}`"))))).first()[0] or 0
     rows = (df.select(F.col(id_col), F.lit("").alias("_path"), F.expr(f"{parse}(`{json_col}`)").alias("_v"), F.lit(False).alias("_leaf"))
             .where(F.col("_v").isNotNull()))
-    for _ in range(_FAST_LEVELS):
-        rows = _open_one_level(rows, id_col)
-    deep = ~F.col("_leaf") & F.expr(_CONTAINER.format(v="_v"))
-    leaves = (rows.select("*", F.expr(f"inline_outer({_DEEPER})")).where(~deep | F.col("path").isNotNull())
-              .select(id_col, F.coalesce("path", "_path").alias("path"), F.coalesce("v", "_v").alias("v")))
+    leaves = []
+    for level in range(1, levels + 1):
+        rows = _open_one_level(rows, id_col, text_only)
+        if level % _LEVELS == 0 and level < levels:
+            stored = materialize(rows, "opened")
+            leaves.append(stored.where("_leaf"))
+            rows = stored.where("NOT _leaf")
+    found = reduce(DataFrame.unionByName, leaves, rows)
     if text_only:
-        leaves = leaves.where(F.expr("schema_of_variant(v) = 'STRING'"))
-    return leaves.select(id_col, "path", F.col("v").cast("string").alias("value"))
+        found = found.where(F.expr("schema_of_variant(_v) = 'STRING'"))
+    return found.select(id_col, F.col("_path").alias("path"), F.col("_v").cast("string").alias("value"))

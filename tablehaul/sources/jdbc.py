@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablehaul.errors import LoadError
 
@@ -26,7 +28,8 @@ MYSQL_STREAMING = -2147483648
 class Ranges:
     """Split a read into ``parts`` ranges of a number, date or timestamp column.
 
-    Without bounds the column's smallest and largest values are asked from the database first.
+    Without bounds the column's smallest and largest values are asked from the database first. Uneven values are better split by
+    ``EvenSplits``.
     """
 
     column: str
@@ -35,6 +38,19 @@ class Ranges:
     upper: object | None = None
 
 
+@dataclass(frozen=True)
+class EvenSplits:
+    """Split a read into ``parts`` of about equal numbers of rows, by quantiles of a column.
+
+    They are found in a sample: ``sample`` is a query for some of the column's values, such as every thousandth key; without one
+    all of them are read once.
+    """
+
+    column: str
+    parts: int
+    sample: str | None = None
+
+
 def _url(database_type: str, host: str | None, port: int | None, database: str | None, options: str | None) -> str:
     kind = (database_type or "").lower()
     if kind == "mysql":
@@ -57,12 +73,37 @@ def jdbc_options(database_type: str | None = None, host: str | None = None, port
     return {name: value for name, value in found.items() if value is not None}
 
 
+def even_bounds(keys: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list[object]:
+    """Up to ``parts`` - 1 values that cut a column into parts of about equal numbers of rows, however uneven its values are.
+
+    They come from a sketch of quantiles, whose size depends on ``accuracy`` alone. A value that more than a part's rows have is a
+    bound once, and its rows stay together.
+    """
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    found = keys.agg(F.approx_percentile(column, shares, accuracy)).first()[0] or []
+    return sorted(set(found))
+
+
+def split_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """Conditions that together cover every row once: values below the first bound and nulls, between two bounds, and from the last."""
+    if not bounds:
+        return ["1 = 1"]
+
+    def text(value: object) -> str:
+        return str(value) if isinstance(value, (int, float, Decimal)) else f"'{value}'"
+
+    inner = [f"{column} >= {text(a)} AND {column} < {text(b)}" for a, b in zip(bounds, bounds[1:], strict=False)]
+    return [f"{column} < {text(bounds[0])} OR {column} IS NULL", *inner, f"{column} >= {text(bounds[-1])}"]
+
+
 def _subquery(query: str) -> str:
     return f"({query.strip().rstrip(';')}) extract_rows"
 
 
 def read_jdbc(spark: SparkSession, source: dict[str, str], query: str, *, context: str | None = None,
-              fetch_size: int | None = None, ranges: Ranges | None = None,
+              fetch_size: int | None = None, ranges: Ranges | EvenSplits | None = None,
               predicates: Sequence[str] | None = None, single: bool = False) -> DataFrame:
     """Rows of a query on a database.
 
@@ -80,6 +121,9 @@ def read_jdbc(spark: SparkSession, source: dict[str, str], query: str, *, contex
     if fetch_size is not None:
         options["fetchsize"] = str(fetch_size)
     reader = spark.read.format("jdbc").options(**options)
+    if isinstance(ranges, EvenSplits):
+        keys = reader.option("dbtable", _subquery(ranges.sample or f"select {ranges.column} from {_subquery(query)}")).load()
+        predicates, ranges = split_predicates(ranges.column, even_bounds(keys, keys.columns[0], ranges.parts)), None
     if predicates is not None:
         properties = {name: value for name, value in options.items() if name != "url"}
         return spark.read.jdbc(options["url"], _subquery(query), predicates=list(predicates), properties=properties)

@@ -118,3 +118,20 @@ def test_flags(spark):
     flags = spark.createDataFrame([(t,) for t in ("true", "T", "yes", "1", "5", "0", "false", "no", "junk", None)], "t string")
     got = [r[0] for r in flags.select(parse_flag(F.col("t"))).collect()]
     assert got == [True, True, True, True, True, False, False, False, False, False]
+
+
+def test_depth_is_measured(spark):
+    from tablehaul.operators.shape import json_depth
+
+    texts = [("{}", 1), ("5", 0), (None, 0), ('"[[["', 0), ('{"a[": "{\\"["}', 1), ('{"a": [1, {"b": []}, "]"]}', 4), ("[" * 300 + "]" * 300, 300),
+             ('{"long": "' + "x" * 200_000 + '"}', 1)]
+    got = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, t string").select("i", json_depth(F.col("t"))).collect()
+    assert [d for _, d in sorted(got)] == [d for _, d in texts]
+
+
+def test_levels_beyond_one_plan(spark):
+    rows = [(i, '{"a":[' * i + f'"{i}", true' + "]}" * i) if i else (0, '"0"') for i in (0, 1, 7, 8, 9, 20)]
+    got = flatten_json(spark.createDataFrame(rows, "id int, doc string"), "id", "doc", text_only=True)
+    assert set(values(got)) == {(i, ".".join(["a[0]"] * i), str(i)) for i, _ in rows}
+    mixed = flatten_json(spark.createDataFrame(rows + [(99, "[[[broken")], "id int, doc string"), "id", "doc", skip_malformed=True)
+    assert mixed.count() == 11

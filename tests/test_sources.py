@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
 from tablehaul import LoadError, Ranges, extract, gate, jdbc_options, read_jdbc, read_table, scalar, staged_extract, write_jdbc
@@ -144,3 +145,18 @@ def test_staged_extract_sees_earlier_steps_and_context(spark):
                                  ("step_two", "SELECT id * :factor AS id FROM step_one")],
                          "SELECT sum(id) AS total FROM step_two", {"factor": 10})
     assert values(got) == [(170,)]
+
+
+def test_even_splits_cover_every_row_once(spark):
+    from tablehaul.sources import EvenSplits, even_bounds, read_jdbc, split_predicates
+
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 40 = 0 THEN NULL WHEN id % 5 = 0 THEN 7 ELSE id * id END AS k")
+    predicates = split_predicates("k", even_bounds(rows, "k", 8))
+    assert sum(rows.where(p).count() for p in predicates) == 4000 and len(predicates) > 5
+    assert max(rows.where(p).count() for p in predicates) < 700 + 500  # 700 rows share one value, and 500 are a part
+    assert split_predicates("k", even_bounds(rows.limit(0), "k", 8)) == ["1 = 1"] and even_bounds(rows, "k", 1) == []
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-12-31')) AS d")
+    parts = split_predicates("d", even_bounds(days, "d", 4))
+    assert len(parts) == 4 and sum(days.where(p).count() for p in parts) == 366
+    with pytest.raises(LoadError):
+        read_jdbc(spark, {"url": "jdbc:h2:x"}, "select 1", ranges=EvenSplits("k", 4), single=True)

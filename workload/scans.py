@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tablehaul.functions import clip_message, contains_text, field_rank, label, starts_with_text
 from tablehaul.operators.schema import describe_query
 from tablehaul.operators.shape import (flatten_json, lookup_any_key, lookup_priority, with_extra_columns, with_tags)
-from tablehaul.sources import extract, read_table, run_context, staged_extract, substitute
+from tablehaul.sources import even_bounds, extract, read_table, run_context, split_predicates, staged_extract, substitute
 from tablehaul.streaming import changed_keys, delta, in_window, new_watermark, previous_watermarks
 from workload.registry import given, query, views
 
@@ -254,6 +254,27 @@ def flatten_json_text_only(spark, sf):
     return flatten_json(docs, "o_orderkey", "doc", text_only=True)
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE repeat('a"[.b[0].', CAST(o_orderkey % 19 - 1 AS INTEGER)) || 'a"[.b[0]' END AS path,
+       CAST(o_custkey AS VARCHAR) AS value FROM orders
+""")
+def flatten_json_deep(spark, sf):
+    """Nested up to 36 levels deep, with brackets in names."""
+    level = F.expr("int(o_orderkey % 19)")
+    doc = F.concat(F.expr(r"""repeat('{"a\\"[": {"b": [', int(o_orderkey % 19))"""), F.col("o_custkey").cast("string"), F.repeat(F.lit("]}}"), level))
+    return flatten_json(given(spark, sf, "orders").select("o_orderkey", doc.alias("doc")), "o_orderkey", "doc")
+
+
+@query("SELECT 16 AS splits, count(*) AS rows_total, true AS even FROM lineitem")
+def splits_of_uneven_keys(spark, sf):
+    """Keys far from evenly spaced, split by quantiles; no part has more than 1.2 times the mean."""
+    rows = given(spark, sf, "lineitem").select((F.pow(F.col("l_orderkey").cast("double"), F.lit(4.0)) + F.col("l_linenumber")).alias("k"))
+    predicates = split_predicates("k", even_bounds(rows, "k", 16))
+    part = F.coalesce(*[F.when(F.expr(p), i) for i, p in enumerate(predicates)])
+    each = rows.groupBy(part.alias("part")).count()
+    return each.agg(F.count(F.lit(1)).cast("int").alias("splits"), F.sum("count").alias("rows_total"), (F.max("count") <= 1.2 * F.avg("count")).alias("even"))
+
+
 @query("""
 SELECT doc_id, left(text, 1000) AS message, coalesce(nullif(lang, 'en'), source, '(unknown)') AS label,
        'doc-' || CAST(doc_id AS VARCHAR) || '@' || source AS tag,
