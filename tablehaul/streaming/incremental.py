@@ -10,16 +10,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from tablehaul.errors import LoadError
 from tablehaul.functions.dates import ntz, same_zone_literal
 from tablehaul.operators.schema import as_schema, ensure_table, qualified, same_schema, schema_of, table_exists
-from tablehaul.operators.sinks import (AUDIT, append_by_name, audit, existing_partitions, partition_exists, partition_text,
+from tablehaul.operators.sinks import (AUDIT, append_by_name, audit, counted, existing_partitions, partition_exists, partition_text,
                                        replace_partition, replace_partitions, typed_values)
 from tablehaul.sources.extract import scalar_timestamp
+from tablehaul.streaming.bloom import bloom_filter, might_hold
 from tablehaul.workspace import intermediate, materialize
 
 LOG_SCHEMA = ("table_name string, partition_num string, starting_watermark timestamp_ntz, "
@@ -109,6 +110,34 @@ def _in_range(rows: DataFrame, key: str, seen: Observation | None) -> DataFrame:
     return rows.where(F.col(key).between(seen.get["low"], seen.get["high"]))
 
 
+class _Narrowed:
+    """The changed keys, with what leaves out or sets apart rows before they are joined with them."""
+
+    def __init__(self, changed: DataFrame, keys: Sequence[str], ignore_case: bool, n: int, bloom_from: int):
+        self.changed, self.keys, self.ignore_case = changed, list(keys), ignore_case
+        bloom, self.bits = bloom_filter(changed.select(*keys), n)
+        self.bloom = materialize(bloom, "bloom") if n >= bloom_from else None
+
+    def _maybe(self, rows: DataFrame) -> Column | None:
+        kinds = [rows.select(k).schema[0].dataType for k in self.keys]
+        if self.bloom is None or kinds != [f.dataType for f in self.changed.select(*self.keys).schema.fields]:
+            return None  # values that are equal only after a cast have hashes of their own
+        texts = [self.ignore_case and kind.typeName() in ("string", "varchar", "char") for kind in kinds]
+        return might_hold(self.bloom, self.bits, [F.lower(k) if text else F.col(k) for k, text in zip(self.keys, texts, strict=True)])
+
+    def matching(self, rows: DataFrame, how: str) -> DataFrame:
+        """The rows of changed keys (``left_semi``, ``inner``)."""
+        maybe = self._maybe(rows)
+        return _matching(rows if maybe is None else rows.where(maybe), self.changed, self.keys, how, self.ignore_case)
+
+    def others(self, rows: DataFrame) -> DataFrame:
+        """The rows of all other keys; those that certainly are some take no part in the join."""
+        maybe = self._maybe(rows)
+        if maybe is None:
+            return _matching(rows, self.changed, self.keys, "left_anti", self.ignore_case)
+        return rows.where(~maybe).unionByName(_matching(rows.where(maybe), self.changed, self.keys, "left_anti", self.ignore_case))
+
+
 def _folded(df: DataFrame, keys: Sequence[str], ignore_case: bool) -> DataFrame:
     """Text keys in lower case, as a database with a case-blind collation compares them."""
     if not ignore_case:
@@ -133,7 +162,7 @@ def _marked(df: DataFrame, mark: str | None, kind: str) -> DataFrame:
 def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame, key: str | Sequence[str],
                      changed_at: str, target: str, partition: tuple[str, object], log_table: str,
                      schema: StructType | str | None = None, mark: str | None = None, dedup: bool = True,
-                     on_schema_change: str = "recreate", ignore_case: bool = False) -> DataFrame:
+                     on_schema_change: str = "recreate", ignore_case: bool = False, bloom_from: int = 100_000) -> DataFrame:
     """Bring one partition of ``target`` up to the change log's latest mark; returns the audit row.
 
     ``source`` is the full extract, narrowed to the changed keys here, or a function of (previous, new) marks that
@@ -143,7 +172,8 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
 
     Nothing is done when the latest mark is the recorded one. Changed columns recreate the whole target and reload
     this partition in full (``on_schema_change="fail"`` refuses instead). A partition that is not in the target is
-    loaded in full whatever the log says. ``ignore_case`` matches text keys as case-blind databases do.
+    loaded in full whatever the log says. ``ignore_case`` matches text keys as case-blind databases do. From ``bloom_from`` changed
+    keys on, a Bloom filter of them keeps most other rows of the source and the target out of the joins; the result is the same.
     """
     if on_schema_change not in ("recreate", "fail"):
         raise LoadError("on_schema_change must be recreate or fail")
@@ -190,13 +220,15 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
         # Written once because both sides need it, and so that the joins know its size.
         window = _folded(in_window(changes, changed_at, previous, new).select(*keys), keys, ignore_case)
         window, seen = _key_range(window.distinct() if dedup else window, keys)
+        window, number = counted(window)
         with intermediate(window, "changed_keys") as changed:
+            narrowed = _Narrowed(changed, keys, ignore_case, number.get["rows"], bloom_from)
             if isinstance(source, DataFrame):
-                rows = _matching(_in_range(rows, keys[0], seen), changed, keys, "left_semi" if dedup else "inner", ignore_case)
+                rows = narrowed.matching(_in_range(rows, keys[0], seen), "left_semi" if dedup else "inner")
                 # Few rows from many tasks: gather them in files of a good size.
                 rows = rows.hint("rebalance")
             current = spark.table(target).where(F.col(column) == F.lit(value))
-            kept = _matching(current, changed, keys, "left_anti", ignore_case)
+            kept = narrowed.others(current)
             done = replace_partition(spark, _marked(rows, mark, DELTA), target, column, value, schema=schema,
                                      keep=kept)
         kind = DELTA

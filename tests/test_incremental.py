@@ -284,3 +284,56 @@ def test_many_partitions_report_and_skip(spark, db):
     assert {r["partition"]: r["action"] for r in done.collect()} == {"part=0": "skipped", "part=1": "incremental-load", "part=2": "skipped",
                                                                      "part=3": "skipped"}
     assert spark.table(f"{db}.many").count() == 59
+
+
+def test_bloom_filter_keeps_other_rows_out_of_the_join(spark, db):
+    from tablehaul.streaming.bloom import bloom_filter, might_hold
+    from tablehaul.streaming.incremental import _Narrowed
+
+    rows = spark.range(60_000).select(F.md5(F.col("id").cast("string")).alias("code"), "id").unionByName(
+        spark.createDataFrame([(None, -1)], "code string, id long"))
+    changed = rows.where("id % 100 = 3").select("code")
+    bloom, bits = bloom_filter(changed, 600)
+    assert bits == 8192 and rows.where("id % 100 = 3").where(might_hold(bloom, bits, [F.col("code")])).count() == 600
+    assert rows.where(might_hold(bloom, bits, [F.col("code")])).count() < 3000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bloom_from, least, most in ((1, 600, 3000), (10**9, 60_000, 60_001)):
+            narrowed = _Narrowed(changed, ["code"], False, 600, bloom_from)
+            mine, others = narrowed.matching(rows, "left_semi"), narrowed.others(rows)
+            assert {r.id for r in mine.collect()} == set(range(3, 60_000, 100))
+            assert others.count() == 60_001 - 600 and others.where("id = -1").count() == 1
+            assert least <= _shuffled(mine) <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _shuffled(df):
+    """Rows that the larger side of the join sent through its shuffle."""
+    df.collect()
+    nodes, found = [df._jdf.queryExecution().executedPlan()], [0]
+    while nodes:
+        node = nodes.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            nodes.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return max(found)
+
+
+@pytest.mark.parametrize("ignore_case", [False, True])
+def test_a_bloom_filter_changes_no_result(spark, db, ignore_case):
+    rows = spark.createDataFrame([(f"K{i}", i) for i in range(200)], "code string, n int")
+    changes = spark.createDataFrame([(f"K{i}" if i % 2 or not ignore_case else f"k{i}", datetime(2024, 1, 1 + i % 3)) for i in range(0, 150, 7)], "code string, at timestamp_ntz")
+    got = []
+    for name, bloom_from in (("a", 1), ("b", 10**9)):
+        options = {"key": "code", "changed_at": "at", "target": f"{db}.{name}", "partition": ("p", 1), "log_table": f"{db}.{name}_log",
+                   "ignore_case": ignore_case, "bloom_from": bloom_from, "mark": "how"}
+        inc.incremental_load(spark, source=rows, changes=changes.where("at < TIMESTAMP_NTZ'2024-01-02'"), **options)
+        inc.incremental_load(spark, source=rows.where("n % 21 <> 0").withColumn("n", F.col("n") + 1000), changes=changes, **options)
+        got.append(values(spark.table(f"{db}.{name}")))
+    assert got[0] == got[1] and 150 < len(got[0]) < 200

@@ -170,3 +170,40 @@ def incremental_ignoring_case(spark, sf):
     incremental_load(spark, source=rows, changes=changes.where(FIRST), **options)
     incremental_load(spark, source=rows.withColumn("c_acctbal", F.col("c_acctbal") + 1), changes=changes, **options)
     return spark.table(table)
+
+
+@query(f"""
+SELECT md5('k' || CAST(c_custkey AS VARCHAR)) AS code, CASE WHEN {CHANGED} THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, 1 AS part
+FROM customer WHERE NOT (c_mktsegment = 'BUILDING' AND {CHANGED})
+""")
+def incremental_text_keys(spark, sf):
+    """Keys as random texts, which have no range: a Bloom filter of the changed ones keeps other rows out of the joins."""
+    from tablehaul.streaming import incremental_load
+
+    table = target(spark)
+    rows = given(spark, sf, "customer").select(F.md5(F.concat(F.lit("k"), F.col("c_custkey").cast("string"))).alias("code"), "c_acctbal", "c_mktsegment")
+    changes = given(spark, sf, "events").select(F.md5(F.concat(F.lit("k"), F.col("user_id").cast("string"))).alias("code"), "ts")
+    options = {"key": "code", "changed_at": "ts", "target": table, "partition": ("part", 1), "log_table": f"{table}_log", "bloom_from": 1}
+    incremental_load(spark, source=rows.drop("c_mktsegment"), changes=changes.where(FIRST), **options)
+    later = rows.where("c_mktsegment <> 'BUILDING'").withColumn("c_acctbal", F.col("c_acctbal") + 1).drop("c_mktsegment")
+    incremental_load(spark, source=later, changes=changes, **options)
+    return spark.table(table)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, 'initial-load' AS message, 1 AS partition_num, 6 AS refused FROM customer")
+def incremental_guards(spark, sf):
+    """Loads that say too little, or that would change columns where that is refused, leave the table as it was."""
+    from tablehaul.errors import LoadError
+    from tablehaul.streaming import incremental_load
+
+    table, rows, changes = target(spark), _customers(spark, sf), _changes(spark, sf)
+    _refresh(spark, table, rows, changes)
+    good = {"key": "c_custkey", "changed_at": "ts", "target": table, "partition": ("partition_num", 1), "log_table": f"{table}_log"}
+    refused = 0
+    for wrong in ({"key": []}, {"changed_at": ""}, {"log_table": ""}, {"partition": ("", 1)}, {"partition": ("partition_num", None)},
+                  {"on_schema_change": "fail"}):
+        try:
+            incremental_load(spark, source=rows.drop("c_name"), changes=changes, **{**good, **wrong})
+        except LoadError:
+            refused += 1
+    return spark.table(table).withColumn("refused", F.lit(refused))
