@@ -217,8 +217,8 @@ def judge(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, key:
           text: str = "text") -> DataFrame:
     """``key``, the counts, base_failed and kept (both boolean) for every row of ``docs``, with the text's hash.
 
-    Null and empty texts have no words and so fail the base rule. Repeated rows are judged alike, null keys like others
-    (they only cannot be labelled). Without labels of both classes the base rule alone decides. An empty table gives no
+    Null and empty texts have no words and so fail the base rule; texts of any length are counted whole. Repeated rows are judged
+    alike, null keys like others (they only cannot be labelled); rows with equal counts have one verdict. Without labels of both classes the base rule alone decides. An empty table gives no
     rows; other columns are not read.
     """
     stats = saved(statistics(docs, key, text), "quality_stats")
@@ -228,5 +228,7 @@ def judge(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, key:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are judged good; every row by its own text, with or without key."""
+    """The rows of ``docs``, with all their columns, that are judged good; every row by its own text, with or without key.
+
+    Null and empty texts go, repeated rows stay or go together, columns may have any names, an empty table gives no rows."""
     return rows_of(docs, judge(docs, labels, key=key, text=text).filter("kept"), key, text)

@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, seed: int
     hash, and whether the row is the first of its component, for every row.
 
     Two rows are linked when their fingerprints differ in at most ``radius`` bits. Null and wordless texts have fingerprint
-    zero and are linked like others. Rows with a null key have a fingerprint and their component's smallest key, which is
+    zero and are linked like others; texts of any length are read whole. Rows with a null key have a fingerprint and their component's smallest key, which is
     null only if no row of the component has one. Repeated rows give repeated rows; an empty table gives none; other
     columns are not read. The first row of a component has the smallest key and then text hash; rows that repeat it
     are first, too.

@@ -188,7 +188,8 @@ def _checksums(batches):
 
 def read_digests(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """Of each document whose key is in ``keys``, found by the index: key, start, n_tokens, and ids_crc32 of the payload
-    as it is read back. The payload is read once, block by block, and never shuffled."""
+    as it is read back. The payload is read once, block by block, and never shuffled. Null keys are keys, repeated keys in ``keys``
+    count once, keys that the store lacks give no row; all documents of a key are returned."""
     found = lookup(spark, path, keys).select(
         "key", F.explode(F.sequence(F.col("row"), F.col("row") + F.col("repeats") - 1)).alias("row"))
     payload = _payload(spark, path).select("shard", "block", "payload", "lengths")
