@@ -16,7 +16,7 @@ from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from tablehaul.errors import LoadError
 from tablehaul.functions.dates import ntz, same_zone_literal
-from tablehaul.operators.schema import as_schema, ensure_table, qualified, same_schema, schema_of, table_exists
+from tablehaul.operators.schema import as_schema, ensure_table, literal, qualified, same_schema, schema_of, table_exists
 from tablehaul.operators.sinks import (AUDIT, append_by_name, audit, counted, existing_partitions, partition_exists, partition_text,
                                        replace_partition, replace_partitions, typed_values)
 from tablehaul.sources.extract import scalar_timestamp
@@ -146,13 +146,16 @@ def _folded(df: DataFrame, keys: Sequence[str], ignore_case: bool) -> DataFrame:
     return df.withColumns({k: F.lower(k) for k in keys if kinds.get(k.lower()) in ("string", "varchar", "char")})
 
 
-def _matching(rows: DataFrame, changed: DataFrame, keys: Sequence[str], how: str, ignore_case: bool) -> DataFrame:
-    """Join rows with changed keys by equality; a folded key is computed once per side and the rows keep their own."""
+def _matching(rows: DataFrame, changed: DataFrame, keys: Sequence[str], how: str, ignore_case: bool, exact: Sequence[str] = ()) -> DataFrame:
+    """Join rows with changed keys by equality; a folded key is computed once per side and the rows keep their own. The columns
+    ``exact`` are compared as they are."""
+    by = [*exact, *(k for k in keys if k not in exact)]
     if not ignore_case:
-        return rows.join(changed, list(keys), how)
-    folded = _folded(rows.withColumns({f"_folded_{k}": F.col(k) for k in keys}), [f"_folded_{k}" for k in keys], True)
-    other = changed.select([F.col(k).alias(f"_folded_{k}") for k in keys])
-    return folded.join(other, [f"_folded_{k}" for k in keys], how).select(rows.columns)
+        return rows.join(changed, by, how)
+    names = {k: k if k in exact else f"_folded_{k}" for k in by}
+    folded = _folded(rows.withColumns({n: F.col(k) for k, n in names.items() if n != k}), [n for k, n in names.items() if n != k], True)
+    other = changed.select([F.col(k).alias(n) for k, n in names.items()])
+    return folded.join(other, list(names.values()), how).select(rows.columns)
 
 
 def _marked(df: DataFrame, mark: str | None, kind: str) -> DataFrame:
@@ -237,18 +240,34 @@ def incremental_load(spark: SparkSession, *, source: Source, changes: DataFrame,
     return done.withColumn("action", F.lit(kind))
 
 
-def incremental_load_partitions(spark: SparkSession, *, source: DataFrame, changes: DataFrame, key: str | Sequence[str],
-                                changed_at: str, target: str, column: str, values: Sequence[object], log_table: str,
-                                schema: StructType | str | None = None, mark: str | None = None) -> DataFrame:
+def partition_predicates(marks: DataFrame, column: str, changed: str) -> list[str]:
+    """One condition per partition of ``marks`` (value, previous, new), as ``read_jdbc`` takes them: the whole partition where it has
+    no previous mark, else its rows that also meet ``changed``, a condition with {previous} and {new} in it."""
+    return [f"{column} = {literal(m['value'])}" + ("" if m["previous"] is None else f" AND ({changed.format(previous=m['previous'], new=m['new'])})")
+            for m in marks.orderBy("value").collect()]
+
+
+def incremental_load_partitions(spark: SparkSession, *, source: DataFrame | Callable[[DataFrame], DataFrame], changes: DataFrame,
+                                key: str | Sequence[str], changed_at: str, target: str, column: str, values: Sequence[object],
+                                log_table: str, schema: StructType | str | None = None, mark: str | None = None, dedup: bool = True,
+                                on_schema_change: str = "recreate", ignore_case: bool = False) -> DataFrame:
     """Bring many partitions of ``target`` up to their own latest marks in one write; one audit row per value.
 
     ``source`` and ``changes`` carry the partition column; each partition has its own marks. Partitions without a new mark
     are left alone, new ones are loaded in full, the others are merged as in ``incremental_load``. The marks of all
     partitions are found by one job each and recorded together once the partitions are switched.
+
+    ``source`` may be a function of the marks to load, a frame (value, previous, new; previous is null for a full load), that returns
+    the rows to load, so that a database can choose them (``partition_predicates``); ``schema`` has to be given then. The other options
+    are those of ``incremental_load``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not keys or not changed_at or not column or not values or not log_table:
         raise LoadError("A load of many partitions needs keys, a time column, a partition column, values and a log table")
+    if on_schema_change not in ("recreate", "fail"):
+        raise LoadError("on_schema_change must be recreate or fail")
+    if schema is None and not isinstance(source, DataFrame):
+        raise LoadError("A source that depends on marks needs a schema")
     target, log_table = qualified(spark, target), qualified(spark, log_table)
     if schema is None:
         extra = StructType.fromDDL(f"`{mark}` string") if mark else StructType()
@@ -256,6 +275,8 @@ def incremental_load_partitions(spark: SparkSession, *, source: DataFrame, chang
     schema = as_schema(schema)
     values = list(dict.fromkeys(typed_values(spark, schema, column, values)))
     recreate = table_exists(spark, target) and not same_schema(schema_of(spark, target), schema)
+    if recreate and on_schema_change == "fail":
+        raise LoadError(f"The columns of {target} differ from the extract's")
     latest = dict(changes.where(F.col(column).isin(values)).groupBy(column).agg(F.max(changed_at).cast("timestamp_ntz")).collect())
     recorded: dict[str, dt.datetime] = {}
     if table_exists(spark, log_table) and not recreate:
@@ -269,19 +290,28 @@ def incremental_load_partitions(spark: SparkSession, *, source: DataFrame, chang
     if not full and not merged:
         rows = [(target, f"{column}={v}", "skipped", None, None, None, None) for v in values]
         return spark.createDataFrame(rows, AUDIT)
-    kind = changes.schema[changed_at].dataType
-    marks = spark.createDataFrame([(v, previous[v], new[v]) for v in merged], StructType(
-        [StructField("_value", source.schema[column].dataType), StructField("_from", TimestampNTZType()), StructField("_to", TimestampNTZType())]))
-    window = changes.join(marks, changes[column] == marks["_value"]).where(
+    kind, part = changes.schema[changed_at].dataType, next(f.dataType for f in schema.fields if f.name.lower() == column.lower())
+    marks = spark.createDataFrame([(v, previous[v], new[v]) for v in full + merged], StructType(
+        [StructField("value", part), StructField("previous", TimestampNTZType()), StructField("new", TimestampNTZType())]))
+    ends = marks.where("previous IS NOT NULL").toDF("_value", "_from", "_to")
+    window = changes.join(ends, changes[column] == ends["_value"]).where(
         F.col(changed_at).between(F.col("_from").cast(kind), F.col("_to").cast(kind))).select(
-        F.col("_value").alias(column), *[changes[k] for k in keys if k != column]).distinct()
-    by = list(dict.fromkeys([column, *keys]))
-    with intermediate(window, "changed_keys") as changed:
-        rows = _marked(source.where(F.col(column).isin(full)), mark, INITIAL)
-        rows = rows.unionByName(_marked(source.where(F.col(column).isin(merged)).join(changed, by, "left_semi"), mark, DELTA))
+        F.col("_value").alias(column), *[changes[k] for k in keys if k != column])
+    folding = [k for k in keys if k != column]
+    window = _folded(window, folding, ignore_case)
+    with intermediate(window.distinct() if dedup else window, "changed_keys") as changed:
+        def matching(rows: DataFrame, how: str) -> DataFrame:
+            return _matching(rows, changed, keys, how, ignore_case, exact=[column])
+
+        if isinstance(source, DataFrame):
+            rows = _marked(source.where(F.col(column).isin(full)), mark, INITIAL).unionByName(
+                _marked(matching(source.where(F.col(column).isin(merged)), "left_semi" if dedup else "inner"), mark, DELTA))
+        else:
+            rows = source(marks)
+            if mark:
+                rows = rows.withColumn(mark, F.when(F.col(column).isin(full), INITIAL).otherwise(DELTA))
         if merged:
-            rows = rows.unionByName(spark.table(target).where(F.col(column).isin(merged)).join(changed, by, "left_anti"),
-                                    allowMissingColumns=True)
+            rows = rows.unionByName(matching(spark.table(target).where(F.col(column).isin(merged)), "left_anti"), allowMissingColumns=True)
         done = replace_partitions(spark, rows, target, column, full + merged, schema=schema)
     marked = [v for v in full + merged if new[v] is not None]
     if marked:
@@ -290,7 +320,7 @@ def incremental_load_partitions(spark: SparkSession, *, source: DataFrame, chang
                                         "table_name string, partition_num string, starting_watermark timestamp_ntz, "
                                         "ending_watermark timestamp_ntz")
         append_by_name(spark, entries.withColumn("completed_datetime", F.localtimestamp()), log_table)
-    kinds = {f"{column}={v}": INITIAL for v in full} | {f"{column}={v}": DELTA for v in merged}
+    kinds = spark.createDataFrame([(f"{column}={v}", INITIAL) for v in full] + [(f"{column}={v}", DELTA) for v in merged], "partition string, kind string")
     skipped = [(target, f"{column}={v}", "skipped", None, None, None, None) for v in values if v not in full and v not in merged]
-    action = F.coalesce(*[F.when(F.col("partition") == p, k) for p, k in kinds.items()])
-    return done.withColumn("action", action).unionByName(spark.createDataFrame(skipped, AUDIT))
+    done = done.join(kinds, "partition").withColumn("action", F.col("kind")).select(spark.createDataFrame([], AUDIT).columns)
+    return done.unionByName(spark.createDataFrame(skipped, AUDIT))

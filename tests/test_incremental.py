@@ -337,3 +337,37 @@ def test_a_bloom_filter_changes_no_result(spark, db, ignore_case):
         inc.incremental_load(spark, source=rows.where("n % 21 <> 0").withColumn("n", F.col("n") + 1000), changes=changes, **options)
         got.append(values(spark.table(f"{db}.{name}")))
     assert got[0] == got[1] and 150 < len(got[0]) < 200
+
+
+def test_many_partitions_from_a_function_of_their_marks(spark, db):
+    from tablehaul import incremental_load_partitions
+    from tablehaul.streaming import partition_predicates
+
+    rows = spark.range(40).selectExpr("concat('K', id) AS code", "id AS n", "concat('p', id % 4) AS part")
+    changes = rows.selectExpr("lower(code) AS code", "part", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(int(n)) AS at", "n AS value").where("part <> 'p3'")
+    asked = []
+
+    def source(data):
+        def choose(marks):
+            asked.append(partition_predicates(marks, "part", "at between '{previous}' and '{new}'"))
+            return data.where(F.col("part").isin([m["value"] for m in marks.collect()]))
+        return choose
+
+    options = {"key": "code", "changed_at": "at", "target": f"{db}.t", "column": "part", "values": ["p0", "p1", "p2", "p3"], "log_table": f"{db}.log",
+               "mark": "how", "ignore_case": True}
+    schema = "code string, n bigint, how string, part string"
+    with pytest.raises(LoadError, match="schema"):
+        incremental_load_partitions(spark, source=source(rows), changes=changes, **options)
+    first = incremental_load_partitions(spark, source=source(rows), changes=changes.where("value < 20"), schema=schema, **options)
+    assert values(first, "partition", "action") == [(f"part=p{i}", "initial-load") for i in range(4)]
+    assert asked[0] == [f"part = 'p{i}'" for i in range(4)]
+    # Only changed rows are asked for and returned; p3 has no mark at all and is loaded in full.
+    later = rows.withColumn("n", F.col("n") + 100).where("n >= 116 OR part = 'p3'")
+    done = incremental_load_partitions(spark, source=source(later), changes=changes, schema=schema, **options)
+    assert {r.partition: r.action for r in done.collect()} == {"part=p0": "incremental-load", "part=p1": "incremental-load", "part=p2": "incremental-load",
+                                                              "part=p3": "initial-load"}
+    assert asked[1][0] == "part = 'p0' AND (at between '2024-01-17 00:00:00' and '2024-02-06 00:00:00')" and asked[1][3] == "part = 'p3'"
+    got = {r.code: (r.n, r.how) for r in spark.table(f"{db}.t").collect()}
+    assert len(got) == 40 and got["K16"] == (116, "incremental-load") and got["K12"] == (12, "initial-load") and got["K3"] == (103, "initial-load")
+    with pytest.raises(LoadError, match="differ"):
+        incremental_load_partitions(spark, source=source(later), changes=changes, schema=schema + ", more int", on_schema_change="fail", **options)

@@ -207,3 +207,35 @@ def incremental_guards(spark, sf):
         except LoadError:
             refused += 1
     return spark.table(table).withColumn("refused", F.lit(refused))
+
+
+@query(f"""
+WITH log AS (SELECT c_nationkey % 5 AS part, user_id, ts FROM events JOIN customer ON c_custkey = user_id
+  WHERE c_nationkey % 5 <> 0 OR ts <= TIMESTAMP '2024-01-15 00:00:00'),
+mark AS (SELECT part, max(ts) FILTER (ts <= TIMESTAMP '2024-01-15 00:00:00') AS before, max(ts) AS latest FROM log GROUP BY part),
+moved AS (SELECT DISTINCT log.part, user_id FROM log JOIN mark USING (part) WHERE latest > before AND ts >= before)
+SELECT c_custkey, CASE WHEN user_id IS NULL THEN c_acctbal ELSE c_acctbal + 1 END AS c_acctbal,
+       CASE WHEN user_id IS NULL THEN 'initial-load' ELSE 'incremental-load' END AS message, CAST(c_nationkey % 5 AS INTEGER) AS part
+FROM customer LEFT JOIN moved ON user_id = c_custkey WHERE user_id IS NULL OR c_custkey % 7 <> 0
+""")
+def incremental_from_marks(spark, sf):
+    """The source is a function of the partitions' marks, which become one condition per partition, as a database is asked."""
+    from functools import reduce
+
+    from tablehaul.streaming import partition_predicates
+
+    table, part = target(spark), (F.col("c_nationkey") % 5).cast("int").alias("part")
+    customers = given(spark, sf, "customer").select("c_custkey", "c_acctbal", part)
+    changes = given(spark, sf, "events").join(customers, F.col("user_id") == F.col("c_custkey")).select("c_custkey", "ts", "part").where(f"part <> 0 OR {FIRST}")
+    given(spark, sf, "events").createOrReplaceTempView("change_log")
+
+    def asked(rows):
+        changed = "c_custkey IN (SELECT user_id FROM change_log WHERE ts BETWEEN TIMESTAMP_NTZ'{previous}' AND TIMESTAMP_NTZ'{new}')"
+        return lambda marks: reduce(type(rows).unionByName, [rows.where(p) for p in partition_predicates(marks, "part", changed)])
+
+    options = {"key": "c_custkey", "changed_at": "ts", "target": table, "column": "part", "values": list(range(5)), "log_table": f"{table}_log",
+               "mark": "message", "schema": "c_custkey bigint, c_acctbal double, message string, part int"}
+    incremental_load_partitions(spark, source=asked(customers), changes=changes.where(FIRST), **options)
+    later = customers.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_custkey % 7 <> 0")
+    incremental_load_partitions(spark, source=asked(later), changes=changes, **options)
+    return spark.table(table).select("c_custkey", "c_acctbal", "message", "part")
