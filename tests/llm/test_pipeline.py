@@ -1,3 +1,5 @@
+from collections import Counter
+
 import corpus_pipeline
 from tablehaul.llm.queries import QUERIES
 from tests.llm.helpers import frame
@@ -26,7 +28,16 @@ def test_stages_keep_columns_and_clean_documents(spark):
         if name == "secret scan":
             assert ids == set(before) and all(r.n_chars == len(r.text) for r in rows)
         left = spark.createDataFrame(rows, docs.schema)
-    assert corpus_pipeline.STAGES[-1][1](spark, left, FOLDER).count() >= left.count()
+    copies = Counter(r.doc_id for r in left.collect())
+    packed, total, sequences = corpus_pipeline.STAGES[-1][1](spark, left, FOLDER).collect(), Counter(), {}
+    tokens = {r.doc_id: r.doc_tokens for r in packed}
+    for r in packed:
+        total[r.doc_id] += r.length
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert total == {i: n * tokens[i] for i, n in copies.items()}
+    for parts in sequences.values():
+        ends = [0, *(a + n for a, n in sorted(parts))]
+        assert [a for a, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048
 
 
 def test_no_documents(spark):
