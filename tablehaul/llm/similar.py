@@ -8,7 +8,8 @@ The order decides the cost only: it is estimated from an eighth of the texts.
 Equal sets are made one first. What is stored of a set is its sketch: how many shingles fall into each of about n classes of
 hashes. Sketches that differ by more than sets of that similarity can differ rule a pair out; the sets themselves, made from the texts
 again, are compared for the few pairs left. Sets that meet are linked in two steps: each with two of its bucket, and then, of the sets
-that are in different components still, each with each.
+that are in different components still, each with each. Where that leaves more pairs than a few per set, the sets themselves
+meet, and only the edges come out that join their components, fewer than there are sets.
 
 Common shingles are aggregated where they lie, others are dealt to tasks; a bucket of many sets in different components is
 cut into blocks, and every two blocks meet in a task of their own.
@@ -16,13 +17,15 @@ cut into blocks, and every two blocks meet in a task of their own.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import discard, mapped, rows_of, saved, text_hash
+from tablehaul.llm.common import discard, in_slices, mapped, rows_of, saved, text_hash
 from tablehaul.llm.components import components
 from tablehaul.llm.simhash import _LOWER
 
@@ -30,8 +33,9 @@ from tablehaul.llm.simhash import _LOWER
 COMMON, OFTEN = 100_000, 4
 #: A shingle that one of so many sets has is aggregated before it is dealt; sets of a bucket that meet in one task, from either side.
 HOT, BLOCK = 1000, 1024
-#: Sets that a task remembers to have dealt, and pairs in one batch.
-DEALT, PAIRS = 500_000, 1 << 16
+#: Sets that a task remembers to have dealt; pairs that come out of a group for each of its sets, before the sets themselves meet, and
+#: the shingles of sets that do so in one task, from either side.
+DEALT, FEW, HELD = 500_000, 2, 500_000
 #: Classes in the sketch of a very large set.
 CLASSES = 8192
 _TURN = 0x5DEECE66D1234567
@@ -160,19 +164,19 @@ class _Sketches:
         return np.abs(rows[others - first] - rows[i - first]).sum(1, dtype=np.int64)
 
 
-def _other_pairs(percent: int):
+def _others(percent: int):
     """The pairs of a group that are in different components and, where it holds two blocks, in different blocks, as far as their
-    sizes and sketches allow a high similarity."""
+    sizes and sketches allow a high similarity; if they are many, the sets that are in one, with ``b`` null, instead."""
     def run(batches):
         for batch in batches:
-            for row in batch.column(0):
+            for bucket, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 node, size, root, side, packed = (list(c) for c in zip(*[m.values() for m in row.as_py()], strict=True))
                 order = np.argsort(np.array(size), kind="stable")
                 node, size, root, side = (np.array(c, np.int64)[order] for c in (node, size, root, side))
                 sketches = _Sketches([packed[i] for i in order])
                 top = np.searchsorted(size, 100 * size // percent, side="right")
                 mixed = bool((side != side[0]).any())
-                found_a, found_b, held = [], [], 0
+                found, held, near = [], 0, np.zeros(len(node), bool)
                 for i in range(len(node) - 1):
                     others = np.arange(i + 1, top[i])
                     others = others[root[others] != root[i]]
@@ -180,20 +184,63 @@ def _other_pairs(percent: int):
                         others = others[side[others] != side[i]]
                     if len(others):
                         others = others[(100 + percent) * sketches.differ(i, others) <= (100 - percent) * (size[i] + size[others])]
-                        found_a.append(np.full(len(others), node[i]))
-                        found_b.append(node[others])
+                    if len(others):
+                        near[i] = near[others] = True
                         held += len(others)
-                    if held > PAIRS:
-                        yield _as_pairs(np.concatenate(found_a), np.concatenate(found_b))
-                        found_a, found_b, held = [], [], 0
-                if held:
-                    yield _as_pairs(np.concatenate(found_a), np.concatenate(found_b))
+                        if held <= FEW * len(node):
+                            found.append((i, others))
+                if held > FEW * len(node):
+                    n = int(near.sum())
+                    yield pa.RecordBatch.from_arrays([pa.array(node[near]), pa.nulls(n, pa.int64()), pa.array([bucket] * n, pa.int64()),
+                                                      pa.array(size[near]), pa.array(root[near])], ["a", "b", "bucket", "size", "root"])
+                elif held:
+                    one = np.concatenate([np.full(len(others), node[i]) for i, others in found])
+                    two, none = node[np.concatenate([others for _, others in found])], pa.nulls(held, pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), none, none, none],
+                                                     ["a", "b", "bucket", "size", "root"])
 
     return run
 
 
-def _as_pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+def joining(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Edges that connect what links between the sets and their components (those of equal ``root``) connect, found by breadth-first
+    search: every set is compared with those not reached yet, where there are two sides with those of the other."""
+    size = np.array([len(s) for s in sets])
+    parts = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(size)[:-1])
+    here, mixed = np.zeros(int(size.sum()), np.int64), bool((side != side[0]).any())
+    waiting, edges = np.arange(len(sets)), []
+    while len(waiting) > 1:
+        first = root[waiting] == root[waiting[0]]
+        front, waiting = waiting[first].tolist(), waiting[~first]
+        while front and len(waiting):
+            i = front.pop()
+            may = waiting[100 * np.minimum(size[waiting], size[i]) >= percent * np.maximum(size[waiting], size[i])]
+            if mixed:
+                may = may[side[may] != side[i]]
+            if not len(may):
+                continue
+            here[parts[i]] = 1
+            shared = np.add.reduceat(here[np.concatenate([parts[j] for j in may])], np.cumsum(size[may]) - size[may])
+            here[parts[i]] = 0
+            alike = may[100 * shared >= percent * (size[may] + size[i] - shared)]
+            if len(alike):
+                edges += [(int(node[i]), int(node[j])) for j in alike]
+                reached = np.isin(root[waiting], root[alike])
+                front += waiting[reached].tolist()
+                waiting = waiting[~reached]
+    return edges
+
+
+def _joining(percent: int):
+    """The edges of each group of neighbouring rows (bucket, low, high, node, root, side, shingles)."""
+    def run(batches):
+        for _, rows in groupby(in_slices(batches), lambda r: r[:3]):
+            node, root, side, packed = zip(*[r[3:] for r in rows], strict=True)
+            node, root, side = (np.array(c, np.int64) for c in (node, root, side))
+            edges = np.array(joining(node, root, side, [np.frombuffer(x, "<u8") for x in packed], percent), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
+
+    return run
 
 
 def _likely(percent: int):
@@ -250,15 +297,37 @@ class _Texts:
     def alike(self, likely: DataFrame) -> DataFrame:
         """The distinct pairs whose whole sets are alike."""
         likely = saved(likely.distinct(), "likely")
-        asked = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
-        named = saved(self.sets.join(asked, "node", "left_semi").select("node", F.col("first.key").alias("_key"),
-                                                                        F.col("first.text_hash").alias("_hash")), "asked")
+        packed = self.packed(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))))
+        alike = saved(mapped(_beside(likely, packed, "shingles").select("a", "b", "x", "y"), _alike(self.percent), "a long, b long"), "alike")
+        discard(likely, packed)
+        return alike
+
+    def packed(self, asked: DataFrame) -> DataFrame:
+        """``node, shingles`` of the sets whose nodes are asked for, made from the texts again."""
+        named = saved(self.sets.join(asked.distinct(), "node", "left_semi").select("node", F.col("first.key").alias("_key"),
+                                                                                   F.col("first.text_hash").alias("_hash")), "asked")
         found = self.texts.join(named, self.texts["key"].eqNullSafe(named["_key"]) & (self.texts["text_hash"] == named["_hash"]))
         packed = mapped(found.select("node", "text"), _packed(self.width, self.seed), "node long, shingles binary").dropDuplicates(["node"])
         packed = saved(packed, "packed")
-        alike = saved(mapped(_beside(likely, packed, "shingles").select("a", "b", "x", "y"), _alike(self.percent), "a long, b long"), "alike")
-        discard(likely, named, packed)
-        return alike
+        discard(named)
+        return packed
+
+    def joined(self, near: DataFrame) -> DataFrame:
+        """Edges that connect what links between the members of a bucket (bucket, node, size, root) connect, of all buckets.
+
+        Of buckets with the same members one is enough. Larger ones are cut into blocks.
+        """
+        told = near.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"), F.min("node").alias("low"), F.max("node").alias("high"),
+                                          F.sum(_mixed("node")).alias("total"), F.bit_xor(F.xxhash64("node")).alias("mix"))
+        once = told.groupBy("n", "weight", "low", "high", "total", "mix").agg(F.min("bucket").alias("bucket")).select(
+            "bucket", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("weight") / HELD)).cast("int").alias("blocks"))
+        dealt = _cut(near.join(once, "bucket")).select("bucket", "low", "high", "node", "root", "side")
+        packed = self.packed(near.select("node"))
+        groups = dealt.join(packed, "node").select("bucket", "low", "high", "node", "root", "side", "shingles")
+        groups = groups.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+        edges = saved(mapped(groups, _joining(self.percent), "a long, b long"), "joining")
+        discard(packed)
+        return edges
 
     def members(self) -> DataFrame:
         """``bucket, node, size`` and the bucket's two hubs (structs of node and size), of all buckets of several sets.
@@ -274,9 +343,8 @@ class _Texts:
         shared = spark.sparkContext.broadcast((np.array([s for s, _ in top], np.uint64), np.array([n for _, n in top], np.int64), hot))
         dealt = saved(mapped(self.texts.select("text"), _deal(shared, self.width, self.seed, self.percent), kind), "dealt")
         turned = F.struct(F.col("node").bitwiseXOR(F.lit(_TURN)).alias("turned"), "node", "size")
-        mixed = F.pmod(F.xxhash64("node"), F.lit(1 << 31))
         sums = {"low": F.min(F.struct("node", "size")), "high": F.min(turned), "last": F.max("node"),
-                "n": F.count(F.lit(1)), "total": F.sum(mixed), "mix": F.bit_xor(F.xxhash64("node"))}
+                "n": F.count(F.lit(1)), "total": F.sum(_mixed("node")), "mix": F.bit_xor(F.xxhash64("node"))}
         own = Window.partitionBy("shingle")
         cold = dealt.where("NOT hot").repartition("shingle").select("node", "size", *[c.over(own).alias(n) for n, c in sums.items()])
         common = dealt.where("hot").groupBy("shingle").agg(*[c.alias(n) for n, c in sums.items()])  # at most COMMON rows
@@ -289,6 +357,17 @@ class _Texts:
         return found
 
 
+def _mixed(node: str) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(1 << 31))
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """The rows of a bucket, dealt to ``blocks`` sides, once for every side that theirs meets: ``low`` and ``high``."""
+    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    turned = rows.withColumn("side", side).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return turned.withColumn("low", F.least("side", "turn")).withColumn("high", F.greatest("side", "turn"))
+
+
 def _fits(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -303,14 +382,15 @@ def links(sets: _Texts) -> DataFrame:
     placed = members.select("bucket", "node", "size").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = saved(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
                   .where("low != high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     sketched = placed.join(mixed, "bucket").join(sets.sets.select("node", "sketch"), "node")
-    cut = sketched.withColumn("side", side).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = cut.groupBy("bucket", F.least("side", "turn").alias("low"), F.greatest("side", "turn").alias("high")).agg(
+    groups = _cut(sketched).groupBy("bucket", "low", "high").agg(
         F.collect_list(F.struct("node", "size", "root", "side", "sketch")).alias("members"))
-    others = sets.alike(mapped(groups.select("members"), _other_pairs(percent), "a long, b long"))
-    discard(members, rooted, mixed)
-    return some.unionByName(others)
+    found = saved(mapped(groups.select("bucket", "members"), _others(percent), "a long, b long, bucket long, size long, root long"), "others")
+    others = sets.alike(found.where("b IS NOT NULL").select("a", "b"))
+    near = saved(found.where("b IS NULL").select("bucket", F.col("a").alias("node"), "size", "root").distinct(), "near")
+    joined = sets.joined(near)
+    discard(members, rooted, mixed, found, near)
+    return some.unionByName(others).unionByName(joined)
 
 
 def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -89,6 +89,56 @@ def test_hot_buckets(spark, monkeypatch):
         assert {r.doc_id for r in keep_one(docs).collect()} == want
 
 
+def test_joining_equals_all_pairs():
+    rng = np.random.default_rng(10)
+    for sides, roots in ((1, 60), (2, 60), (1, 9), (2, 9)):
+        base = [rng.integers(0, 1 << 63, 60).astype(np.uint64) for _ in range(4)]
+        sets = [np.unique(np.concatenate([b[rng.random(60) < 0.93], rng.integers(0, 1 << 63, 3).astype(np.uint64)])) for b in base for _ in range(15)]
+        node, root, side = np.arange(60) + 7, rng.integers(0, roots, 60), rng.integers(0, sides, 60)
+        found = similar.joining(node, root, side, sets, 80)
+
+        def groups(edges, root=root):
+            label = root.copy()
+            for i, j in edges:
+                label[label == label[j]] = label[i]
+            return {tuple(np.flatnonzero(label == x)) for x in label}
+
+        links = [(i, j) for i in range(60) for j in range(i) if (sides == 1 or side[i] != side[j]) and 10 * len(
+            np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))]
+        assert groups([(a - 7, b - 7) for a, b in found]) == groups(links) and len(found) < 60
+
+
+def test_rows_made_of_many_near_copies(spark, monkeypatch):
+    """What the sets of a group give is in proportion to their number, also where most of their pairs may be alike and few are linked by hubs."""
+    rng, made, members = np.random.default_rng(11), [], []
+    base = [f"hot{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rng, base, int(rng.integers(1, 4))))) for i in range(400)]
+    mapped, saved = similar.mapped, similar.saved
+
+    def counted(df, fn, schema):
+        out = mapped(df, fn, schema)
+        if schema.startswith("a long, b long"):
+            made.append(out.count())
+        return out
+
+    def noted(df, label):
+        out = saved(df, label)
+        if label == "members":
+            members.append(out.count())
+        return out
+
+    monkeypatch.setattr(similar, "mapped", counted)
+    monkeypatch.setattr(similar, "saved", noted)
+    docs, want = frame(spark, [(i, t, "en", "a") for i, t in rows]), kept_by_hand(rows)
+    for block, held in ((1024, 500_000), (64, 2000)):
+        made.clear(), members.clear()
+        monkeypatch.setattr(similar, "BLOCK", block)
+        if hasattr(similar, "HELD"):
+            monkeypatch.setattr(similar, "HELD", held)
+        assert {r.doc_id for r in keep_one(docs).collect()} == want
+        assert block < 1024 or max(made) <= 2 * members[0], (made, members)
+
+
 def test_odd_rows(spark):
     docs = frame(spark, odd_rows())
     kept = keep_one(docs).collect()
