@@ -29,6 +29,15 @@ SMALL = 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 1 << 16):  # a bounded piece at a time, whatever the length of the text
+        part = hashes[at:at + (1 << 16)]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int((np.uint64(1) << np.flatnonzero(2 * counts > len(hashes)).astype(np.uint64)).sum(dtype=np.uint64))
+
+
 def fingerprint(text: bytes | None, width: int = 4, seed: int = 42) -> int:
     """The 64-bit SimHash of the word shingles of a whole text, repeats included; 0 without words."""
     words = (text or b"").translate(_LOWER).split()
@@ -42,11 +51,7 @@ def fingerprint(text: bytes | None, width: int = 4, seed: int = 42) -> int:
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter([digest(line[a:b], seed) for a, b in zip((ends - lengths)[:len(words) - width + 1].tolist(),
                                                                   ends[width - 1:].tolist(), strict=True)], np.uint64)
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):  # a bounded piece at a time, whatever the length of the text
-        part = hashes[at:at + (1 << 16)]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int((np.uint64(1) << np.flatnonzero(2 * counts > len(hashes)).astype(np.uint64)).sum(dtype=np.uint64))
+    return majority(hashes)
 
 
 def _fingerprints(width: int, seed: int):

@@ -1,6 +1,7 @@
-"""Near-duplicates by the similarity of word shingles, found by prefix filtering; no pair is missed.
+"""Near-duplicates by the similarity of word shingles, found by SimHash and prefix filtering; no pair is missed.
 
-A text is the set of its shingles. All shingles have one order, rare ones first. Two sets with a similarity (shared shingles by
+A text is the set of its shingles. Sets whose fingerprints (``simhash.py``, over the set's hashes) differ in few bits are found by
+covering LSH, as op7 does, and compared. That reaches the closest copies only, so the others are found by prefix filtering. All shingles have one order, rare ones first. Two sets with a similarity (shared shingles by
 all shingles of either) of at least t share a shingle among the first n - ceil(t n) + 1 of each, n being the size of the set
 (Chaudhuri et al., 2006; Bayardo et al., 2007). So sets are dealt to those shingles, and sets that meet are compared.
 The order decides the cost only: it is estimated from an eighth of the texts.
@@ -25,9 +26,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablehaul.llm import simhash
 from tablehaul.llm.common import discard, in_slices, mapped, rows_of, saved, text_hash
 from tablehaul.llm.components import components
-from tablehaul.llm.simhash import _LOWER
+from tablehaul.llm.simhash import _LOWER, majority
 
 #: How many common shingles come last in the order, and how often a shingle is in an eighth of the sets to be one.
 COMMON, OFTEN = 100_000, 4
@@ -80,7 +82,8 @@ def _sketches(width: int, seed: int):
                 sets = [shingles(t, width, seed) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:2], pa.array([node_of(s, seed) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([sketch(s).tobytes() for s in sets], pa.binary())], ["key", "text_hash", "node", "size", "sketch"])
+                     pa.array([sketch(s).tobytes() for s in sets], pa.binary()), pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64))],
+                    ["key", "text_hash", "node", "size", "sketch", "print"])
 
     return run
 
@@ -284,10 +287,21 @@ class _Texts:
 
     def __init__(self, texts: DataFrame, percent: int, width: int, seed: int):
         self.texts, self.percent, self.width, self.seed = texts, percent, width, seed
-        self.rows = saved(mapped(texts, _sketches(width, seed), "key long, text_hash long, node long, size long, sketch binary"), "sketches")
+        self.rows = saved(mapped(texts, _sketches(width, seed), "key long, text_hash long, node long, size long, sketch binary, print long"), "sketches")
         place = F.struct(F.col("key").isNull().alias("last"), "key", "text_hash")
         self.sets = saved(self.rows.groupBy("node").agg(F.min(place).alias("first"), F.first("size").alias("size"),
-                                                        F.first("sketch").alias("sketch")), "sets")
+                                                        F.first("sketch").alias("sketch"), F.first("print").alias("print")), "sets")
+
+    def close(self, radius: int) -> DataFrame:
+        """Pairs of sets whose fingerprints are equal or linked: each set with the first of its fingerprint, and the first ones of
+        fingerprints that differ in at most ``radius`` bits, as far as they are needed to connect these."""
+        heads = saved(self.sets.groupBy("print").agg(F.min("node").alias("head")), "heads")
+        same = self.sets.select("node", "print").join(heads, "print").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+        a, b = (heads.select(F.col("print").alias(f"print_{c}"), F.col("head").alias(f"head_{c}")) for c in "ab")
+        met = simhash.links(heads.select("print"), radius).distinct().join(a, F.col("a") == a["print_a"]).join(b, F.col("b") == b["print_b"])
+        pairs = saved(same.unionByName(met.select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))), "close")
+        discard(heads)
+        return pairs
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sketches do not rule a high similarity out."""
@@ -372,12 +386,13 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def links(sets: _Texts) -> DataFrame:
+def links(sets: _Texts, radius: int = 4) -> DataFrame:
     """Edges (a, b) between sets whose components are those of all pairs of that similarity."""
-    percent, members = sets.percent, sets.members()
+    percent, close, members = sets.percent, sets.close(radius), sets.members()
     hubs = members.select("node", "size", F.explode(F.array("one", "other")).alias("hub")).where(
         (F.col("node") != F.col("hub.node")) & _fits(F.col("size"), F.col("hub.size"), percent))
-    some = sets.alike(sets.likely(hubs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))))
+    met = hubs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+    some = sets.alike(sets.likely(close.unionByName(met)))
     rooted = saved(components(some), "rooted")
     placed = members.select("bucket", "node", "size").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = saved(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -389,7 +404,7 @@ def links(sets: _Texts) -> DataFrame:
     others = sets.alike(found.where("b IS NOT NULL").select("a", "b"))
     near = saved(found.where("b IS NULL").select("bucket", F.col("a").alias("node"), "size", "root").distinct(), "near")
     joined = sets.joined(near)
-    discard(members, rooted, mixed, found, near)
+    discard(close, members, rooted, mixed, found, near)
     return some.unionByName(others).unionByName(joined)
 
 

@@ -139,6 +139,37 @@ def test_rows_made_of_many_near_copies(spark, monkeypatch):
         assert block < 1024 or max(made) <= 2 * members[0], (made, members)
 
 
+def test_fingerprints_propose_pairs(spark, monkeypatch):
+    """The closest copies are found by SimHash and covering LSH, and what these propose is compared like other pairs."""
+    rng, rows, asked = np.random.default_rng(12), [], []
+    for group in range(20):
+        words = [f"g{group}w{rng.integers(1 << 30)}" for _ in range(1500)]
+        rows += [(10 * group + copy, " ".join(edited(rng, words, copy))) for copy in range(3)]
+    rows += [(1000, "few words"), (1001, None), (1002, ""), (1003, "Few words")]
+    links, likely = similar.simhash.links, similar._Texts.likely
+
+    def counted(prints, radius, *more):
+        asked.append((prints.count(), radius))
+        return links(prints, radius, *more)
+
+    def noted(self, pairs):
+        asked.append({(r.a, r.b) for r in pairs.collect()})
+        return likely(self, pairs)
+
+    monkeypatch.setattr(similar.simhash, "links", counted)
+    monkeypatch.setattr(similar._Texts, "likely", noted)
+    assert {r.doc_id for r in keep_one(frame(spark, [(i, t, "en", "a") for i, t in rows])).collect()} == kept_by_hand(rows)
+    prints = {i: similar.majority(shingles((t or "").encode())) for i, t in rows}
+    assert asked[0] == (len(set(prints.values())), 4)
+    near = [(i, j) for i in prints for j in prints if i < j < 1000 and (prints[i] ^ prints[j]).bit_count() <= 4]
+    assert len(near) >= 20
+    nodes = {i: similar.node_of(shingles((t or "").encode())) for i, t in rows}
+    root = {n: n for n in nodes.values()}
+    for a, b in asked[1]:
+        root = {n: root[a] if r == root[b] else r for n, r in root.items()}
+    assert all(root[nodes[i]] == root[nodes[j]] for i, j in near)
+
+
 def test_odd_rows(spark):
     docs = frame(spark, odd_rows())
     kept = keep_one(docs).collect()
