@@ -8,6 +8,7 @@ from tablehaul import LoadError, conform, listing_faults, load_blob_listing, mis
 from tablehaul.functions import normalize_name, parse_http_date
 from tablehaul.operators.schema import table_exists
 from tablehaul.sources import chain, parse_pages
+from workload.listings import _listing
 
 FIRST = """<?xml version="1.0" encoding="utf-8"?>
 <EnumerationResults ServiceEndpoint="https://example.invalid/" ContainerName="c">
@@ -156,3 +157,17 @@ def test_faults_stop_a_load_and_keep_the_table(spark, db):
         with pytest.raises(LoadError, match="not whole"):
             load_blob_listing(spark, spark.createDataFrame(bad, kind), table, "name string")
     assert values(spark.table(table)) == [("a",), ("b",)]
+
+
+def test_a_listing_made_twice_is_the_same_in_whatever_order_its_rows_are_read(spark, db, tmp_path):
+    rows = [(i, f"https://h/{i}?a&b" if i % 7 else None, "x" * (i % 5)) for i in range(45)] + [(12, "https://h/other", "x"), (13, "https://h/13?a&b", "xxx")]
+    made = []
+    for way in ("rising", "falling"):
+        given = spark.createDataFrame(rows if way == "rising" else rows[::-1], "page_id bigint, url string, html string")
+        given.coalesce(1).write.parquet(f"{tmp_path}/{way}/pages.parquet")
+        made.append(_listing(spark, f"{tmp_path}/{way}"))
+    assert values(made[0]) == values(made[1])
+    first = values(made[0])[0][1]
+    assert "<Name>page-9</Name>" in first and "<Name>page-7</Name>" not in first
+    load_blob_listing(spark, made[0].unionByName(made[1]), f"{db}.blobs", "name string, url string")
+    assert values(spark.table(f"{db}.blobs")) == sorted((f"page-{i}", url) for i, url, _ in rows if url)

@@ -20,7 +20,7 @@ def _escaped(text):
 
 
 def _listing(spark, sf):
-    """Ten blobs to a page; each page announces the next one."""
+    """Ten blobs to a page, in the order of their keys, so that a page made twice is the same; each page announces the next one."""
     pages = given(spark, sf, "pages")
     last = scalar(pages.agg(F.max(F.floor(F.col("page_id") / 10))))
     when = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, int(page_id))")
@@ -30,8 +30,8 @@ def _listing(spark, sf):
         F.lit("</Content-Length><Last-Modified>"), F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss"),
         F.lit(" GMT</Last-Modified><Creation-Time>unknown</Creation-Time></Properties></Blob>"))
     number = F.floor(F.col("page_id") / 10)
-    grouped = (pages.select(number.alias("number"), blob.alias("blob")).groupBy("number")
-               .agg(F.array_join(F.collect_list("blob"), "").alias("blobs")))
+    grouped = (pages.select(number.alias("number"), F.struct("page_id", blob.alias("blob")).alias("keyed")).groupBy("number")
+               .agg(F.array_join(F.sort_array(F.collect_list("keyed")).getField("blob"), "").alias("blobs")))
     marker = F.when(F.col("number") < last, F.concat(F.lit("m"), (F.col("number") + 1).cast("string"))).otherwise("")
     return grouped.select(
         F.when(F.col("number") > 0, F.concat(F.lit("m"), F.col("number").cast("string"))).alias("marker_in"),
